@@ -220,11 +220,12 @@ def judge(docs: DataFrame, model: Trees, carried: list[str] | None = None) -> Da
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)  # node arrays, of a size fixed by trees and depth
     carried = carried or ["doc_id"]
+    read = "text" if "text" in carried else "_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
         for batch in batches:
-            found = [statistics(t) for t in column_list(batch, "_text")]
+            found = [statistics(t) for t in column_list(batch, read)]
             base = np.array([f[0] for f in found], np.int64)
             failed = np.array([base_failed(int(b[0]), int(b[4])) for b in base])
             score = trees.probability(np.array([f[1] for f in found]))
@@ -233,4 +234,4 @@ def judge(docs: DataFrame, model: Trees, carried: list[str] | None = None) -> Da
             yield pa.RecordBatch.from_arrays(columns, names=[*carried, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried) + ", " + SCHEMA
-    return docs.select(*carried, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*carried, *([] if read == "text" else [F.col("text").alias(read)])).mapInArrow(run, schema)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import op1_license, op2_bpe, op3_langid, op5_html, op7_linededup, op8_quality, op9_sharding
+from tessera.llm import op1_license, op2_bpe, op3_langid, op4_decontaminate, op5_html, op6_mixing, op7_linededup, op8_quality, op9_sharding, op10_jaccard
 from tessera.llm.common import ascii_crc, table
 
 #: Folder of the public vocabulary files. TESSERA_TOKENIZERS names another one.
@@ -37,10 +37,21 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_langid.predict(docs, model).withColumn("held_out", F.coalesce(ascii_crc("doc_id") % 3 == 1, F.lit(False))).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op6_mixing_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(ascii_crc("doc_id") % 5 == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = op6_mixing.score(docs, docs.where(~held))
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "total_bits", "n_bytes")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_linededup.digest(op7_linededup.dedup(table(spark, sf_dir, "documents"), least_documents=10))
 
@@ -56,15 +67,22 @@ def op9_sharding_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source", "position")
 
 
+def op10_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
         "op2_bpe_codec": op2_bpe_codec,
         "op3_language_id": op3_language_id,
+        "op4_benchmark_leaks": op4_benchmark_leaks,
         "op5_html_text": op5_html_text,
+        "op6_mixing_score": op6_mixing_score,
         "op7_line_dedup": op7_line_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_sharding_mix": op9_sharding_mix,
+        "op10_jaccard_components": op10_jaccard_components,
     }
 
 
