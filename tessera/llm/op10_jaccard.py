@@ -227,27 +227,29 @@ class GroupJoin:
                 break
             late = np.union1d(late, found)
             again = signatures(self.docs.join(small(ids), "doc_id", "left_semi"), self.width, self.percent, late)
-            tokens = self.shared_tokens(again.select(F.col("doc_id").alias("id"), "n", "prefix"))
+            tokens = self.shared_tokens(self.keep(again.select(F.col("doc_id").alias("id"), "n", "prefix"), "prefixes"))
         return tokens
 
     def query(self, tokens: DataFrame) -> None:
         """Step 3: every class against the matrix, opening only groups whose bound allows a link."""
         rows = self.keep(self.grouped(tokens), "matrix-rows")
-        cells = rows.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        shared = self.keep(cells.join(cells.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1").select("token"), "token"), "matrix")
+        # A group is asked by classes of size, so that its least and largest member bound the overlap closely.
+        rows = rows.withColumn("size", F.floor(F.log("n") / F.log(F.lit(1.08))).cast("int"))
+        cells = rows.groupBy("token", "g", "size").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+        shared = self.keep(cells.join(cells.groupBy("token").agg((F.max("g") > F.min("g")).alias("several")).where("several").select("token"), "token"), "matrix")
         # A pair of groups is asked from its larger label, so each pair of classes is met once.
-        asked = rows.join(shared.select("token", F.col("g").alias("og"), "least", "most"), "token").where((F.col("og") < F.col("g")) & (F.col("least") * self.percent <= F.col("n") * 100) & (F.col("most") * 100 >= F.col("n") * self.percent))
-        overlap = asked.groupBy("id", "n", "og").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"), F.max("most").alias("most"))
+        asked = rows.join(shared.select("token", F.col("g").alias("og"), F.col("size").alias("osize"), "least", "most"), "token").where((F.col("og") < F.col("g")) & (F.col("least") * self.percent <= F.col("n") * 100) & (F.col("most") * 100 >= F.col("n") * self.percent))
+        overlap = asked.groupBy("id", "n", "og", "osize").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"), F.max("most").alias("most"))
         n = F.col("n")
         smallest = F.greatest(F.col("least"), F.ceil(n * self.percent / 100))
         # Overlap with a member of size m is met + rest(larger prefix end) at most. Where m >= n that is checked at m's own
         # size below; over all m it is least demanding at the smallest member.
         largest = F.least(F.col("most"), F.floor(n * 100 / self.percent))
         bound = F.col("met") + self.prefix_rest(F.greatest(n, largest))
-        opened = self.keep(overlap.where(bound >= self.least_overlap(n, smallest)).select("id", "og"), "opened")
-        mine = rows.join(opened, "id").select("token", F.col("id").alias("a"), F.col("n").alias("na"), "og")
-        other = rows.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("og"))
-        pairs = mine.join(other, ["token", "og"]).where(self.fits(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("met"))
+        opened = self.keep(overlap.where(bound >= self.least_overlap(n, smallest)).select("id", "og", "osize"), "opened")
+        mine = rows.join(opened, "id").select("token", F.col("id").alias("a"), F.col("n").alias("na"), "og", "osize")
+        other = rows.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("og"), F.col("size").alias("osize"))
+        pairs = mine.join(other, ["token", "og", "osize"]).where(self.fits(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("met"))
         na, nb = F.col("na"), F.col("nb")
         candidates = pairs.where(F.col("met") + self.prefix_rest(F.greatest(na, nb)) >= self.least_overlap(na, nb))
         self.link(self.verified(candidates, "opened"), "opened")
