@@ -200,6 +200,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, lost_shar
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["quality", "base", "features"])
 
     got = rows.mapInArrow(run, "quality long, base array<long>, features array<double>").toPandas()
+    if not len(got):
+        return Trees()
     got = got[[not base_failed(int(b[0]), int(b[4])) for b in got["base"]]]
     if got["quality"].nunique() < 2:
         return Trees()
