@@ -56,13 +56,16 @@ def symbols_of(raw: bytes) -> np.ndarray:
 
 @dataclass
 class Code:
-    """Binary paths of all symbols, flattened: those of s are at start[s] to start[s] + length[s]."""
+    """Binary paths of all symbols, flattened: those of s are at start[s] to start[s] + length[s].
+
+    The places come twice, so that a place also tells the gate: the second time for symbols that begin a word.
+    """
 
     start: np.ndarray
     length: np.ndarray
     node: np.ndarray
     bit: np.ndarray
-    gate: np.ndarray  # by depth
+    gate: np.ndarray  # by depth, and whether a word begins
 
     @classmethod
     def huffman(cls, counts: np.ndarray) -> Code:
@@ -86,7 +89,8 @@ class Code:
             node += [n for n, _ in reversed(path)]
             bit += [b for _, b in reversed(path)]
         depth = [min(d, GATES // 2 - 1) for n in length for d in range(n)]
-        return cls(np.array(start), np.array(length), np.array(node, np.uint32), np.array(bit, np.uint8), np.array(depth, np.int64))
+        gate = np.array(depth, np.int64)
+        return cls(np.array(start), np.array(length), np.array(node * 2, np.uint32), np.array(bit * 2, np.uint8), np.concatenate([gate, gate + GATES // 2]))
 
 
 def contexts(symbols: np.ndarray) -> list[np.ndarray]:
@@ -110,7 +114,7 @@ def contexts(symbols: np.ndarray) -> list[np.ndarray]:
     sums -= np.repeat(sums[begins], np.diff(begins, append=n))
     sums *= powers[:n]
     sums >>= np.uint64(32)
-    return [near, far, sums.astype(np.uint32), opens * np.int64(GATES // 2)]
+    return [near, far, sums.astype(np.uint32), opens]
 
 
 _POWERS: list[np.ndarray] = []
@@ -134,16 +138,16 @@ _SHIFT = np.uint32(32 - SLOT_BITS)
 _NODE_MIX = np.uint32(0x27D4EB2F)
 
 
-def decisions(symbols: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Place in the code (hence node and bit), gate, and slots by kind, of every decision of a text in order."""
+def decisions(symbols: np.ndarray, code: Code) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Place in the code (hence node, bit and gate) and slots by kind, of every decision of a text in order."""
     scored = symbols[PAD:]
     length = code.length[scored]
-    at = np.repeat(code.start[scored] - np.cumsum(length) + length, length)
+    *kinds, opens = contexts(symbols)
+    first = code.start[scored] - np.cumsum(length) + length
+    first += opens * (len(code.node) // 2)
+    at = np.repeat(first, length)
     at += np.arange(len(at))
     mixed = (code.node * _NODE_MIX).take(at, mode="clip")
-    *kinds, opening = contexts(symbols)
-    gate = code.gate.take(at, mode="clip")
-    gate += np.repeat(opening, length)
     out = []
     for context, factor in zip(kinds, _SLOT, strict=True):
         slot = np.repeat(context, length)
@@ -151,7 +155,7 @@ def decisions(symbols: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray,
         slot *= factor
         slot >>= _SHIFT
         out.append(slot)
-    return at, gate, out
+    return at, out
 
 
 def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -166,6 +170,7 @@ class Mixer:
     plain: np.ndarray  # the node's own logit
     weights: np.ndarray  # (GATES, KINDS + 1)
     refine: np.ndarray  # (GATES, CELLS): the map's probabilities
+    at_first: tuple[list[np.ndarray], np.ndarray, np.ndarray] | None = None  # see `settled`
 
     @classmethod
     def fresh(cls, code: Code, tables: np.ndarray, plain: np.ndarray) -> Mixer:
@@ -173,54 +178,54 @@ class Mixer:
         cells = 1 / (1 + np.exp(-np.linspace(-8, 8, CELLS)))
         return cls(code, tables, plain, weights, np.tile(cells.astype(np.float32), (GATES, 1)))
 
+    def by_place(self, weights: np.ndarray) -> list[np.ndarray]:
+        """What every place adds to the mix: the weight of each kind, and the node's own part."""
+        spread = weights.T[:, self.code.gate] * np.float32(1 / 16)
+        return [*spread[:KINDS], spread[KINDS] * self.plain[self.code.node]]
+
+    def settled(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """For texts' first blocks, where weights and map are still the model's: `by_place`, and the bits that each decision
+        costs, by gate, bit and level of the mix, with the row of every place. Both bits of a level share one probability."""
+        if self.at_first is None:
+            level = (np.arange(LEVELS) + 0.5) * (2 * LIMIT / LEVELS) - LIMIT
+            final = (self.refine[:, cell_of(level)] + 1 / (1 + np.exp(-level))) / 2
+            final = np.clip(final, 1e-5, 1 - 1e-5)
+            costs = -np.log2(np.stack([1 - final, final], axis=1)).astype(np.float32)
+            self.at_first = self.by_place(self.weights), (self.code.gate * 2 + self.code.bit) * LEVELS, costs.ravel()
+        return self.at_first
+
     def bits(self, symbols: np.ndarray, learn: Mixer | None = None, rate: float = 0.02) -> float:
         """Total bits of a text. Weights and map start from the model's and adapt block by block; with `learn` they are kept there."""
         weights, refine = (learn.weights, learn.refine) if learn else (self.weights.copy(), self.refine.copy())
-        total, n, plain = 0.0, len(symbols) - PAD, self.plain[self.code.node]
+        total, n = 0.0, len(symbols) - PAD
         for k in range(0, n, BLOCK):
-            at, gate, where = decisions(symbols[k : k + BLOCK + PAD], self.code)
-            bit = self.code.bit.take(at, mode="clip")
+            at, where = decisions(symbols[k : k + BLOCK + PAD], self.code)
             inputs = [self.tables[j].take(slot) for j, slot in enumerate(where)]
-            mixed = weights[:, KINDS].take(gate, mode="clip")
-            mixed *= plain.take(at, mode="clip")
+            untouched = learn is None and k == 0
+            *spread, own = self.settled()[0] if untouched else self.by_place(weights)
+            mixed = own.take(at, mode="clip")
             for j in range(KINDS):
-                part = weights[:, j].take(gate, mode="clip")
+                part = spread[j].take(at, mode="clip")
                 part *= inputs[j]
                 mixed += part
-            mixed *= np.float32(1 / 16)
-            np.clip(mixed, -12, 12, out=mixed)
-            p = np.exp(-mixed)
-            p += np.float32(1)
-            np.reciprocal(p, out=p)
-            mixed += np.float32(8)
-            mixed *= np.float32((CELLS - 1) / 16)
-            mixed += np.float32(0.5)
-            np.clip(mixed, 0, CELLS - 0.5, out=mixed)
-            cell = mixed.astype(np.int64)
-            cell += gate * CELLS
-            final = refine.ravel().take(cell, mode="clip")
-            final += p
-            final *= np.float32(0.5)
-            np.clip(final, 1e-5, 1 - 1e-5, out=final)
-            final -= bit == 0  # now the probability of what came, but for the sign
-            np.abs(final, out=final)
-            spare = len(final) % 16  # logarithms of products of 16, none below 1e-80
-            groups = final[spare:].astype(np.float64).reshape(-1, 16).T
-            product = groups[0].copy()
-            for group in groups[1:]:
-                product *= group
-            total -= float(np.log2(product).sum() + np.log2(final[:spare].astype(np.float64)).sum())
+            np.clip(mixed, -LIMIT, LIMIT, out=mixed)
+            if untouched:
+                total += self.first_bits(mixed, at)
+            else:
+                total += mixed_bits(mixed, self.code.gate.take(at, mode="clip"), self.code.bit.take(at, mode="clip"), refine)
             if learn is None and k + BLOCK >= n:
                 break
             # What the block teaches, from every fourth decision: a step along the mean slope of each gate, and the map's
             # cells towards the observed share.
             few = slice(k % 4, None, 4)
-            gate, bit, cell = gate[few], bit[few], cell[few]
-            error, seen = (bit - p[few]).astype(np.float32), np.bincount(gate, minlength=GATES)
+            at, mixed = at[few], mixed[few]
+            gate, bit = self.code.gate[at], self.code.bit[at]
+            cell = cell_of(mixed) + gate * CELLS
+            error, seen = (bit - 1 / (1 + np.exp(-mixed))).astype(np.float32), np.bincount(gate, minlength=GATES)
             step = rate / 16 / np.maximum(seen, 1) * np.minimum(seen, 200) ** 0.5
             for j in range(KINDS):
                 weights[:, j] += step * np.bincount(gate, error * inputs[j][few], GATES)
-            weights[:, KINDS] += step * np.bincount(gate, error * plain[at[few]], GATES)
+            weights[:, KINDS] += step * np.bincount(gate, error * self.plain[self.code.node[at]], GATES)
             count = np.bincount(cell, minlength=GATES * CELLS)
             ones = np.bincount(cell, bit, GATES * CELLS)
             flat = refine.ravel()
@@ -228,6 +233,36 @@ class Mixer:
             np.clip(refine, 1e-5, 1 - 1e-5, out=refine)
         return total
 
+    def first_bits(self, mixed: np.ndarray, at: np.ndarray) -> float:
+        """Bits of decisions under the model's own map, read from the table of costs."""
+        _, row, costs = self.settled()
+        level = mixed + np.float32(LIMIT)
+        level *= np.float32(LEVELS / (2 * LIMIT))
+        np.minimum(level, np.float32(LEVELS - 1), out=level)
+        index = level.astype(np.int64)
+        index += row.take(at, mode="clip")
+        return float(costs.take(index, mode="clip").sum(dtype=np.float64))
+
+
+#: Bound of the mix, and levels into which `Mixer.settled` cuts it.
+LIMIT, LEVELS = 12, 2048
+
+
+def cell_of(mixed: np.ndarray) -> np.ndarray:
+    """The map's cell for a mixed prediction."""
+    return np.clip((mixed + 8) * ((CELLS - 1) / 16) + 0.5, 0, CELLS - 0.5).astype(np.int64)
+
+
+def mixed_bits(mixed: np.ndarray, gate: np.ndarray, bit: np.ndarray, refine: np.ndarray) -> float:
+    """Bits of decisions whose mixed predictions are refined by the map."""
+    final = refine.ravel().take(cell_of(mixed) + gate * CELLS, mode="clip")
+    final += 1 / (1 + np.exp(-mixed))
+    final *= np.float32(0.5)
+    np.clip(final, 1e-5, 1 - 1e-5, out=final)
+    final -= bit == 0  # now the probability of what came, but for the sign
+    np.abs(final, out=final)
+    return -float(np.log2(final).sum(dtype=np.float64))
+
 
 def learn_tables(train: DataFrame, code: Code, tasks: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
     """Predictors from the bit counts of all texts of `train`. Every task adds up arrays of fixed size and sends their used parts."""
@@ -247,7 +282,7 @@ def learn_tables(train: DataFrame, code: Code, tasks: int, scratch: Scratch) ->
                 any_text = True
                 symbols = symbols_of(utf8(text))
                 for k in range(0, len(symbols) - PAD, 1 << 15):
-                    at, _, where = decisions(symbols[k : k + (1 << 15) + PAD], coded)
+                    at, where = decisions(symbols[k : k + (1 << 15) + PAD], coded)
                     bit = coded.bit.take(at, mode="clip")
                     places += np.bincount(at, minlength=len(places))
                     for j in range(KINDS):

@@ -121,6 +121,19 @@ def test_mixing_and_base_scores(spark, docs):
     assert total == pytest.approx(1.0)  # the decisions are a complete code
 
 
+def test_mixing_first_block_costs():
+    rng = np.random.default_rng(1)
+    code = op6_mixing.Code.huffman(rng.integers(0, 1000, 257))
+    model = op6_mixing.Mixer.fresh(code, rng.integers(-100, 100, (op6_mixing.KINDS, 1 << op6_mixing.SLOT_BITS)).astype(np.int8), rng.integers(-50, 50, 256).astype(np.float32))
+    mixed, at = rng.uniform(-12, 12, 4000).astype(np.float32), rng.integers(0, len(code.node), 4000)
+    exact = op6_mixing.mixed_bits(mixed, code.gate[at], code.bit[at], model.refine)
+    assert model.first_bits(mixed, at) == pytest.approx(exact, rel=1e-2)
+    _, _, costs = model.settled()
+    shares = 2.0 ** -costs.reshape(op6_mixing.GATES, 2, op6_mixing.LEVELS).astype(float)
+    assert np.allclose(shares.sum(axis=1), 1, atol=1e-5)  # both bits together are certain
+    assert model.bits(np.zeros(op6_mixing.PAD, np.uint16)) == 0.0
+
+
 def test_line_dedup(spark, docs, monkeypatch):
     own = {k: t for k, t in enumerate(texts())}
     key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r"))
