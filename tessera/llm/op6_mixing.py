@@ -7,8 +7,10 @@ with weights chosen by a gate (how far down the code and whether a word begins),
 from the mixed prediction to the observed share. Weights and map move on with the text in blocks, each block being scored
 before it is learned. The sum of -log2 over all decisions is the text's bits.
 
-Learning: tables hold the counts of all training texts (each task counts into arrays of fixed size, which are added up), but for
-a small reserved sample (`weight_docs`) on which code, weights and map are fitted, as texts that the tables have not seen.
+Learning: the counts of every context and symbol are a written table that grows with the corpus. Per context and node of the
+code it becomes one entry of a hash table with check tags (`Contexts`), sized from the counted entries, so that contexts don't
+share counts however many there are. A small reserved sample (`weight_docs`) is left out of the counts; code, weights and map
+are fitted on it.
 
 `base_scores` is the unigram yardstick: word counts of all training texts; words above a share of the tokens are few by
 arithmetic and go to every task, the others meet their counts in a shuffle join by a 64-bit hash.
@@ -34,8 +36,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Scratch, column_list, lower_ascii_bytes, prepare, utf8
 
 END = 256
-SLOT_BITS = 21
-KINDS = 3  # hashed contexts: the last three symbols, the last five, the word so far
+SLOT_BITS = 21  # of plain arrays given to `Mixer.fresh`; learned tables have no fixed size
+KINDS = 3  # contexts: the last three symbols, the last five, the word so far
 PAD = 6
 GATES = 32
 CELLS = 33
@@ -93,28 +95,95 @@ class Code:
         return cls(np.array(start), np.array(length), np.array(node * 2, np.uint32), np.array(bit * 2, np.uint8), np.concatenate([gate, gate + GATES // 2]))
 
 
-def contexts(symbols: np.ndarray) -> list[np.ndarray]:
-    """For each scored symbol the 32-bit hash of each kind of context, all from symbols before it, and whether a word begins."""
-    wide = symbols.astype(np.uint32)
+def contexts(symbols: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each scored symbol every kind of context, all from symbols before it (55 bits at most), and whether a word begins."""
+    wide = symbols.astype(np.uint64)
     n = len(symbols) - PAD
     one, two, three, four, five = (wide[PAD - k : PAD - k + n] for k in range(1, 6))
-    near = (one | (two << np.uint32(9)) | (three << np.uint32(18))) * np.uint32(0x2C1B3C6D)
-    far = near ^ (four | (five << np.uint32(9))) * np.uint32(0x297A2D39)
-    far *= np.uint32(0x165667B1)
-    near ^= near >> np.uint32(15)
-    far ^= far >> np.uint32(15)
+    near = one | (two << np.uint64(9)) | (three << np.uint64(18))
+    far = near | (four << np.uint64(27)) | (five << np.uint64(36))
     # The word so far: sums of symbols times falling powers of an odd number, less the sum where the word began, times the
     # rising power. So the hash is the same wherever the word stands.
     opens = (one == 32) | (one == 0)
-    opens[0] = True
+    opens[:1] = True
     powers, inverse = _powers(n)
     sums = np.zeros(n, np.uint64)
-    np.cumsum(symbols[PAD:-1] * inverse[: n - 1], out=sums[1:])
+    np.cumsum(symbols[PAD:-1] * inverse[: max(n - 1, 0)], out=sums[1:])
     begins = np.flatnonzero(opens)
     sums -= np.repeat(sums[begins], np.diff(begins, append=n))
     sums *= powers[:n]
-    sums >>= np.uint64(32)
-    return [near, far, sums.astype(np.uint32), opens]
+    sums >>= np.uint64(9)
+    return [near, far, sums], opens
+
+
+def mixed_context(context: np.ndarray, kind: int) -> np.ndarray:
+    """The 64-bit code of a context: one to one within a kind."""
+    out = (context + np.uint64(kind + 1)) * np.uint64(_KIND[kind])
+    out ^= out >> np.uint64(31)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(29)
+    return out
+
+
+_KIND = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
+_NODE = np.uint64(0xD6E8FEB86659FD93)
+
+
+def node_keys(mixed: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The 64-bit code of a context (by `mixed_context`) and a node."""
+    out = mixed ^ (node.astype(np.uint64) + np.uint64(1)) * _NODE
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return out
+
+
+@dataclass
+class Contexts:
+    """Predictors by context and node: a hash table in pieces, each with linear probing. A piece is named by the first bits of a
+    context's code. An entry is a tag of 24 bits and a value of 8, or 0; the place tells the other bits of the key."""
+
+    bits: int  # 2 ** bits pieces
+    base: np.ndarray  # where each begins
+    size: np.ndarray  # places a key of it may start from
+    entries: np.ndarray  # uint32
+
+    @staticmethod
+    def layout(keys: np.ndarray, values: np.ndarray) -> tuple[int, np.ndarray]:
+        """Size and entries of a piece from distinct keys in rising order and their int8 values. Its last place is empty."""
+        n = len(keys)
+        size = n + n // 2 + 1
+        rank = np.arange(n)
+        start = ((keys >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+        place = rank + np.maximum.accumulate(start - rank) if n else rank
+        entries = np.zeros(max(size, place[-1] + 1 if n else 0) + 1, np.uint32)
+        entries[place] = (keys.astype(np.uint32) << np.uint32(8)) | np.uint32(256) | values.view(np.uint8)
+        return size, entries
+
+    def pieces(self, mixed: np.ndarray) -> np.ndarray:
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def look_up(self, mixed: np.ndarray, length: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Values (int8) for contexts repeated `length` times, with a node for each repeat; unseen ones have 0."""
+        piece = self.pieces(mixed)
+        keys = node_keys(np.repeat(mixed, length), node)
+        place = ((keys >> np.uint64(32)) * np.repeat(self.size[piece], length) >> np.uint64(32)).astype(np.int64)
+        place += np.repeat(self.base[piece], length)
+        tags = keys.astype(np.uint32)
+        tags <<= np.uint32(8)
+        tags |= np.uint32(256)
+        entry = self.entries.take(place)
+        away = (entry ^ tags) > 255
+        left = np.flatnonzero(away & (entry != 0))
+        out = entry.astype(np.uint8)
+        out[away] = 0
+        while len(left):
+            place[left] += 1
+            entry = self.entries.take(place[left])
+            found = (entry ^ tags[left]) <= 255
+            out[left[found]] = entry[found].astype(np.uint8)
+            left = left[~found & (entry != 0)]
+        return out.view(np.int8)
 
 
 _POWERS: list[np.ndarray] = []
@@ -132,30 +201,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-#: Odd factors by which the kinds' hashes of context and node become slots.
-_SLOT = [np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35), np.uint32(0x9E3779B1)]
-_SHIFT = np.uint32(32 - SLOT_BITS)
-_NODE_MIX = np.uint32(0x27D4EB2F)
-
-
-def decisions(symbols: np.ndarray, code: Code) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Place in the code (hence node, bit and gate) and slots by kind, of every decision of a text in order."""
-    scored = symbols[PAD:]
+def places(scored: np.ndarray, opens: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """Place in the code (hence node, bit and gate) of every decision of the symbols in order, and how many each symbol has."""
     length = code.length[scored]
-    *kinds, opens = contexts(symbols)
     first = code.start[scored] - np.cumsum(length) + length
     first += opens * (len(code.node) // 2)
     at = np.repeat(first, length)
     at += np.arange(len(at))
-    mixed = (code.node * _NODE_MIX).take(at, mode="clip")
-    out = []
-    for context, factor in zip(kinds, _SLOT, strict=True):
-        slot = np.repeat(context, length)
-        slot ^= mixed
-        slot *= factor
-        slot >>= _SHIFT
-        out.append(slot)
-    return at, out
+    return at, length
 
 
 def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -166,14 +219,14 @@ def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 @dataclass
 class Mixer:
     code: Code
-    tables: np.ndarray  # (KINDS, slots) int8
+    tables: Contexts
     plain: np.ndarray  # the node's own logit
     weights: np.ndarray  # (GATES, KINDS + 1)
     refine: np.ndarray  # (GATES, CELLS): the map's probabilities
     at_first: tuple[list[np.ndarray], np.ndarray, np.ndarray] | None = None  # see `settled`
 
     @classmethod
-    def fresh(cls, code: Code, tables: np.ndarray, plain: np.ndarray) -> Mixer:
+    def fresh(cls, code: Code, tables: Contexts, plain: np.ndarray) -> Mixer:
         weights = np.tile(np.array([0.2, 0.35, 0.45, 0.05], np.float32), (GATES, 1))
         cells = 1 / (1 + np.exp(-np.linspace(-8, 8, CELLS)))
         return cls(code, tables, plain, weights, np.tile(cells.astype(np.float32), (GATES, 1)))
@@ -198,9 +251,11 @@ class Mixer:
         """Total bits of a text. Weights and map start from the model's and adapt block by block; with `learn` they are kept there."""
         weights, refine = (learn.weights, learn.refine) if learn else (self.weights.copy(), self.refine.copy())
         total, n = 0.0, len(symbols) - PAD
+        kinds, opens = contexts(symbols)
         for k in range(0, n, BLOCK):
-            at, where = decisions(symbols[k : k + BLOCK + PAD], self.code)
-            inputs = [self.tables[j].take(slot) for j, slot in enumerate(where)]
+            at, length = places(symbols[PAD + k : PAD + k + BLOCK], opens[k : k + BLOCK], self.code)
+            node = self.code.node.take(at)
+            inputs = [self.tables.look_up(mixed_context(kinds[j][k : k + BLOCK], j), length, node) for j in range(KINDS)]
             untouched = learn is None and k == 0
             *spread, own = self.settled()[0] if untouched else self.by_place(weights)
             mixed = own.take(at, mode="clip")
@@ -264,74 +319,94 @@ def mixed_bits(mixed: np.ndarray, gate: np.ndarray, bit: np.ndarray, refine: np.
     return -float(np.log2(final).sum(dtype=np.float64))
 
 
-def learn_tables(train: DataFrame, code: Code, tasks: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
-    """Predictors from the bit counts of all texts of `train`. Every task adds up arrays of fixed size and sends their used parts."""
-    spark = train.sparkSession
-    prepare(spark)
-    shared = spark.sparkContext.broadcast(code)
-    part = 1 << 15
-    inner = len(code.start) - 1
+#: Distinct keys that a counting task holds before it sends them, and rows of the counts in a piece of `Contexts`.
+HELD_KEYS, PIECE_ROWS = 1 << 22, 1 << 18
+
+
+def context_counts(train: DataFrame) -> DataFrame:
+    """(context, symbol, n): how often each symbol follows each context, of all kinds, in the texts of `train`."""
+    prepare(train.sparkSession)
+
+    def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        every, n = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(every)
+        every, n = every[order], n[order]
+        first = np.flatnonzero(np.append(True, every[1:] != every[:-1])[: len(every)])
+        return every[first], np.add.reduceat(n, first) if len(first) else n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held, pending, waiting = [none] * KINDS, [[] for _ in range(KINDS)], 0
+
+        def settle() -> None:
+            for j in range(KINDS):
+                if pending[j]:
+                    keys, n = np.unique(np.concatenate(pending[j]), return_counts=True)
+                    held[j] = merged([held[j][0], keys], [held[j][1], n])
+                    pending[j].clear()
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for j in range(KINDS):
+                keys, n = held[j]
+                for k in range(0, len(keys), 1 << 16):
+                    some = keys[k : k + (1 << 16)]
+                    mixed = mixed_context(some >> np.uint64(9), j).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(mixed), pa.array((some & np.uint64(511)).astype(np.int16)), pa.array(n[k : k + (1 << 16)])], names=["context", "symbol", "n"])
+                held[j] = none
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((KINDS, 2 << SLOT_BITS), np.int32)
-        coded = shared.value
-        places = np.zeros(len(coded.node), np.int64)
-        any_text = False
         for batch in batches:
             for text in column_list(batch, "text"):
-                any_text = True
                 symbols = symbols_of(utf8(text))
-                for k in range(0, len(symbols) - PAD, 1 << 15):
-                    at, where = decisions(symbols[k : k + (1 << 15) + PAD], coded)
-                    bit = coded.bit.take(at, mode="clip")
-                    places += np.bincount(at, minlength=len(places))
-                    for j in range(KINDS):
-                        where[j] <<= np.uint32(1)
-                        where[j] |= bit
-                        pending[j].append(where[j])
-                    held[0] += len(bit)
-                    if held[0] >= 1 << 21:
-                        flush(seen)
-        flush(seen)
-        if any_text:
-            for j in range(KINDS):
-                for p in range(0, seen.shape[1], part):
-                    piece = seen[j, p : p + part]
-                    if piece.any():
-                        yield pa.RecordBatch.from_arrays([pa.array([j], pa.int32()), pa.array([p], pa.int32()), pa.array([piece.tobytes()], pa.binary())], names=["kind", "at", "counts"])
-            nodes = np.bincount(coded.node.astype(np.int64) * 2 + coded.bit, places, 2 * inner).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([KINDS], pa.int32()), pa.array([0], pa.int32()), pa.array([nodes.tobytes()], pa.binary())], names=["kind", "at", "counts"])
-
-    pending: list[list[np.ndarray]] = [[] for _ in range(KINDS)]
-    held = [0]
-
-    def flush(seen: np.ndarray) -> None:
-        for j in range(KINDS):
-            if pending[j]:
-                seen[j] += np.bincount(np.concatenate(pending[j]), minlength=seen.shape[1]).astype(np.int32)
-                pending[j].clear()
-        held[0] = 0
-
-    def add(key: tuple, table: pa.Table) -> pa.Table:
-        # One row from each counting task, so a group has at most `tasks` pieces of fixed size.
-        kind = np.int64 if key[0].as_py() == KINDS else np.int32
-        total = sum(np.frombuffer(raw.as_py(), kind).astype(np.int64) for raw in table.column("counts"))
-        if key[0].as_py() == KINDS:
-            raw = total.tobytes()
-        else:
-            raw = stretch(total[0::2], total[1::2]).tobytes()
-        return pa.table({"kind": [key[0].as_py()], "at": [key[1].as_py()], "value": [raw]}, pa.schema([("kind", pa.int32()), ("at", pa.int32()), ("value", pa.binary())]))
-
-    counted = train.select("text").coalesce(tasks).mapInArrow(count, "kind int, at int, counts binary")
-    added = scratch.keep(counted.groupBy("kind", "at").applyInArrow(add, "kind int, at int, value binary"), "tables")
-    tables, plain = np.zeros((KINDS, 1 << SLOT_BITS), np.int8), np.zeros(inner, np.float32)
-    for row in added.collect():  # of fixed size: a byte for each slot
-        if row["kind"] == KINDS:
-            nodes = np.frombuffer(row["value"], np.int64)
-            plain = stretch(nodes[0::2], nodes[1::2]).astype(np.float32)
-        else:
-            tables[row["kind"], row["at"] // 2 : row["at"] // 2 + part // 2] = np.frombuffer(row["value"], np.int8)
-    return tables, plain
+                for j, context in enumerate(contexts(symbols)[0]):
+                    pending[j].append((context << np.uint64(9)) | symbols[PAD:])
+                waiting += len(symbols)
+                if waiting >= 1 << 21:
+                    settle()
+                    waiting = 0
+                    if sum(len(h[0]) for h in held) >= HELD_KEYS:
+                        yield from rows()
+        settle()
+        yield from rows()
+
+    counted = train.select("text").mapInArrow(run, "context long, symbol short, n long")
+    return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+
+
+def learn_tables(train: DataFrame, code: Code, scratch: Scratch) -> tuple[Contexts, np.ndarray]:
+    """Predictors from the counts of all texts of `train`."""
+    spark = train.sparkSession
+    counts = scratch.keep(context_counts(train), "contexts")
+    bits = max(4, math.ceil(math.log2(max(1, counts.count() / PIECE_ROWS))))
+    shared = spark.sparkContext.broadcast(code)
+
+    def lay(key: tuple, table: pa.Table) -> pa.Table:
+        # The contexts of one piece, about PIECE_ROWS rows.
+        coded = shared.value
+        context, symbol, n = (table.column(c).to_numpy() for c in ("context", "symbol", "n"))
+        at, length = places(symbol, np.zeros(len(symbol), bool), coded)
+        keys, bit, n = node_keys(np.repeat(context.view(np.uint64), length), coded.node[at]), coded.bit[at], np.repeat(n, length)
+        order = np.argsort(keys)
+        keys, bit, n = keys[order], bit[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        total, ones = np.add.reduceat(n, first), np.add.reduceat(n * bit, first)
+        size, entries = Contexts.layout(keys[first], stretch(total - ones, ones))
+        return pa.table({"piece": [key[0].as_py()], "size": [size], "entries": [entries.tobytes()]}, pa.schema([("piece", pa.int32()), ("size", pa.int64()), ("entries", pa.binary())]))
+
+    piece = F.shiftrightunsigned("context", 64 - bits).cast("int").alias("piece")
+    laid = counts.select(piece, "context", "symbol", "n").groupBy("piece").applyInArrow(lay, "piece int, size long, entries binary")
+    laid = scratch.keep(laid, "tables")
+    size, parts = np.ones(1 << bits, np.uint64), [np.zeros(2, np.uint32)] * (1 << bits)
+    for row in laid.toLocalIterator():
+        size[row["piece"]], parts[row["piece"]] = row["size"], np.frombuffer(row["entries"], np.uint32)
+    base = np.cumsum([0] + [len(p) for p in parts[:-1]])
+    # The node's own counts: every symbol of a text follows one context of the first kind, so a third of all counts.
+    inner = len(code.start) - 1
+    seen = np.zeros(END + 1, np.int64)
+    for row in counts.groupBy("symbol").agg((F.sum("n") / KINDS).cast("long").alias("n")).collect():
+        seen[row["symbol"]] = row["n"]
+    at, length = places(np.arange(END + 1), np.zeros(END + 1, bool), code)
+    nodes = np.bincount(code.node[at].astype(np.int64) * 2 + code.bit[at], np.repeat(seen, length), 2 * inner)
+    return Contexts(bits, base, size, np.concatenate(parts)), stretch(nodes[0::2], nodes[1::2]).astype(np.float32)
 
 
 def fit(train: DataFrame, scratch: Scratch, weight_docs: int = 400) -> Mixer:
@@ -355,8 +430,7 @@ def fit(train: DataFrame, scratch: Scratch, weight_docs: int = 400) -> Mixer:
     for row in seen:
         counts[row["symbol"]] = row["n"]
     code = Code.huffman(counts)
-    tasks = 2 * max(1, spark.sparkContext.defaultParallelism)
-    mixer = Mixer.fresh(code, *learn_tables(train.where(~reserved), code, tasks, scratch))
+    mixer = Mixer.fresh(code, *learn_tables(train.where(~reserved), code, scratch))
     shared = spark.sparkContext.broadcast(mixer)
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

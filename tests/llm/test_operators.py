@@ -134,6 +134,30 @@ def test_mixing_first_block_costs():
     assert model.bits(np.zeros(op6_mixing.PAD, np.uint16)) == 0.0
 
 
+def test_mixing_contexts_share_no_counts():
+    """More contexts than any fixed array of 2 ** SLOT_BITS has places: each keeps its own value, and others have none."""
+    rng, n = np.random.default_rng(5), 3 << op6_mixing.SLOT_BITS
+    mixed = op6_mixing.mixed_context(np.arange(2 * n, dtype=np.uint64), 1)
+    node, one = rng.integers(0, 256, 2 * n).astype(np.uint32), np.ones(2 * n, np.int64)
+    value = rng.integers(1, 127, n).astype(np.int8)
+    keys = op6_mixing.node_keys(mixed[:n], node[:n])
+    order = np.argsort(keys)
+    size, entries = op6_mixing.Contexts.layout(keys[order], value[order])
+    table = op6_mixing.Contexts(4, np.zeros(16, np.int64), np.full(16, size, np.uint64), entries)
+    got = table.look_up(mixed, one, node)
+    assert (got[:n] == value).mean() > 0.9999 and (got[n:] != 0).mean() < 1e-4
+
+
+def test_mixing_context_counts(spark):
+    rows = [(1, "abcab"), (2, None), (3, "abcab")]
+    got = op6_mixing.context_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r["n"] for r in got) == op6_mixing.KINDS * (2 * 6 + 1)
+    kinds, _ = op6_mixing.contexts(op6_mixing.symbols_of(b"abcab"))
+    held = {(r["context"], r["symbol"]): r["n"] for r in got}
+    for j, kind in enumerate(kinds):
+        assert held[int(op6_mixing.mixed_context(kind, j).view(np.int64)[2]), ord("c")] == 2
+
+
 def test_line_dedup(spark, docs, monkeypatch):
     own = {k: t for k, t in enumerate(texts())}
     key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r"))
