@@ -9,8 +9,10 @@ before it is learned. The sum of -log2 over all decisions is the text's bits.
 
 Learning: the counts of every context and symbol are a written table that grows with the corpus. Per context and node of the
 code it becomes one entry of a hash table with check tags (`Contexts`), sized from the counted entries, so that contexts don't
-share counts however many there are. A small reserved sample (`weight_docs`) is left out of the counts; code, weights and map
-are fitted on it.
+share counts however many there are. The code comes from the symbols of all training texts. Weights and map are learned from all
+of them too, as texts that the tables have not seen: by a hash of its symbols a text is in one of two folds, and it is predicted from
+the counts of the other one. Every task learns from its texts; the weights' means over all steps and tasks are the model's, and the
+map comes from sums over all decisions. Scoring has the counts of both folds.
 
 `base_scores` is the unigram yardstick: word counts of all training texts; words above a share of the tokens are few by
 arithmetic and go to every task, the others meet their counts in a shuffle join by a 64-bit hash.
@@ -247,16 +249,16 @@ class Mixer:
             self.at_first = self.by_place(self.weights), (self.code.gate * 2 + self.code.bit) * LEVELS, costs.ravel()
         return self.at_first
 
-    def bits(self, symbols: np.ndarray, learn: Mixer | None = None, rate: float = 0.02) -> float:
-        """Total bits of a text. Weights and map start from the model's and adapt block by block; with `learn` they are kept there."""
-        weights, refine = (learn.weights, learn.refine) if learn else (self.weights.copy(), self.refine.copy())
+    def bits(self, symbols: np.ndarray, rate: float = 0.02) -> float:
+        """Total bits of a text. Weights and map start from the model's and adapt block by block."""
+        weights, refine = self.weights.copy(), self.refine.copy()
         total, n = 0.0, len(symbols) - PAD
         kinds, opens = contexts(symbols)
         for k in range(0, n, BLOCK):
             at, length = places(symbols[PAD + k : PAD + k + BLOCK], opens[k : k + BLOCK], self.code)
             node = self.code.node.take(at)
             inputs = [self.tables.look_up(mixed_context(kinds[j][k : k + BLOCK], j), length, node) for j in range(KINDS)]
-            untouched = learn is None and k == 0
+            untouched = k == 0
             *spread, own = self.settled()[0] if untouched else self.by_place(weights)
             mixed = own.take(at, mode="clip")
             for j in range(KINDS):
@@ -268,7 +270,7 @@ class Mixer:
                 total += self.first_bits(mixed, at)
             else:
                 total += mixed_bits(mixed, self.code.gate.take(at, mode="clip"), self.code.bit.take(at, mode="clip"), refine)
-            if learn is None and k + BLOCK >= n:
+            if k + BLOCK >= n:
                 break
             # What the block teaches, from every fourth decision: a step along the mean slope of each gate, and the map's
             # cells towards the observed share.
@@ -303,6 +305,54 @@ class Mixer:
 LIMIT, LEVELS = 12, 2048
 
 
+class Lesson:
+    """What a task learns from its texts: weights by small steps, with their mean over all decisions, and sums for the map's cells."""
+
+    def __init__(self, model: Mixer) -> None:
+        self.model, self.weights = model, model.weights.astype(np.float64)
+        self.sums, self.seen = np.zeros_like(self.weights), np.zeros(GATES)
+        self.count, self.ones = np.zeros(GATES * CELLS), np.zeros(GATES * CELLS)
+
+    def learn(self, symbols: np.ndarray, tables: Contexts, rate: float = 0.02) -> None:
+        code, plain = self.model.code, self.model.plain
+        kinds, opens = contexts(symbols)
+        for k in range(0, len(symbols) - PAD, BLOCK):
+            at, length = places(symbols[PAD + k : PAD + k + BLOCK], opens[k : k + BLOCK], code)
+            node, gate, bit = code.node.take(at), code.gate.take(at), code.bit.take(at)
+            inputs = [tables.look_up(mixed_context(kinds[j][k : k + BLOCK], j), length, node) for j in range(KINDS)]
+            inputs.append(plain.take(node))
+            mixed = sum(self.weights[:, j].take(gate) * x for j, x in enumerate(inputs)) / 16
+            np.clip(mixed, -LIMIT, LIMIT, out=mixed)
+            error, seen = bit - 1 / (1 + np.exp(-mixed)), np.bincount(gate, minlength=GATES)
+            cell = cell_of(mixed) + gate * CELLS
+            self.count += np.bincount(cell, minlength=GATES * CELLS)
+            self.ones += np.bincount(cell, bit, GATES * CELLS)
+            step = rate / 16 / np.maximum(seen, 1) * np.minimum(seen, 200) ** 0.5
+            for j, x in enumerate(inputs):
+                self.weights[:, j] += step * np.bincount(gate, error * x, GATES)
+            self.sums += self.weights * seen[:, None]
+            self.seen += seen
+
+    def packed(self) -> bytes:
+        return np.concatenate([self.sums.ravel(), self.seen, self.count, self.ones]).tobytes()
+
+    @staticmethod
+    def settle(model: Mixer, lessons: list[bytes]) -> None:
+        """Gives the model the weights' means and the map of all lessons."""
+        if not lessons:
+            return
+        total = np.sum([np.frombuffer(raw) for raw in lessons], axis=0)
+        sums, seen, count, ones = np.split(total, np.cumsum([GATES * (KINDS + 1), GATES, GATES * CELLS]))
+        met = seen > 0
+        model.weights[met] = sums.reshape(GATES, -1)[met] / seen[met, None]
+        model.refine = np.clip((ones.reshape(GATES, CELLS) + 60 * model.refine) / (count.reshape(GATES, CELLS) + 60), 1e-5, 1 - 1e-5).astype(np.float32)
+
+
+def fold_of(symbols: np.ndarray) -> int:
+    """0 or 1; equal texts are in one fold."""
+    return xxhash.xxh3_64_intdigest(symbols.tobytes()) & 1
+
+
 def cell_of(mixed: np.ndarray) -> np.ndarray:
     """The map's cell for a mixed prediction."""
     return np.clip((mixed + 8) * ((CELLS - 1) / 16) + 0.5, 0, CELLS - 0.5).astype(np.int64)
@@ -324,7 +374,7 @@ HELD_KEYS, PIECE_ROWS = 1 << 22, 1 << 18
 
 
 def context_counts(train: DataFrame) -> DataFrame:
-    """(context, symbol, n): how often each symbol follows each context, of all kinds, in the texts of `train`."""
+    """(context, symbol, n, odd): how often each symbol follows each context, of all kinds, in the texts of `train`, and in those of fold 1."""
     prepare(train.sparkSession)
 
     def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -336,28 +386,29 @@ def context_counts(train: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        held, pending, waiting = [none] * KINDS, [[] for _ in range(KINDS)], 0
+        held, pending, waiting = [none] * (2 * KINDS), [[] for _ in range(2 * KINDS)], 0  # by fold and kind
 
         def settle() -> None:
-            for j in range(KINDS):
+            for j in range(2 * KINDS):
                 if pending[j]:
                     keys, n = np.unique(np.concatenate(pending[j]), return_counts=True)
                     held[j] = merged([held[j][0], keys], [held[j][1], n])
                     pending[j].clear()
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for j in range(KINDS):
+            for j in range(2 * KINDS):
                 keys, n = held[j]
                 for k in range(0, len(keys), 1 << 16):
                     some = keys[k : k + (1 << 16)]
-                    mixed = mixed_context(some >> np.uint64(9), j).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(mixed), pa.array((some & np.uint64(511)).astype(np.int16)), pa.array(n[k : k + (1 << 16)])], names=["context", "symbol", "n"])
+                    mixed = mixed_context(some >> np.uint64(9), j % KINDS).view(np.int64)
+                    times = n[k : k + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(mixed), pa.array((some & np.uint64(511)).astype(np.int16)), pa.array(times), pa.array(times * (j // KINDS))], names=["context", "symbol", "n", "odd"])
                 held[j] = none
 
         for batch in batches:
             for text in column_list(batch, "text"):
                 symbols = symbols_of(utf8(text))
-                for j, context in enumerate(contexts(symbols)[0]):
+                for j, context in enumerate(contexts(symbols)[0], KINDS * fold_of(symbols)):
                     pending[j].append((context << np.uint64(9)) | symbols[PAD:])
                 waiting += len(symbols)
                 if waiting >= 1 << 21:
@@ -368,83 +419,77 @@ def context_counts(train: DataFrame) -> DataFrame:
         settle()
         yield from rows()
 
-    counted = train.select("text").mapInArrow(run, "context long, symbol short, n long")
-    return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    counted = train.select("text").mapInArrow(run, "context long, symbol short, n long, odd long")
+    return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"), F.sum("odd").alias("odd"))
 
 
-def learn_tables(train: DataFrame, code: Code, scratch: Scratch) -> tuple[Contexts, np.ndarray]:
-    """Predictors from the counts of all texts of `train`."""
-    spark = train.sparkSession
-    counts = scratch.keep(context_counts(train), "contexts")
+def learn_tables(counts: DataFrame, code: Code, scratch: Scratch) -> DataFrame:
+    """(seen, piece, bits, size, entries): the pieces of `Contexts` from the counts of fold 0, fold 1 and both (seen 0, 1, 2)."""
     bits = max(4, math.ceil(math.log2(max(1, counts.count() / PIECE_ROWS))))
-    shared = spark.sparkContext.broadcast(code)
+    shared = counts.sparkSession.sparkContext.broadcast(code)
+    schema = pa.schema([("seen", pa.int32()), ("piece", pa.int32()), ("bits", pa.int32()), ("size", pa.int64()), ("entries", pa.binary())])
 
     def lay(key: tuple, table: pa.Table) -> pa.Table:
         # The contexts of one piece, about PIECE_ROWS rows.
         coded = shared.value
-        context, symbol, n = (table.column(c).to_numpy() for c in ("context", "symbol", "n"))
+        context, symbol, n, odd = (table.column(c).to_numpy() for c in ("context", "symbol", "n", "odd"))
         at, length = places(symbol, np.zeros(len(symbol), bool), coded)
-        keys, bit, n = node_keys(np.repeat(context.view(np.uint64), length), coded.node[at]), coded.bit[at], np.repeat(n, length)
+        keys, bit = node_keys(np.repeat(context.view(np.uint64), length), coded.node[at]), coded.bit[at]
         order = np.argsort(keys)
-        keys, bit, n = keys[order], bit[order], n[order]
+        keys, bit = keys[order], bit[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        total, ones = np.add.reduceat(n, first), np.add.reduceat(n * bit, first)
-        size, entries = Contexts.layout(keys[first], stretch(total - ones, ones))
-        return pa.table({"piece": [key[0].as_py()], "size": [size], "entries": [entries.tobytes()]}, pa.schema([("piece", pa.int32()), ("size", pa.int64()), ("entries", pa.binary())]))
+        out = []
+        for seen, times in enumerate((n - odd, odd, n)):
+            times = np.repeat(times, length)[order]
+            total, ones = np.add.reduceat(times, first), np.add.reduceat(times * bit, first)
+            met = total > 0
+            size, entries = Contexts.layout(keys[first][met], stretch(total - ones, ones)[met])
+            out.append({"seen": seen, "piece": key[0].as_py(), "bits": bits, "size": size, "entries": entries.tobytes()})
+        return pa.Table.from_pylist(out, schema)
 
     piece = F.shiftrightunsigned("context", 64 - bits).cast("int").alias("piece")
-    laid = counts.select(piece, "context", "symbol", "n").groupBy("piece").applyInArrow(lay, "piece int, size long, entries binary")
-    laid = scratch.keep(laid, "tables")
-    size, parts = np.ones(1 << bits, np.uint64), [np.zeros(2, np.uint32)] * (1 << bits)
-    for row in laid.toLocalIterator():
-        size[row["piece"]], parts[row["piece"]] = row["size"], np.frombuffer(row["entries"], np.uint32)
-    base = np.cumsum([0] + [len(p) for p in parts[:-1]])
-    # The node's own counts: every symbol of a text follows one context of the first kind, so a third of all counts.
-    inner = len(code.start) - 1
-    seen = np.zeros(END + 1, np.int64)
-    for row in counts.groupBy("symbol").agg((F.sum("n") / KINDS).cast("long").alias("n")).collect():
-        seen[row["symbol"]] = row["n"]
-    at, length = places(np.arange(END + 1), np.zeros(END + 1, bool), code)
-    nodes = np.bincount(code.node[at].astype(np.int64) * 2 + code.bit[at], np.repeat(seen, length), 2 * inner)
-    return Contexts(bits, base, size, np.concatenate(parts)), stretch(nodes[0::2], nodes[1::2]).astype(np.float32)
+    laid = counts.select(piece, "context", "symbol", "n", "odd").groupBy("piece").applyInArrow(lay, "seen int, piece int, bits int, size long, entries binary")
+    return scratch.keep(laid, "tables")
 
 
-def fit(train: DataFrame, scratch: Scratch, weight_docs: int = 400) -> Mixer:
-    """The model of the training texts (doc_id, text)."""
-    spark = train.sparkSession
-    prepare(spark)
-    n = train.count()
-    reserved = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < int((1 << 30) * min(weight_docs / max(n, 1), 0.1))
-    reserved = F.coalesce(reserved, F.lit(False))
-    sample = scratch.keep(train.where(reserved).select("text"), "sample")
+def gathered(laid: DataFrame, seen: int) -> Contexts:
+    bits, size, parts = 4, {}, {}
+    for row in laid.where(F.col("seen") == seen).toLocalIterator():
+        bits, size[row["piece"]], parts[row["piece"]] = row["bits"], row["size"], np.frombuffer(row["entries"], np.uint32)
+    every = [parts.get(p, np.zeros(2, np.uint32)) for p in range(1 << bits)]
+    return Contexts(bits, np.cumsum([0] + [len(p) for p in every[:-1]]), np.array([size.get(p, 1) for p in range(1 << bits)], np.uint64), np.concatenate(every))
 
-    def bytes_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total = np.zeros(END + 1, np.int64)
-            for text in column_list(batch, "text"):
-                total += np.bincount(symbols_of(utf8(text))[PAD:], minlength=END + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(END + 1)), pa.array(total)], names=["symbol", "n"])
 
-    seen = sample.mapInArrow(bytes_seen, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(END + 1, np.int64)
-    for row in seen:
-        counts[row["symbol"]] = row["n"]
-    code = Code.huffman(counts)
-    mixer = Mixer.fresh(code, *learn_tables(train.where(~reserved), code, scratch))
-    shared = spark.sparkContext.broadcast(mixer)
+def fit(train: DataFrame, scratch: Scratch) -> Mixer:
+    """The model of the training texts (text)."""
+    spark = train.sparkSession
+    prepare(spark)
+    counts = scratch.keep(context_counts(train), "contexts")
+    # Every symbol of a text follows one context of each kind.
+    seen = np.zeros(END + 1, np.int64)
+    for row in counts.groupBy("symbol").agg((F.sum("n") / KINDS).cast("long").alias("n")).collect():
+        seen[row["symbol"]] = row["n"]
+    code = Code.huffman(seen)
+    at, length = places(np.arange(END + 1), np.zeros(END + 1, bool), code)
+    nodes = np.bincount(code.node[at].astype(np.int64) * 2 + code.bit[at], np.repeat(seen, length), 2 * END)
+    plain = stretch(nodes[0::2], nodes[1::2]).astype(np.float32)
+    laid = learn_tables(counts, code, scratch)
+    half = spark.sparkContext.broadcast((Mixer.fresh(code, None, plain), [gathered(laid, 0), gathered(laid, 1)]))
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        state = Mixer(model.code, model.tables, model.plain, model.weights.copy(), model.refine.copy())
+        model, tables = half.value
+        lesson = Lesson(model)
         for batch in batches:
-            for text in sorted(column_list(batch, "text"), key=lambda t: (len(t or ""), t or "")):
-                model.bits(symbols_of(utf8(text)), learn=state)
-        yield pa.RecordBatch.from_arrays([pa.array([state.weights.astype(np.float32).tobytes()], pa.binary()), pa.array([state.refine.astype(np.float32).tobytes()], pa.binary())], names=["weights", "refine"])
-
-    got = sample.coalesce(1).mapInArrow(teach, "weights binary, refine binary").collect()  # about `weight_docs` texts, whatever the corpus
-    if got:
-        mixer.weights = np.frombuffer(got[0]["weights"], np.float32).reshape(GATES, KINDS + 1).copy()
-        mixer.refine = np.frombuffer(got[0]["refine"], np.float32).reshape(GATES, CELLS).copy()
+            for text in column_list(batch, "text"):
+                symbols = symbols_of(utf8(text))
+                lesson.learn(symbols, tables[1 - fold_of(symbols)])
+        yield pa.RecordBatch.from_arrays([pa.array([lesson.packed()], pa.binary())], names=["lesson"])
+
+    # A row of 18 KB from each task.
+    lessons = scratch.keep(train.select("text").mapInArrow(teach, "lesson binary"), "lessons").collect()
+    half.destroy()
+    mixer = Mixer.fresh(code, gathered(laid, 2), plain)
+    Lesson.settle(mixer, sorted(bytes(row["lesson"]) for row in lessons))
     return mixer
 
 
@@ -483,7 +528,7 @@ def word_counts(train: DataFrame) -> DataFrame:
 def score(docs: DataFrame, train: DataFrame, weight_docs: int = 400) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score, total_bits, n_bytes of every row of docs, learned from `train`.
 
-    Both have doc_id and text. `score` is the model's log10 probability, `total_bits` the same in bits.
+    Both have doc_id and text. `weight_docs` limited the texts that weights were learned from; all are used now. `score` is the model's log10 probability, `total_bits` the same in bits.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
@@ -493,7 +538,7 @@ def score(docs: DataFrame, train: DataFrame, weight_docs: int = 400) -> DataFram
     least = max(1, math.ceil(n * FREQUENT_SHARE))
     frequent = counts.where(F.col("c") >= least).toPandas().sort_values("key")  # at most 1 / FREQUENT_SHARE rows
     known = spark.sparkContext.broadcast((frequent["key"].to_numpy(np.int64), frequent["c"].to_numpy(np.int64)))
-    model = spark.sparkContext.broadcast(fit(train, scratch, weight_docs))
+    model = spark.sparkContext.broadcast(fit(train, scratch))
     norm = math.log10(n + 0.5 * (v + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

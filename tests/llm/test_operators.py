@@ -158,6 +158,25 @@ def test_mixing_context_counts(spark):
         assert held[int(op6_mixing.mixed_context(kind, j).view(np.int64)[2]), ord("c")] == 2
 
 
+def test_mixing_learns_from_all_training_texts(spark):
+    """Symbols of the code and decisions behind weights and map are those of every training text, however small the share asked for."""
+    rows = [(k, t) for k, t in enumerate(texts(200, seed=8))] + [(999, "ωωωω")]
+    train = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = []
+    settle = op6_mixing.Lesson.settle
+    op6_mixing.Lesson.settle = staticmethod(lambda model, lessons: (kept.append((model, lessons)), settle(model, lessons)))
+    try:
+        op6_mixing.score(train, train, weight_docs=1).count()
+    finally:
+        op6_mixing.Lesson.settle = staticmethod(settle)
+    model, lessons = kept[0]
+    symbols = np.concatenate([op6_mixing.symbols_of((t or "").encode())[op6_mixing.PAD :] for _, t in rows])
+    assert (model.code.length == op6_mixing.Code.huffman(np.bincount(symbols, minlength=257)).length).all()
+    total = np.sum([np.frombuffer(raw) for raw in lessons], axis=0)
+    at = op6_mixing.GATES * (op6_mixing.KINDS + 1)
+    assert total[at : at + op6_mixing.GATES].sum() == model.code.length[symbols].sum()
+
+
 def test_line_dedup(spark, docs, monkeypatch):
     own = {k: t for k, t in enumerate(texts())}
     key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r"))
