@@ -4,8 +4,8 @@ A text is scored as the sequence of its lower-cased words, joined by single blan
 is a path of binary decisions (its Huffman code), and each decision has several predictions: one for every kind of
 context, read from a table at the hash of context and node, and one of the node alone. Stretched predictions are added up
 with weights chosen by a gate (how far down the code and whether a word begins), squashed, and refined by an adaptive map
-from the mixed prediction to the observed share. Weights and map move on with the text in blocks, each block being scored
-before it is learned. The sum of -log2 over all decisions is the text's bits.
+from the mixed prediction to the observed share. Weights and map move on with the text in steps of STEP symbols, each step being
+scored before all of its decisions are learned; many texts are stepped through side by side, each with weights and map of its own. The sum of -log2 over all decisions is the text's bits.
 
 Learning: the counts of every context and symbol are a written table that grows with the corpus. Per context and node of the
 code it becomes one entry of a hash table with check tags (`Contexts`), sized from the counted entries, so that contexts don't
@@ -43,7 +43,10 @@ KINDS = 3  # contexts: the last three symbols, the last five, the word so far
 PAD = 6
 GATES = 32
 CELLS = 33
-BLOCK = 4096
+BLOCK = 4096  # symbols that a lesson takes at once
+STEP = 32  # symbols after which a text's own weights and map adapt
+#: Symbols of all texts that are stepped through side by side, and steps whose decisions are looked up at once.
+TOGETHER, STEPS = 1 << 17, 64
 
 #: A word with at least this share of the training tokens is known to every task: at most 1 / share words.
 FREQUENT_SHARE = 1 / 200_000
@@ -213,6 +216,10 @@ def places(scored: np.ndarray, opens: np.ndarray, code: Code) -> tuple[np.ndarra
     return at, length
 
 
+#: Pace of a text's own weights.
+RATE = 0.02
+
+
 def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logit of the share of ones in sixteenths, as small integers. Unseen contexts say nothing (0)."""
     return np.clip(np.rint(16 * np.log((ones + 0.05) / (zeros + 0.05))), -127, 127).astype(np.int8)
@@ -249,45 +256,69 @@ class Mixer:
             self.at_first = self.by_place(self.weights), (self.code.gate * 2 + self.code.bit) * LEVELS, costs.ravel()
         return self.at_first
 
-    def bits(self, symbols: np.ndarray, rate: float = 0.02) -> float:
-        """Total bits of a text. Weights and map start from the model's and adapt block by block."""
-        weights, refine = self.weights.copy(), self.refine.copy()
-        total, n = 0.0, len(symbols) - PAD
-        kinds, opens = contexts(symbols)
-        for k in range(0, n, BLOCK):
-            at, length = places(symbols[PAD + k : PAD + k + BLOCK], opens[k : k + BLOCK], self.code)
-            node = self.code.node.take(at)
-            inputs = [self.tables.look_up(mixed_context(kinds[j][k : k + BLOCK], j), length, node) for j in range(KINDS)]
-            untouched = k == 0
-            *spread, own = self.settled()[0] if untouched else self.by_place(weights)
-            mixed = own.take(at, mode="clip")
-            for j in range(KINDS):
-                part = spread[j].take(at, mode="clip")
-                part *= inputs[j]
-                mixed += part
-            np.clip(mixed, -LIMIT, LIMIT, out=mixed)
-            if untouched:
-                total += self.first_bits(mixed, at)
-            else:
-                total += mixed_bits(mixed, self.code.gate.take(at, mode="clip"), self.code.bit.take(at, mode="clip"), refine)
-            if k + BLOCK >= n:
-                break
-            # What the block teaches, from every fourth decision: a step along the mean slope of each gate, and the map's
-            # cells towards the observed share.
-            few = slice(k % 4, None, 4)
-            at, mixed = at[few], mixed[few]
-            gate, bit = self.code.gate[at], self.code.bit[at]
-            cell = cell_of(mixed) + gate * CELLS
-            error, seen = (bit - 1 / (1 + np.exp(-mixed))).astype(np.float32), np.bincount(gate, minlength=GATES)
-            step = rate / 16 / np.maximum(seen, 1) * np.minimum(seen, 200) ** 0.5
-            for j in range(KINDS):
-                weights[:, j] += step * np.bincount(gate, error * inputs[j][few], GATES)
-            weights[:, KINDS] += step * np.bincount(gate, error * self.plain[self.code.node[at]], GATES)
-            count = np.bincount(cell, minlength=GATES * CELLS)
-            ones = np.bincount(cell, bit, GATES * CELLS)
-            flat = refine.ravel()
-            flat += ((ones - count * flat) / (count + 60)).astype(np.float32)
-            np.clip(refine, 1e-5, 1 - 1e-5, out=refine)
+    def bits(self, symbols: np.ndarray) -> float:
+        """Total bits of a text."""
+        return float(self.all_bits([symbols])[0])
+
+    def all_bits(self, texts: list[np.ndarray], rate: float = RATE, adapt: bool = True) -> np.ndarray:
+        """Total bits of every text. Weights and map of each start from the model's and adapt step by step, apart from the others'."""
+        total = np.zeros(len(texts))
+        order = sorted(range(len(texts)), key=lambda t: -len(texts[t]))
+        k = 0
+        while k < len(order):
+            some, held = [], 0
+            while k < len(order) and (not some or held + len(texts[order[k]]) <= TOGETHER):
+                some.append(order[k])
+                held += len(texts[order[k]])
+                k += 1
+            total[some] = self.side_by_side([texts[t] for t in some], rate, adapt)
+        return total
+
+    def side_by_side(self, texts: list[np.ndarray], rate: float, adapt: bool) -> np.ndarray:
+        """`all_bits` of texts in falling order of length, so that those which still go on are the first ones."""
+        code, total, lengths = self.code, np.zeros(len(texts)), np.array([len(t) - PAD for t in texts])
+        known = [contexts(t) for t in texts]
+        weights = np.repeat(self.weights.astype(np.float32).T[:, None], len(texts), 1).reshape(KINDS + 1, -1) / np.float32(16)  # by kind, text and gate
+        refine, count = np.tile(self.refine.astype(np.float32).ravel(), len(texts)), np.zeros(len(texts) * GATES * CELLS, np.int32)
+        for begin in range(0, int(lengths.max(initial=0)), STEP * STEPS):
+            on = int((lengths > begin).sum())
+            here = slice(begin, begin + STEP * STEPS)
+            size = np.minimum(lengths[:on] - begin, STEP * STEPS)
+            owner = np.repeat(np.arange(on), size)
+            step = (np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)) // STEP
+            turn = np.argsort(step, kind="stable")  # by step, text and place in the text
+            at, length = places(np.concatenate([t[PAD:][here] for t in texts[:on]])[turn], np.concatenate([o[here] for _, o in known[:on]])[turn], code)
+            node = code.node.take(at)
+            inputs = [self.tables.look_up(mixed_context(np.concatenate([c[j][here] for c, _ in known[:on]])[turn], j), length, node).astype(np.float32) for j in range(KINDS)]
+            inputs.append(self.plain.take(node))
+            text, bit = np.repeat(owner[turn], length), code.bit.take(at).astype(np.float32)
+            gate = text * GATES + code.gate.take(at)
+            ends = np.cumsum(length)[np.cumsum(np.bincount(step)) - 1]
+            cost, low = np.empty(len(at)), 0
+            for high in ends.tolist():
+                now, low = slice(low, high), high
+                g, b, x = gate[now], bit[now], [i[now] for i in inputs]
+                mixed = weights[0].take(g) * x[0]
+                for j in range(1, KINDS + 1):
+                    mixed += weights[j].take(g) * x[j]
+                np.clip(mixed, -LIMIT, LIMIT, out=mixed)
+                chance = 1 / (1 + np.exp(-mixed))
+                cell = cell_of(mixed) + g * CELLS
+                mapped = refine.take(cell)
+                final = (mapped + chance) * np.float32(0.5)
+                cost[now] = np.abs(1 - b - np.clip(final, 1e-5, 1 - 1e-5))
+                if not adapt:
+                    continue
+                # A step along the mean slope of each gate of each text, and the map's cells towards the observed share.
+                error, most = b - chance, (int(text[now][-1]) + 1) * GATES
+                seen = np.bincount(g, minlength=most)
+                pace = rate / 256 / np.maximum(seen, 1) ** 0.5
+                for j in range(KINDS + 1):
+                    weights[j, :most] += pace * np.bincount(g, error * x[j], most)
+                np.add.at(count, cell, 1)
+                np.add.at(refine, cell, (b - mapped) / (count.take(cell) + np.float32(60)))
+                count[cell] = 0
+            total[:on] -= np.bincount(text, np.log2(cost), on)
         return total
 
     def first_bits(self, mixed: np.ndarray, at: np.ndarray) -> float:
@@ -313,8 +344,8 @@ class Lesson:
         self.sums, self.seen = np.zeros_like(self.weights), np.zeros(GATES)
         self.count, self.ones = np.zeros(GATES * CELLS), np.zeros(GATES * CELLS)
 
-    def learn(self, symbols: np.ndarray, tables: Contexts, rate: float = 0.02) -> None:
-        code, plain = self.model.code, self.model.plain
+    def learn(self, symbols: np.ndarray, rate: float = 0.02) -> None:
+        code, plain, tables = self.model.code, self.model.plain, self.model.tables
         kinds, opens = contexts(symbols)
         for k in range(0, len(symbols) - PAD, BLOCK):
             at, length = places(symbols[PAD + k : PAD + k + BLOCK], opens[k : k + BLOCK], code)
@@ -453,11 +484,17 @@ def learn_tables(counts: DataFrame, code: Code, scratch: Scratch) -> DataFrame:
 
 
 def gathered(laid: DataFrame, seen: int) -> Contexts:
-    bits, size, parts = 4, {}, {}
-    for row in laid.where(F.col("seen") == seen).toLocalIterator():
-        bits, size[row["piece"]], parts[row["piece"]] = row["bits"], row["size"], np.frombuffer(row["entries"], np.uint32)
-    every = [parts.get(p, np.zeros(2, np.uint32)) for p in range(1 << bits)]
-    return Contexts(bits, np.cumsum([0] + [len(p) for p in every[:-1]]), np.array([size.get(p, 1) for p in range(1 << bits)], np.uint64), np.concatenate(every))
+    mine = laid.where(F.col("seen") == seen)
+    about = mine.select("piece", "bits", "size", (F.length("entries") / 4).cast("long").alias("n")).collect()  # a row for each piece
+    bits = about[0]["bits"] if about else 4
+    size, places_of = np.ones(1 << bits, np.uint64), np.full(1 << bits, 2)  # a piece without contexts has empty places only
+    for row in about:
+        size[row["piece"]], places_of[row["piece"]] = row["size"], row["n"]
+    ends = np.cumsum(places_of)
+    out = Contexts(bits, ends - places_of, size, np.zeros(int(ends[-1]), np.uint32))
+    for row in mine.select("piece", "entries").toLocalIterator():
+        out.entries[out.base[row["piece"]] : ends[row["piece"]]] = np.frombuffer(row["entries"], np.uint32)
+    return out
 
 
 def fit(train: DataFrame, scratch: Scratch) -> Mixer:
@@ -474,22 +511,27 @@ def fit(train: DataFrame, scratch: Scratch) -> Mixer:
     nodes = np.bincount(code.node[at].astype(np.int64) * 2 + code.bit[at], np.repeat(seen, length), 2 * END)
     plain = stretch(nodes[0::2], nodes[1::2]).astype(np.float32)
     laid = learn_tables(counts, code, scratch)
-    half = spark.sparkContext.broadcast((Mixer.fresh(code, None, plain), [gathered(laid, 0), gathered(laid, 1)]))
 
-    def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, tables = half.value
-        lesson = Lesson(model)
-        for batch in batches:
-            for text in column_list(batch, "text"):
-                symbols = symbols_of(utf8(text))
-                lesson.learn(symbols, tables[1 - fold_of(symbols)])
-        yield pa.RecordBatch.from_arrays([pa.array([lesson.packed()], pa.binary())], names=["lesson"])
+    def lessons_of(fold: int) -> list[bytes]:
+        shared = spark.sparkContext.broadcast(Mixer.fresh(code, gathered(laid, 1 - fold), plain))
+
+        def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lesson = Lesson(shared.value)
+            for batch in batches:
+                for text in column_list(batch, "text"):
+                    symbols = symbols_of(utf8(text))
+                    if fold_of(symbols) == fold:
+                        lesson.learn(symbols)
+            yield pa.RecordBatch.from_arrays([pa.array([lesson.packed()], pa.binary())], names=["lesson"])
+
+        # A row of 18 KB from each task.
+        rows = scratch.keep(train.select("text").mapInArrow(teach, "lesson binary"), f"lessons{fold}").collect()
+        shared.destroy()
+        return sorted(bytes(row["lesson"]) for row in rows)
 
-    # A row of 18 KB from each task.
-    lessons = scratch.keep(train.select("text").mapInArrow(teach, "lesson binary"), "lessons").collect()
-    half.destroy()
+    lessons = [*lessons_of(0), *lessons_of(1)]
     mixer = Mixer.fresh(code, gathered(laid, 2), plain)
-    Lesson.settle(mixer, sorted(bytes(row["lesson"]) for row in lessons))
+    Lesson.settle(mixer, lessons)
     return mixer
 
 
@@ -549,9 +591,11 @@ def score(docs: DataFrame, train: DataFrame, weight_docs: int = 400) -> DataFram
         memo: dict[bytes, tuple[int, int]] = {}
         for batch in batches:
             out: list[tuple] = []
+            all_symbols: list[np.ndarray] = []
             for text in column_list(batch, "text"):
                 raw = utf8(text)
                 symbols = symbols_of(raw)
+                all_symbols.append(symbols)
                 words = symbols[PAD:-1].astype(np.uint8).tobytes().split()
                 base, seen, rare, times = 0.0, 0, [], []
                 held = Counter(words)
@@ -575,7 +619,8 @@ def score(docs: DataFrame, train: DataFrame, weight_docs: int = 400) -> DataFram
                 if place[-1] < 0:  # so rare only where no or few texts are long
                     rare.append(_END_KEY)
                     times.append(1)
-                out.append((len(words) + 1, seen, base, mixer.bits(symbols), len(symbols) - PAD - 1, rare, times))
+                out.append((len(words) + 1, seen, base, len(symbols) - PAD - 1, rare, times))
+            out = [(*o[:3], total, *o[3:]) for o, total in zip(out, mixer.all_bits(all_symbols).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1)] + [pa.array([o[j] for o in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())))],
                 names=["_row", "doc_id", "n_tokens", "seen", "base", "total_bits", "n_bytes", "rare", "times"],

@@ -177,6 +177,20 @@ def test_mixing_learns_from_all_training_texts(spark):
     assert total[at : at + op6_mixing.GATES].sum() == model.code.length[symbols].sum()
 
 
+def test_mixing_adapts_within_short_texts():
+    """A text below a block teaches weights and map, from all decisions, and its bits don't depend on its neighbours."""
+    rng = np.random.default_rng(2)
+    code = op6_mixing.Code.huffman(rng.integers(0, 1000, 257))
+    nothing = op6_mixing.Contexts(4, np.arange(16) * 2, np.ones(16, np.uint64), np.zeros(32, np.uint32))
+    model = op6_mixing.Mixer.fresh(code, nothing, rng.integers(-50, 50, 256).astype(np.float32))
+    short = [op6_mixing.symbols_of(b"qzx jqv " * k) for k in (1, 3, 40, 200)]
+    alone = np.array([model.bits(t) for t in short])
+    assert (alone == model.all_bits(short[::-1])[::-1]).all()
+    still = model.all_bits(short, adapt=False)
+    assert alone[2] < 0.99 * still[2] and alone[3] < 0.95 * still[3]
+    assert alone[0] == pytest.approx(still[0]) and alone[3] / 200 < alone[2] / 40
+
+
 def test_line_dedup(spark, docs, monkeypatch):
     own = {k: t for k, t in enumerate(texts())}
     key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r"))
