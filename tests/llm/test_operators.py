@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -50,6 +51,19 @@ def test_license(spark):
     assert got[6]["matches"][0]["repeats"] == 2
 
 
+def test_license_within_lines_and_across_them(spark):
+    own = op1_license.TEMPLATES
+    wrap = lambda name, width, mark="": "\n".join(mark + x for x in textwrap.wrap(own[name], width))
+    sentence = "It was a long and quiet day by the river and nobody in the town had thought of the old mill again. "
+    rows = [
+        "Copyright 2021 Foo Bar. Released under the MIT License.", sentence + own["MIT-short"] + " " + sentence, sentence * 30 + wrap("MIT", 60) + "\n" + sentence * 30, wrap("GPL-3.0", 40, "# "),
+        own["MIT-short"] + "\n" + own["CC-BY-NC-4.0-short"], wrap("Apache-2.0", 70) + "\n\n" + wrap("BSD-3-Clause", 70), sentence + "The permission is with the license office.",
+    ]
+    got = by_id(op1_license.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")))
+    assert [got[k]["licenses"] for k in range(7)] == [["MIT-short"], ["MIT-short"], ["MIT"], ["GPL-3.0"], ["CC-BY-NC-4.0-short", "MIT-short"], ["Apache-2.0", "BSD-3-Clause"], []]
+    assert all(m["exact"] for k in range(6) for m in got[k]["matches"])
+
+
 def test_bpe_equals_the_library(spark, docs):
     from tokenizers import Tokenizer
 
