@@ -117,6 +117,19 @@ def test_html(spark):
     assert (got[100], got[101], got[102], got[103]) == ("", "", "T a b", "plain text")
 
 
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>"])
+def test_html_keeps_near_copies(spark, wrap):
+    """A host of editions of one article, each with a word of its own, loses no paragraph; a menu among different pages goes."""
+    r = random.Random(6)
+    paragraph = lambda: " ".join(r.choices(WORDS, k=40))
+    common = [paragraph() for _ in range(5)]
+    rows = [(k, "http://near.example/", wrap.format("".join(f"<p>{p}</p>" for p in [*common, f"edition {k} of this text"]))) for k in range(60)]
+    rows += [(100 + k, "http://other.example/", f"<div>home news about</div><p>{paragraph()}</p>") for k in range(30)]
+    got = {g["page_id"]: g["text"] for g in op5_html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == " ".join([*common, f"edition {k} of this text"]) for k in range(60))
+    assert not any("home" in got[100 + k] for k in range(30))
+
+
 def test_mixing_and_base_scores(spark, docs):
     own = {k: t for k, t in enumerate(texts())}
     train = docs.where("doc_id % 5 <> 1")
