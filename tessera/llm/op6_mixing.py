@@ -511,6 +511,7 @@ def fit(train: DataFrame, scratch: Scratch) -> Mixer:
     nodes = np.bincount(code.node[at].astype(np.int64) * 2 + code.bit[at], np.repeat(seen, length), 2 * END)
     plain = stretch(nodes[0::2], nodes[1::2]).astype(np.float32)
     laid = learn_tables(counts, code, scratch)
+    scratch.drop("contexts")
 
     def lessons_of(fold: int) -> list[bytes]:
         shared = spark.sparkContext.broadcast(Mixer.fresh(code, gathered(laid, 1 - fold), plain))
@@ -531,6 +532,7 @@ def fit(train: DataFrame, scratch: Scratch) -> Mixer:
 
     lessons = [*lessons_of(0), *lessons_of(1)]
     mixer = Mixer.fresh(code, gathered(laid, 2), plain)
+    scratch.drop("tables")
     Lesson.settle(mixer, lessons)
     return mixer
 
