@@ -9,9 +9,12 @@ if it is shorter) at least `percent` hundredths of the tokens agree in place.
 Tokens are runs of letters and digits in lower case, so punctuation, layout and case don't matter. The test items are
 the small side; they are broadcast after a check of their number. Candidate documents are read again by their ids.
 
-Defined results: null or empty texts and items have no tokens and no hits; items with fewer tokens than a seed's span are
-looked up whole and exactly if they have three tokens at least, else never; repeated items are each
-reported; repeated rows of a document once; rows without doc_id or item_id are left out; texts of any length are read whole.
+The masks depend on the number of an item's tokens, so that with the default window and percentage every pattern of replaced
+or cut off tokens within the rule leaves a window of some mask whole (tests enumerate them all). Texts are hashed by the masks that
+the test items need.
+
+Defined results: null or empty texts and items have no tokens and no hits; items with fewer than three tokens never have one;
+repeated items are each reported; repeated rows of a document once; rows without doc_id or item_id are left out; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -21,8 +24,12 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, small
 
-#: Fixed masks: selected positions in a span of eight tokens.
-SEEDS = ((0, 1, 2, 3, 7), (0, 1, 4, 5, 6), (0, 2, 4, 6, 7))
+#: Fixed masks by the least number of an item's tokens: selected positions in a span of eight tokens at most.
+SEEDS = {
+    3: ((0, 1, 2), (0, 1, 3), (0, 2, 3)),
+    8: ((0, 1, 2, 4), (0, 3, 4, 5), (0, 1, 3, 6)),
+    16: ((0, 1, 2, 3, 7), (0, 1, 4, 5, 6), (0, 2, 4, 6, 7), (0, 1, 2, 3, 5), (0, 1, 2, 4, 5)),
+}
 SPAN = 8
 
 
@@ -30,40 +37,39 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def seed_hashes(rows: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
-    """(keys, at, hash): the hash of every window by every mask.
+def seeds_for(n: int) -> tuple[tuple[int, ...], ...]:
+    """The masks for an item of n tokens."""
+    return SEEDS[max(least for least in SEEDS if least <= n)] if n >= min(SEEDS) else ()
+
+
+def seed_hashes(rows: DataFrame, keys: list[str], seeds: tuple[tuple[int, ...], ...], words: str = "words") -> DataFrame:
+    """(keys, at, hash): the hash of every window by every mask that doesn't reach behind the end.
 
     Words are hashed once each; shifted slices of the numbers are zipped, so that one generator gives all windows and the
-    masks are compiled code over numbers. Too short texts have slices of length 0, which needs no filter that would repeat
-    the split.
+    masks are compiled code over numbers. Behind the end the zip has nulls.
     """
     numbers = rows.select(*keys, F.transform(words, lambda w: F.xxhash64(w)).alias("h"))
-    width = F.greatest(F.size("h") - (SPAN - 1), F.lit(0))
-    slices = [F.slice("h", k + 1, width).alias(f"w{k}") for k in range(SPAN)]
+    slices = [F.slice("h", k + 1, F.size("h")).alias(f"w{k}") for k in range(SPAN)]
     windows = numbers.select(*keys, F.posexplode(F.arrays_zip(*slices)).alias("at", "w"))
-    names = [f"_{s}" for s in range(len(SEEDS))]
-    hashed = windows.select(*keys, "at", *(F.xxhash64(F.lit(s), *(F.col(f"w.w{k}") for k in seed)).alias(n) for s, (n, seed) in enumerate(zip(names, SEEDS, strict=True))))
-    return hashed.select(*keys, "at", F.explode(F.array(*names)).alias("hash"))
-
-
-def _short_items(items: DataFrame) -> DataFrame:
-    """Items below the span but of three tokens at least."""
-    return items.where((F.size("words") < SPAN) & (F.size("words") >= 3))
+    names = [f"_{s}" for s in range(len(seeds))]
+    coded = [F.when(F.col(f"w.w{seed[-1]}").isNotNull(), F.xxhash64(F.lit("-".join(map(str, seed))), *(F.col(f"w.w{k}") for k in seed))) for seed in seeds]
+    hashed = windows.select(*keys, "at", *(c.alias(n) for n, c in zip(names, coded, strict=True)))
+    return hashed.select(*keys, "at", F.explode(F.array(*names)).alias("hash")).where("hash is not null")
 
 
 def hits(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame:
     """Distinct (doc_id, item_id, shift) at which a seed of an item meets a document."""
-    wanted = scratch.keep(seed_hashes(items, ["item_id"]).select("item_id", F.col("at").alias("item_at"), "hash").distinct(), "seeds")
+    n = F.size("words")
+    bounds = [*sorted(SEEDS), (1 << 31) - 1]
+    kinds = {low: items.where((n >= low) & (n < high)) for low, high in zip(bounds, bounds[1:], strict=False)}
+    kinds = {low: some for low, some in kinds.items() if not some.isEmpty()}
+    wanted = items.select("item_id", F.lit(0).alias("item_at"), F.lit(0).cast("long").alias("hash")).limit(0)
+    for low, some in kinds.items():
+        wanted = wanted.union(seed_hashes(some, ["item_id"], SEEDS[low]).select("item_id", F.col("at").alias("item_at"), "hash"))
+    wanted = scratch.keep(wanted.distinct(), "seeds")
     words = docs.select("doc_id", tokens(F.col("text")).alias("words"))
-    found = seed_hashes(words, ["doc_id"]).join(small(wanted), "hash").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
-    short = _short_items(items)
-    if not short.isEmpty():
-        # Each word of the documents that starts a short item is one row; the rest of the item is compared in place.
-        pieces = short.select("item_id", F.col("words").alias("item_words"), F.element_at("words", 1).alias("first"))
-        at = F.posexplode("words").alias("at", "first")
-        starts = words.select("doc_id", "words", at).join(small(pieces), "first")
-        met = starts.where(F.slice("words", F.col("at") + 1, F.size("item_words")) == F.col("item_words"))
-        found = found.union(met.select("doc_id", "item_id", F.col("at").alias("shift")))
+    seeds = tuple(seed for low in kinds for seed in SEEDS[low]) or SEEDS[16]
+    found = seed_hashes(words, ["doc_id"], seeds).join(small(wanted), "hash").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
     return scratch.keep(found.distinct(), "hits")
 
 

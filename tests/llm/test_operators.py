@@ -1,6 +1,7 @@
 """Each operator against a brute-force version or an exact property, with nulls, empty and odd rows."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -117,6 +118,25 @@ def test_html(spark):
     assert (got[100], got[101], got[102], got[103]) == ("", "", "T a b", "plain text")
 
 
+@pytest.mark.parametrize("n", range(3, 21))
+def test_decontamination_masks_miss_no_pattern(n):
+    for gone in itertools.combinations(range(n), n - math.ceil(0.75 * n)):
+        assert any(all(at + k not in gone for k in seed) for seed in op4_decontaminate.seeds_for(n) for at in range(n - seed[-1]))
+
+
+def test_decontamination_of_short_items(spark):
+    """Every substitution within the rule is found in documents that hold little else, for items below and above the masks' span."""
+    items, rows = [], []
+    for n in (3, 4, 5, 7, 8, 9, 12):
+        w = [f"t{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(w)))
+        for gone in itertools.combinations(range(n), n - math.ceil(0.75 * n)):
+            rows.append((len(rows), n, " ".join("other" if k in gone else x for k, x in enumerate(w))))
+    docs = spark.createDataFrame([(k, t) for k, _, t in rows], "doc_id long, text string")
+    got = op4_decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(g["doc_id"], g["item_id"]) for g in got} == {(k, n) for k, n, _ in rows}
+
+
 @pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>"])
 def test_html_keeps_near_copies(spark, wrap):
     """A host of editions of one article, each with a word of its own, loses no paragraph; a menu among different pages goes."""
