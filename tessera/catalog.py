@@ -242,7 +242,7 @@ def validate_missing(spark, sf):
 
 
 def gbt_link(spark, sf):
-    """Training and linking end to end on perturbed copies whose truth is known; a small forest keeps the check short."""
+    """Training and linking end to end on perturbed copies whose truth is known, with the operator's own rounds and depth."""
     s = _source(spark, sf)
     n = F.col("doc_id")
     make = lambda rows, p, name: rows.select(F.concat(F.lit(p), n.cast("string")).alias("entity_id"), name.alias("business_name"), "business_address", "country")
@@ -252,7 +252,7 @@ def gbt_link(spark, sf):
     pool = pipeline.records(pipeline.pool_of(s2, s3))
     truth = pool.select(F.concat(F.lit("S1-"), F.substring_index("id", "-", -1)).alias("s1"), F.col("id").alias("pool_id"))
     s1, pool = s1.cache(), pool.cache()
-    fitted, threshold, _ = pipeline.train(s1, pool, truth, rounds=3, depth=3)
+    fitted, threshold, _ = pipeline.train(s1, pool, truth)
     matches, _ = pipeline.link(s1, pool, fitted, threshold)
     return matches.select("key", tx.format_ids(F.col("ids")).alias("matched"))
 

@@ -104,3 +104,23 @@ def test_split_and_decision(spark):
     assert pipeline.resume(spark.createDataFrame([("a",), ("b",)], "id string"), m.where("key = 'a'")).first()[0] == "b"
     with pytest.raises(ValueError, match="one class"):
         model.balanced(spark.createDataFrame([(1,)], "label int"))
+
+
+def test_registered_link_trains_the_whole_forest(spark, monkeypatch):
+    import inspect
+
+    from tessera import catalog
+    from tessera.plans import pipeline
+
+    asked, own = {}, inspect.signature(pipeline.train)
+
+    def train(*args, **named):
+        bound = own.bind(*args, **named)
+        bound.apply_defaults()
+        asked.update(bound.arguments)
+        raise StopIteration
+
+    monkeypatch.setattr(pipeline, "train", train)
+    with pytest.raises(StopIteration):
+        catalog.gbt_link(spark, "/root/testdata/sf0.001")
+    assert (asked["rounds"], asked["depth"]) == (200, 6)
