@@ -1,28 +1,36 @@
 """Exact n-gram Jaccard join with a token-group matrix.
 
 Every document is the set of its word shingles as 64-bit hashes. Documents with the same set are one class from the start.
-A global order of tokens gives each class a prefix: two sets can only reach the similarity if their prefixes meet.
-
-1. Similar classes are partitioned into groups: for each token one centre is chosen among the classes that hold it, each
-   class is compared exactly with the centre that it meets most often, and linked ones become one group. A few rounds with
-   other centres follow while they still join groups.
-2. The token-group matrix has a row for each token and group: the union of the group's prefix tokens. Tokens found in many
-   groups (shared passages) are put at the end of the order and prefixes are taken anew, so they hardly matter as keys.
-3. Each class queries the matrix. The number of its tokens in another group's union bounds the overlap with every member;
-   groups below the bound stay closed, and only members of qualifying groups are counted and compared exactly.
-
-The first step only saves work: the third covers every pair of different groups, so no link between groups is lost, and
+In any global order of tokens the first tokens of a set, its prefix, decide: sets that reach the similarity have prefix
+tokens in common, and the number of common ones bounds their overlap.
+
+1. A first matrix has a row for each prefix token (in the order of hashes) and a column for each class of set sizes. A class
+   of documents stays if its tokens in some column allow an overlap with any set of such a size; all others have no link.
+2. For those that stay every token is counted, and the prefix is taken in the order of frequency, rare first, so that shared
+   passages hardly matter as keys. The same test by sizes again leaves only what may link.
+3. Similar classes are partitioned into groups: each class is compared exactly with centres that it shares tokens
+   with, and linked ones become one group.
+4. The token-group matrix has a row for each token and a column for each group and size: the union of prefix tokens of the
+   group's members. Each class queries the matrix; the number of its tokens in another group's union bounds the overlap with
+   every member. Groups below the bound stay closed; only members of qualifying groups are compared exactly, in blocks.
+
+The third step only saves work: the fourth covers every pair of different groups, so no link between groups is lost, and
 links inside a group can't change its component. Hash collisions aside (64 bits), results are exact. Components are formed
 by the star algorithm in `components`.
 
+Tokens are counted in buckets of about BUCKET tokens by their first bits. A bucket gets at most one row of a set from
+each task, so neither many copies nor a token found everywhere make one bucket much larger than others. Blocks of a
+comparison hold about BLOCK sets of either side, whatever the size of a group.
+
 Defined results: documents without words (null, empty or only white space) have no shingle and are components of
 their own; with fewer words than a shingle the whole sequence is the one shingle; repeated rows share a class; rows of one
-doc_id with different texts count as one document with all their links; a null doc_id names no component, so a class without
-any other has a null one.
+doc_id with different texts count as one document with all their links; a null doc_id names no component, so a component
+without any other has a null one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,99 +39,138 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BROADCAST_ROWS, Scratch, column_list, lower_ascii_bytes, prepare, small, utf8
+from tessera.llm.common import Scratch, column_list, prepare, small, utf8
 from tessera.llm.components import components
+from tessera.llm.shingles import DEALT, Dealer, shared, token_sets
 
-#: Groups in a token's row of the matrix beyond which the token is moved to the end of the order.
-WIDE = 24
-
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-
+#: Tokens in a bucket, about, and sets of either side in a block of a comparison.
+BUCKET, BLOCK = 3_000_000, 256
 
-class Shingler:
-    """Sets of shingle hashes, sorted. Word hashes are remembered up to a limit."""
+#: Set sizes within a factor of STEP are one class of sizes.
+STEP = 1.08
 
-    def __init__(self, width: int = 5) -> None:
-        self.width, self.memo = width, {}
 
-    def word(self, word: bytes) -> int:
-        if len(self.memo) >= 400_000:
-            self.memo.clear()
-        found = self.memo[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = lower_ascii_bytes(utf8(text)).split()
-        n, k = len(words), self.width
-        if not n:
-            return np.zeros(0, np.int64)
-        if n < k:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)], np.uint64).view(np.int64)
-        get, word = self.memo.get, self.word
-        ids = np.array([get(w) or word(w) for w in words], np.uint64)
-        out = np.zeros(n - k + 1, np.uint64)
-        for j in range(k):
-            out = (out ^ ids[j : j + len(out)]) * _ODD[j % len(_ODD)]
-            out ^= out >> np.uint64(32)
-        return np.unique(out.view(np.int64))
-
-
-def prefix_size(n: int, percent: int) -> int:
+def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     """How many tokens of a set of n must be looked at: any set that reaches the similarity shares one of them."""
-    return n - -(-n * percent // 100) + 1 if n else 0
+    return np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
 
 
-def _late_mask(tokens: np.ndarray, late: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(late, tokens)
-    at[at == len(late)] = 0
-    return late[at] == tokens if len(late) else np.zeros(len(tokens), bool)
+def size_class(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(np.maximum(n, 1)) / math.log(STEP)).astype(np.int64)
 
 
-def signatures(docs: DataFrame, width: int, percent: int, late: np.ndarray | None = None) -> DataFrame:
-    """doc_id, n, hi, lo (128-bit hash of the whole set) and prefix: the first tokens in the order (late tokens last, then by hash)."""
+def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n, hi, lo (128-bit hash of the whole set) and prefix: the first tokens in the order of hashes."""
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(late if late is not None else np.zeros(0, np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, last = Shingler(width), shared.value
         for batch in batches:
-            n, digests, prefixes, ends = [], [], [], [0]
-            for text in column_list(batch, "text"):
-                tokens = shingles(text)
-                p = prefix_size(len(tokens), percent)
-                n.append(len(tokens))
-                digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                if len(last) and len(tokens):
-                    behind = _late_mask(tokens, last)
-                    tokens = np.concatenate([tokens[~behind], tokens[behind]])
-                prefixes.append(tokens[:p])
-                ends.append(ends[-1] + p)
+            tokens, sizes = token_sets([utf8(t) for t in column_list(batch, "text")], width)
+            ends = np.cumsum(sizes)
+            digests = [xxhash.xxh3_128_digest(tokens[end - n : end].tobytes()) for end, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), prefix], names=["doc_id", "n", "hi", "lo", "prefix"])
+            first = prefix_size(sizes, percent)
+            chosen = np.arange(len(tokens)) - np.repeat(ends - sizes, sizes) < np.repeat(first, sizes)
+            prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(first)), pa.int32()), pa.array(tokens[chosen]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), prefix], names=["doc_id", "n", "hi", "lo", "prefix"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, hi long, lo long, prefix array<long>")
 
 
-def whole_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id and the whole set of each row."""
-    prepare(docs.sparkSession)
+def dealt_prefixes(signed: DataFrame, bits: int) -> DataFrame:
+    """The prefixes' tokens, dealt to buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(width)
+        dealer = Dealer(bits)
         for batch in batches:
-            sets = [shingles(t) for t in column_list(batch, "text")]
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["id", "tokens"])
+            ends, values = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy()
+            for k, (number, n) in enumerate(zip(column_list(batch, "lo"), column_list(batch, "n"), strict=True)):
+                dealer.add(number, n, values[ends[k] : ends[k + 1]])
+            if dealer.full():
+                yield pa.RecordBatch.from_pylist(dealer.rows(), _DEALT)
+        yield pa.RecordBatch.from_pylist(dealer.rows(), _DEALT)
+
+    return signed.select("lo", "n", "prefix").mapInArrow(run, DEALT)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, tokens array<long>")
+
+def dealt_sets(docs: DataFrame, width: int, bits: int) -> DataFrame:
+    """All tokens of the texts, dealt to buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealer = Dealer(bits)
+        for batch in batches:
+            tokens, sizes = token_sets([utf8(t) for t in column_list(batch, "text")], width)
+            for end, n in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
+                mine = tokens[end - n : end]
+                dealer.add(int.from_bytes(xxhash.xxh3_128_digest(mine.tobytes())[8:], "little", signed=True), n, mine)
+            if dealer.full():
+                yield pa.RecordBatch.from_pylist(dealer.rows(), _DEALT)
+        yield pa.RecordBatch.from_pylist(dealer.rows(), _DEALT)
+
+    return docs.select("text").mapInArrow(run, DEALT)
+
+
+_DEALT = pa.schema([("bucket", pa.int32()), ("tokens", pa.binary()), ("owners", pa.binary()), ("ids", pa.binary()), ("sizes", pa.binary())])
+
+
+def sizes_met(key: tuple, table: pa.Table) -> pa.Table:
+    """Step 1, a bucket: for each id and class of sizes, how many of its tokens another id of such a size holds."""
+    _, number, size, which, _ = shared(table.to_pylist())
+    own = size_class(size)
+    cells, held = np.unique(which * 1024 + own, return_counts=True)
+    ids, at = np.unique(number, return_index=True)
+    sizes, back = size[at], np.searchsorted(ids, number)
+    parts = []
+    for away in range(-4, 5):  # a size beyond these classes differs by more than a factor of 4 / 3
+        look = which * 1024 + own + away
+        place = np.minimum(np.searchsorted(cells, look), max(len(cells) - 1, 0))
+        others = (np.where(cells[place] == look, held[place], 0) if len(cells) else np.zeros(0)) - (away == 0)
+        met = np.bincount(back, others > 0, len(ids)).astype(np.int64)
+        some = met > 0
+        parts.append((ids[some], sizes[some], size_class(sizes[some]) + away, met[some]))
+    columns = [np.concatenate([p[k] for p in parts]) for k in range(4)]
+    return pa.table([pa.array(c.astype(np.int64)) for c in columns], names=["id", "n", "other", "met"])
+
+
+def tokens_shared(key: tuple, table: pa.Table) -> pa.Table:
+    """Step 2, a bucket: the tokens that two ids hold, with the number of ids."""
+    token, number, size, _, held = shared(table.to_pylist())
+    return pa.table([pa.array(number), pa.array(size), pa.array(token), pa.array(held.astype(np.int64))], names=["id", "n", "token", "held"])
+
+
+def best_partners(asking: list[tuple[int, int, np.ndarray]], members: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """Pairs (a, b): for each asking set (id, size, sorted shared tokens) the most overlapping member that reaches the similarity."""
+    mine, others = np.concatenate([t for _, _, t in asking]), np.concatenate([t for _, _, t in members])
+    common = np.intersect1d(mine, others)
+    inter = np.zeros((len(asking), len(members)), np.float32)
+    if len(common):
+        rows = [_found(common, t) for _, _, t in asking]
+        columns = [_found(common, t) for _, _, t in members]
+        for low in range(0, len(common), 4096):
+            width = min(4096, len(common) - low)
+            left, right = np.zeros((len(rows), width), np.float32), np.zeros((len(columns), width), np.float32)
+            for side, places in ((left, rows), (right, columns)):
+                for k, p in enumerate(places):
+                    side[k, p[np.searchsorted(p, low) : np.searchsorted(p, low + width)] - low] = 1
+            inter += left @ right.T
+    a, b = np.array([n for _, n, _ in asking])[:, None], np.array([n for _, n, _ in members])[None, :]
+    linked = inter * 100 >= (a + b - inter) * percent
+    best = np.where(linked, inter, -1).argmax(axis=1)
+    return [(asking[k][0], members[j][0]) for k, j in enumerate(best.tolist()) if linked[k, j]]
+
+
+def _found(common: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Places in `common` of those tokens that it holds, rising."""
+    at = np.searchsorted(common, tokens)
+    at[at == len(common)] = 0
+    return at[common[at] == tokens]
 
 
 class GroupJoin:
     """One run of the join; its tables live in the shared folder."""
 
-    def __init__(self, docs: DataFrame, width: int = 5, percent: int = 75, wide: int = WIDE, rounds: int = 5, late_limit: int = BROADCAST_ROWS) -> None:
-        self.docs, self.width, self.percent, self.wide, self.rounds, self.late_limit = docs.select("doc_id", "text"), width, percent, wide, rounds, late_limit
+    def __init__(self, docs: DataFrame, width: int = 5, percent: int = 75, rounds: int = 2, bucket: int = BUCKET, block: int = BLOCK) -> None:
+        self.docs, self.width, self.percent, self.rounds, self.bucket, self.block = docs.select("doc_id", "text"), width, percent, rounds, bucket, block
         self.spark, self.scratch = docs.sparkSession, Scratch(docs.sparkSession, "jaccard")
         self.made = 0
 
@@ -131,32 +178,14 @@ class GroupJoin:
         self.made += 1
         return self.scratch.keep(df, f"{self.made:03d}-{name}")
 
-    # -- classes of equal sets
-
-    def classes(self) -> None:
-        self.signed = self.keep(signatures(self.docs, self.width, self.percent), "signed")
-        first = self.signed.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-        self.reps = self.keep(first, "classes")
-        ids = self.reps.where("rep is not null").select(F.col("rep").alias("doc_id"))
-        self.prefixes = self.signed.where("n > 0").join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "n", "prefix")
-
-    # -- rows of the matrix
-
-    def shared_tokens(self, prefixes: DataFrame) -> DataFrame:
-        """(token, id, n, p) of tokens in two prefixes at least."""
-        rows = prefixes.select("id", "n", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
-        dealt = rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "token")
-        often = dealt.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("token")
-        return self.keep(dealt.join(often.hint("shuffle_hash"), "token", "left_semi"), "tokens")
+    def bits(self, tokens: int) -> int:
+        """Buckets for so many tokens, as a power of two; 32 at least, to use all executors."""
+        return max(5, math.ceil(math.log2(max(1, tokens / self.bucket))))
 
-    def grouped(self, tokens: DataFrame) -> DataFrame:
-        """Adds each class's group: the component of what is linked so far, itself without links."""
-        return tokens.join(small(self.labels), "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
-
-    # -- exact comparison
+    # -- bounds
 
     def fits(self, na: Column, nb: Column) -> Column:
-        return (F.least(na, nb) * 100 >= F.greatest(na, nb) * self.percent)
+        return F.least(na, nb) * 100 >= F.greatest(na, nb) * self.percent
 
     def least_overlap(self, na: Column, nb: Column) -> Column:
         """The smallest intersection that reaches the similarity: ceil(percent * (na + nb) / (100 + percent))."""
@@ -167,105 +196,167 @@ class GroupJoin:
         """Tokens of a set behind its prefix."""
         return F.ceil(n * self.percent / 100) - 1
 
-    def verified(self, edges: DataFrame, name: str) -> DataFrame:
-        """The rows (a, b) of `edges` whose whole sets reach the similarity."""
-        edges = self.keep(edges.select("a", "b"), f"{name}-candidates")
-        ids = self.keep(edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct(), f"{name}-ids")
-        n = ids.count()
-        self.compared = edges.count()
-        if not n:
-            return edges
-        texts = self.docs.join(small(ids, n), "doc_id", "left_semi")
-        sets = self.keep(whole_sets(texts, self.width), f"{name}-sets")
-        one = edges.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("sa")), "a")
-        both = one.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("sb")), "b")
-        inter = F.size(F.array_intersect("sa", "sb"))
-        found = self.keep(both.where(inter * 100 >= (F.size("sa") + F.size("sb") - inter) * self.percent).select("a", "b"), f"{name}-links")
-        self.scratch.drop(f"{self.made - 1:03d}-{name}-sets", f"{self.made - 2:03d}-{name}-ids", f"{self.made - 3:03d}-{name}-candidates")
+    def allows(self, n: Column, least: Column, most: Column, met: Column) -> Column:
+        """Whether `met` common prefix tokens allow a link with a set of `least` to `most` tokens.
+
+        The wanted overlap less what may follow the prefixes falls with the distance of the sizes, so both ends are asked; one
+        token less is wanted for what rounding does in between.
+        """
+        low, high = F.greatest(least, F.ceil(n * self.percent / 100)), F.least(most, F.floor(n * 100 / self.percent))
+        wanted = F.least(*(self.least_overlap(n, m) - self.prefix_rest(F.greatest(n, m)) for m in (low, high))) - 1
+        return (low <= high) & (met >= 1) & (met >= wanted)
+
+    def allows_class(self, n: Column, other: Column, met: Column) -> Column:
+        return self.allows(n, F.floor(F.pow(F.lit(STEP), other)).cast("long"), F.ceil(F.pow(F.lit(STEP), other + 1)).cast("long"), met)
+
+    # -- steps 1 and 2
+
+    def classes(self) -> None:
+        """The documents' classes, and which may have a link by size and prefix tokens."""
+        self.signed = self.keep(signatures(self.docs, self.width, self.percent), "signed")
+        some = self.signed.where("n > 0")
+        tokens = some.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+        dealt = dealt_prefixes(some, self.bits(tokens)).groupBy("bucket").applyInArrow(sizes_met, "id long, n long, other long, met long")
+        met = dealt.groupBy("id", "n", "other").agg(F.sum("met").alias("met"))
+        likely = met.where(self.allows_class(F.col("n"), F.col("other"), F.col("met"))).select("id").distinct()
+        # One text of each class is read again, found by a document of the class.
+        reps = some.select(F.col("lo").alias("id"), "n", "doc_id").join(small(self.keep(likely, "likely")), "id", "left_semi").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"))
+        self.likely = self.keep(reps.where("doc_id is not null"), "texts")
+
+    def sets(self) -> DataFrame:
+        """(token, id, n, s, own) of the prefixes in the order of frequency, own being the share of tokens that no other class holds; also writes every likely class's shared tokens in that order."""
+        tokens, n = self.likely.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+        texts = self.docs.join(small(self.likely.select("doc_id").distinct(), n), "doc_id", "left_semi")
+        dealt = dealt_sets(texts, self.width, self.bits(tokens)).groupBy("bucket").applyInArrow(tokens_shared, "id long, n long, token long, held long")
+        ordered = dealt.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("order"))  # at most a document's tokens
+        self.shared = self.keep(ordered.select("id", "n", F.col("order.token").alias("tokens")), "sets")
+        # The tokens that nobody shares come first in the order.
+        first = F.greatest(F.lit(0), (F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1) - (F.col("n") - F.size("tokens"))).cast("int")
+        size = F.floor(F.log("n") / F.lit(math.log(STEP)) + 1e-12).cast("int").alias("s")
+        own = ((F.col("n") - F.size("tokens")) * 1_000_000 / F.col("n")).cast("long").alias("own")
+        rows = self.shared.select("id", "n", size, own, F.explode(F.slice("tokens", F.lit(1), first)).alias("token"))
+        rows = self.keep(rows, "prefixes")
+        for k in range(2):
+            cells = rows.groupBy("token", F.col("s").alias("other")).agg(F.count(F.lit(1)).alias("held"))
+            met = rows.join(cells, "token").where((F.abs(F.col("s") - F.col("other")) <= 4) & ((F.col("held") > 1) | (F.col("s") != F.col("other"))))
+            counted = met.groupBy("id", "n", "other").agg(F.count(F.lit(1)).alias("met"))
+            may = self.keep(counted.where(self.allows_class(F.col("n"), F.col("other"), F.col("met"))).select("id").distinct(), f"may-{k}")
+            rows = self.keep(rows.join(small(may), "id", "left_semi"), f"prefixes-{k}")
+        return rows
+
+    # -- exact comparison
+
+    def linked(self, asked: DataFrame, members: DataFrame, name: str) -> DataFrame:
+        """Pairs (a, b): for each row (id, target) of `asked` a linked member (target, id) from each block of the target's members."""
+        asked = self.keep(asked.select("id", "target"), f"{name}-asked")
+        members = members.join(asked.select("target").distinct(), "target", "left_semi")
+        sizes = members.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("of_members")).join(
+            asked.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("of_asking")), "target"
+        )
+
+        def blocks(rows: DataFrame, own: str, other: str, side: bool) -> DataFrame:
+            one = rows.join(sizes, "target").select("id", "target", F.pmod(F.xxhash64("id"), F.col(own)).alias("own"), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("other"))
+            mine, its = (F.col("own"), F.col("other")) if side else (F.col("other"), F.col("own"))
+            return one.select("id", F.lit(side).alias("asks"), F.xxhash64("target", mine.cast("long"), its.cast("long")).alias("key"))
+
+        dealt = self.keep(blocks(asked, "of_asking", "of_members", True).union(blocks(members, "of_members", "of_asking", False)), f"{name}-blocks")
+        whole = self.shared.join(small(dealt), "id").select("key", "asks", "id", "n", "tokens")
+        percent = self.percent
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sides: dict[bool, list] = {True: [], False: []}
+            at = None
+
+            def settle() -> list[tuple[int, int]]:
+                pairs = best_partners(sides[True], sides[False], percent) if sides[True] and sides[False] else []
+                sides[True], sides[False] = [], []
+                return pairs
+
+            out: list[tuple[int, int]] = []
+            for batch in batches:
+                ends, values = batch.column(4).offsets.to_numpy(), batch.column(4).values.to_numpy()
+                for k, (key, asks, number, n) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(4)), strict=True)):
+                    if key != at:
+                        out += settle()
+                        at = key
+                    sides[asks].append((number, n, np.sort(values[ends[k] : ends[k + 1]])))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
+                    out = []
+            out = settle()
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
+
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        found = self.keep(whole.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long"), f"{name}-links")
+        self.scratch.drop(f"{self.made - 1:03d}-{name}-blocks", f"{self.made - 2:03d}-{name}-asked")
         return found
 
     def link(self, found: DataFrame, name: str) -> bool:
         """Adds links; False if there was none."""
         if found.isEmpty():
             return False
-        links = found if self.links is None else self.links.union(found)
-        self.links = self.keep(links, f"{name}-all")
+        self.links = self.keep(found if self.links is None else self.links.union(found), f"{name}-all")
         self.labels = components(self.links, self.scratch, f"components-{self.made}")
         return True
 
-    # -- the three steps
+    # -- steps 3 and 4
 
-    def partition(self, tokens: DataFrame) -> None:
-        """Step 1: groups of similar classes by comparison with centres."""
+    def grouped(self, rows: DataFrame) -> DataFrame:
+        """Adds each class's group: the component of what is linked so far, itself without links."""
+        return rows.join(small(self.labels), "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
+
+    def partition(self, rows: DataFrame) -> None:
+        """Step 3: groups of similar classes by comparison with centres."""
         for k in range(self.rounds):
-            rows = self.grouped(tokens)
-            # A centre is the class whose hash is least among those that hold the token, by another hash in each round.
-            mine = F.struct(F.xxhash64("id", F.lit(k)).alias("h"), F.col("id").alias("c"), F.col("g").alias("cg"), F.col("n").alias("cn"), F.col("p").alias("cp"))
-            centre = rows.groupBy("token").agg(F.min(mine).alias("centre"))
-            met = rows.join(centre, "token").select("id", "g", "n", "p", "centre.*").where((F.col("g") != F.col("cg")) & self.fits(F.col("n"), F.col("cn")))
-            counted = met.groupBy("id", "n", "p", "c", "cn", "cp").agg(F.count(F.lit(1)).alias("met"))
-            likely = counted.where(F.col("met") * 4 >= F.least("p", "cp"))
-            best = likely.groupBy("id").agg(F.max(F.struct("met", "c")).alias("best")).select(F.col("id").alias("a"), F.col("best.c").alias("b"))
-            found = self.verified(best, f"round-{k}")
-            if not self.link(found, f"round-{k}") or found.count() * 10 < self.compared:
+            mine = self.grouped(rows)
+            # Centres of a token among its holders: the class with the least share of tokens of its own, and one by a hash, another in each round.
+            who = (F.col("id").alias("c"), F.col("g").alias("cg"), F.col("n").alias("cn"))
+            chosen = (F.struct(F.col("own").alias("h"), *who), F.struct(F.xxhash64("id", F.lit(k)).alias("h"), *who))
+            centres = mine.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.array(*(F.min(c) for c in chosen)).alias("centres")).where("low < high")
+            each = centres.select("token", F.explode("centres").alias("centre")).select("token", "centre.c", "centre.cg", "centre.cn").distinct()
+            met = mine.join(each, "token").where((F.col("g") != F.col("cg")) & self.fits(F.col("n"), F.col("cn")))
+            counted = met.groupBy("id", "n", "c", "cn").agg(F.count(F.lit(1)).alias("met"))
+            n, other = F.col("n"), F.col("cn")
+            likely = counted.where(F.col("met") + self.prefix_rest(F.greatest(n, other)) >= self.least_overlap(n, other))
+            best = likely.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("met", "c")), asc=False), 1, 2).alias("best"))  # no more than two centres a token
+            asked = best.select("id", F.explode("best.c").alias("target"))
+            if not self.link(self.linked(asked, asked.select("target", F.col("target").alias("id")).distinct(), f"round-{k}"), f"round-{k}"):
                 break
 
-    def reorder(self, tokens: DataFrame) -> DataFrame:
-        """Step 2: moves tokens of wide matrix rows to the end of the order and takes the prefixes anew, until no new one is wide."""
-        late = np.zeros(0, np.int64)
-        ids = self.reps.where("rep is not null").select(F.col("rep").alias("doc_id"))
-        for _ in range(4):
-            cells = self.grouped(tokens).select("token", "g").distinct()
-            wide = self.keep(cells.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where(F.col("groups") > self.wide), "wide")
-            n, pairs = wide.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("groups") * F.col("groups")), F.lit(0))).first()
-            # Short of the work that another look at the texts takes, or beyond what may be handed to all tasks, the order
-            # stays: the result is the same, with longer rows in the matrix.
-            if pairs <= 4 * tokens.count() or n > self.late_limit:
-                break
-            found = wide.select("token").toPandas()["token"].to_numpy(np.int64)
-            if not len(np.setdiff1d(found, late)):
-                break
-            late = np.union1d(late, found)
-            again = signatures(self.docs.join(small(ids), "doc_id", "left_semi"), self.width, self.percent, late)
-            tokens = self.shared_tokens(self.keep(again.select(F.col("doc_id").alias("id"), "n", "prefix"), "prefixes"))
-        return tokens
-
-    def query(self, tokens: DataFrame) -> None:
-        """Step 3: every class against the matrix, opening only groups whose bound allows a link."""
-        rows = self.keep(self.grouped(tokens), "matrix-rows")
-        # A group is asked by classes of size, so that its least and largest member bound the overlap closely.
-        rows = rows.withColumn("size", F.floor(F.log("n") / F.log(F.lit(1.08))).cast("int"))
-        cells = rows.groupBy("token", "g", "size").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        shared = self.keep(cells.join(cells.groupBy("token").agg((F.max("g") > F.min("g")).alias("several")).where("several").select("token"), "token"), "matrix")
+    def query(self, rows: DataFrame) -> None:
+        """Step 4: every class against the matrix, opening only groups whose bound allows a link."""
+        rows = self.keep(self.grouped(rows), "matrix-rows")
+        cells = rows.groupBy("token", "g", "s").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+        several = cells.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
+        matrix = self.keep(cells.join(several, "token", "left_semi").select("token", F.col("g").alias("og"), F.col("s").alias("os"), "least", "most"), "matrix")
         # A pair of groups is asked from its larger label, so each pair of classes is met once.
-        asked = rows.join(shared.select("token", F.col("g").alias("og"), F.col("size").alias("osize"), "least", "most"), "token").where((F.col("og") < F.col("g")) & (F.col("least") * self.percent <= F.col("n") * 100) & (F.col("most") * 100 >= F.col("n") * self.percent))
-        overlap = asked.groupBy("id", "n", "og", "osize").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"), F.max("most").alias("most"))
         n = F.col("n")
-        smallest = F.greatest(F.col("least"), F.ceil(n * self.percent / 100))
-        # Overlap with a member of size m is met + rest(larger prefix end) at most. Where m >= n that is checked at m's own
-        # size below; over all m it is least demanding at the smallest member.
-        largest = F.least(F.col("most"), F.floor(n * 100 / self.percent))
-        bound = F.col("met") + self.prefix_rest(F.greatest(n, largest))
-        opened = self.keep(overlap.where(bound >= self.least_overlap(n, smallest)).select("id", "og", "osize"), "opened")
-        mine = rows.join(opened, "id").select("token", F.col("id").alias("a"), F.col("n").alias("na"), "og", "osize")
-        other = rows.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("og"), F.col("size").alias("osize"))
-        pairs = mine.join(other, ["token", "og", "osize"]).where(self.fits(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("met"))
-        na, nb = F.col("na"), F.col("nb")
-        candidates = pairs.where(F.col("met") + self.prefix_rest(F.greatest(na, nb)) >= self.least_overlap(na, nb))
-        self.link(self.verified(candidates, "opened"), "opened")
+        asked = rows.join(matrix, "token").where((F.col("og") < F.col("g")) & (F.col("least") * self.percent <= n * 100) & (F.col("most") * 100 >= n * self.percent))
+        overlap = asked.groupBy("id", "n", "og", "os").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"), F.max("most").alias("most"))
+        opened = overlap.where(self.allows(n, F.col("least"), F.col("most"), F.col("met")))
+        members = rows.select("id", F.xxhash64("g", F.col("s").cast("int")).alias("target")).distinct()
+        self.link(self.linked(opened.select("id", F.xxhash64("og", F.col("os").cast("int")).alias("target")), members, "opened"), "opened")
 
     def run(self) -> DataFrame:
         """doc_id, n_shingles, component_id, copies (documents with the same set) of every row."""
         self.links = None
         self.labels = self.spark.createDataFrame([], "id long, component long")
         self.classes()
-        tokens = self.shared_tokens(self.prefixes)
-        self.partition(tokens)
-        self.query(self.reorder(tokens))
-        labelled = self.reps.join(small(self.labels).withColumnRenamed("id", "rep"), "rep", "left").select("hi", "lo", "copies", F.coalesce("component", "rep").alias("component"))
-        labelled = self.keep(labelled, "labelled")
-        out = self.signed.select("doc_id", "n", "hi", "lo").join(labelled, ["hi", "lo"], "left")
-        alone = F.col("n") == 0
+        rows = self.sets()
+        self.partition(rows)
+        self.query(rows)
+        some = self.signed.where("n > 0")
+        # Rows of one doc_id with different texts are one document.
+        same = some.where("doc_id is not null").groupBy("doc_id").agg(F.min("lo").alias("b"), F.max("lo").alias("most")).where("b < most").select("doc_id", "b")
+        self.link(self.keep(some.join(same, "doc_id").where("lo <> b").select(F.col("lo").alias("a"), "b"), "same-id"), "same-id")
+        # Only classes with several documents or links need another label than their own doc_id.
+        classes = some.groupBy(F.col("lo").alias("id")).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        classes = classes.join(small(self.labels), "id", "left").where("copies > 1 or component is not null")
+        classes = self.keep(classes.select("id", F.coalesce("component", "id").alias("g"), "rep", "copies"), "classes")
+        least = classes.groupBy("g").agg(F.min("rep").alias("component"))
+        named = self.keep(classes.select(F.col("id").alias("lo"), "g", "copies").join(least, "g").select("lo", "component", "copies"), "named")
+        out = self.signed.select("doc_id", "n", "lo").join(small(named), "lo", "left")
+        alone = (F.col("n") == 0) | F.col("copies").isNull()
         return out.select(
             "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), F.when(alone, F.lit(1)).otherwise(F.col("copies")).cast("long").alias("copies")
         )

@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import op1_license, op2_bpe, op3_langid, op4_decontaminate, op5_html, op6_mixing, op7_linededup, op8_quality, op9_sharding, op10_jaccard
 from tessera.llm.queries import tokenizer_path
@@ -329,12 +330,44 @@ def brute_components(rows, percent=75):
     return {k: (len(sets[k]), root(k)) for k in rows}
 
 
-@pytest.mark.parametrize("wide", [24, 1])
-def test_jaccard_join(spark, docs, wide):
+@pytest.mark.parametrize(("bucket", "block"), [(op10_jaccard.BUCKET, op10_jaccard.BLOCK), (40, 3)])
+def test_jaccard_join(spark, docs, bucket, block):
     own = dict(enumerate(texts()))
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in op10_jaccard.GroupJoin(docs, wide=wide).run().collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in op10_jaccard.GroupJoin(docs, bucket=bucket, block=block).run().collect()}
     assert got == brute_components(own)
 
 
+def near_copies(n, words=60, most=16, seed=5):
+    """Copies of one text with up to `most` words exchanged: many of the pairs link, others only by a chain or not at all."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        copy = list(base)
+        for k in rng.sample(range(words), rng.randrange(most) // 4):
+            copy[k] = f"x{rng.randrange(10**6)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_jaccard_join_of_a_dense_group_and_a_chain(spark):
+    """A group in which about a part of the pairs link, a chain whose ends don't, and copies that differ in case and layout."""
+    step = [" ".join(f"c{j}" for j in range(4 * k, 4 * k + 60)) for k in range(12)]  # each links with the next one only
+    rows = dict(enumerate([*near_copies(70), *step, "Same Text of seven words for all", "same  text of seven\nwords for ALL", *near_copies(30, 12, 9, 6)]))
+    found = op10_jaccard.GroupJoin(spark.createDataFrame([(k, t) for k, t in rows.items()], "doc_id long, text string"), block=8).run()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()}
+    assert got == brute_components(rows)
+    assert len({c for _, c in got.values()}) > 5
+
+
+def test_jaccard_join_of_odd_ids_and_columns(spark):
+    """Repeated rows share a class, one doc_id with two texts is one document with all its links, null ids name nothing, extra columns stay out."""
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(5, a, 1), (5, a, 1), (7, b, 2), (9, a, 3), (9, b, 3), (None, a, 4), (None, "alone and unseen elsewhere in here", 5), (11, None, 6), (12, " \n", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id long").withColumn("token", F.lit("x")).withColumn("tokens", F.lit(1))
+    got = sorted((tuple(r) for r in op10_jaccard.jaccard_components(docs).collect()), key=str)
+    assert got == sorted([(5, 36, 5, 4), (5, 36, 5, 4), (7, 36, 5, 2), (9, 36, 5, 4), (9, 36, 5, 2), (None, 36, 5, 4), (None, 2, None, 1), (11, 0, 11, 1), (12, 0, 12, 1)], key=str)
+
+
 def test_jaccard_join_of_nothing(spark, docs):
     assert op10_jaccard.jaccard_components(docs.limit(0)).count() == 0
