@@ -44,7 +44,7 @@ from tessera.llm.components import components
 from tessera.llm.shingles import DEALT, Dealer, shared, token_sets
 
 #: Tokens in a bucket, about, and sets of either side in a block of a comparison.
-BUCKET, BLOCK = 3_000_000, 256
+BUCKET, BLOCK = 1_000_000, 256
 
 #: Set sizes within a factor of STEP are one class of sizes.
 STEP = 1.08
@@ -115,7 +115,7 @@ _DEALT = pa.schema([("bucket", pa.int32()), ("tokens", pa.binary()), ("owners",
 
 def sizes_met(key: tuple, table: pa.Table) -> pa.Table:
     """Step 1, a bucket: for each id and class of sizes, how many of its tokens another id of such a size holds."""
-    _, number, size, which, _ = shared(table.to_pylist())
+    _, number, size, which, _ = shared(table)
     own = size_class(size)
     cells, held = np.unique(which * 1024 + own, return_counts=True)
     ids, at = np.unique(number, return_index=True)
@@ -134,7 +134,7 @@ def sizes_met(key: tuple, table: pa.Table) -> pa.Table:
 
 def tokens_shared(key: tuple, table: pa.Table) -> pa.Table:
     """Step 2, a bucket: the tokens that two ids hold, with the number of ids."""
-    token, number, size, _, held = shared(table.to_pylist())
+    token, number, size, _, held = shared(table)
     return pa.table([pa.array(number), pa.array(size), pa.array(token), pa.array(held.astype(np.int64))], names=["id", "n", "token", "held"])
 
 
@@ -213,14 +213,17 @@ class GroupJoin:
 
     def classes(self) -> None:
         """The documents' classes, and which may have a link by size and prefix tokens."""
-        self.signed = self.keep(signatures(self.docs, self.width, self.percent), "signed")
-        some = self.signed.where("n > 0")
+        prefixed = self.keep(signatures(self.docs, self.width, self.percent), "prefixed")
+        self.signed = self.keep(prefixed.drop("prefix"), "signed")
+        some = prefixed.where("n > 0")
         tokens = some.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
         dealt = dealt_prefixes(some, self.bits(tokens)).groupBy("bucket").applyInArrow(sizes_met, "id long, n long, other long, met long")
         met = dealt.groupBy("id", "n", "other").agg(F.sum("met").alias("met"))
-        likely = met.where(self.allows_class(F.col("n"), F.col("other"), F.col("met"))).select("id").distinct()
+        likely = self.keep(met.where(self.allows_class(F.col("n"), F.col("other"), F.col("met"))).select("id").distinct(), "likely")
+        self.scratch.drop("001-prefixed")
+        some = self.signed.where("n > 0")
         # One text of each class is read again, found by a document of the class.
-        reps = some.select(F.col("lo").alias("id"), "n", "doc_id").join(small(self.keep(likely, "likely")), "id", "left_semi").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"))
+        reps = some.select(F.col("lo").alias("id"), "n", "doc_id").join(small(likely), "id", "left_semi").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"))
         self.likely = self.keep(reps.where("doc_id is not null"), "texts")
 
     def sets(self) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 
 #: Bytes of text that are hashed at once.
-PIECE = 1 << 22
+PIECE = 1 << 20
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -126,7 +127,7 @@ def unpack(raw: bytes, kind: type) -> np.ndarray:
 class Dealer:
     """Collects sets and deals their tokens to 2 ** bits buckets by the first bits: rows of (bucket, tokens, owners, ids, sizes)."""
 
-    HELD = 1 << 21
+    HELD = 1 << 20
 
     def __init__(self, bits: int) -> None:
         self.bits = bits
@@ -170,21 +171,22 @@ class Dealer:
 DEALT = "bucket int, tokens binary, owners binary, ids binary, sizes binary"
 
 
-def shared(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """token, id, size, number of the token and how many ids hold it, for all tokens of a bucket that two ids hold; by token and id."""
     tokens, ids, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for row in rows:
-        owners = unpack(row["owners"], np.uint32)
-        tokens.append(np.cumsum(unpack(row["tokens"], np.uint64), dtype=np.uint64))
-        ids.append(np.frombuffer(row["ids"], np.int64)[owners])
-        sizes.append(unpack(row["sizes"], np.uint64).view(np.int64)[owners])
-    token, number, size = np.concatenate(tokens), np.concatenate(ids), np.concatenate(sizes)
+    for row in zip(*(table.column(c) for c in ("tokens", "owners", "ids", "sizes")), strict=True):
+        deltas, owners, own, size = (v.as_py() for v in row)
+        owners = unpack(owners, np.uint32)
+        tokens.append(np.cumsum(unpack(deltas, np.uint64), dtype=np.uint64))
+        ids.append(np.frombuffer(own, np.int64)[owners])
+        sizes.append(unpack(size, np.uint64).view(np.int64)[owners])
+    token = np.concatenate(tokens)
     order = np.argsort(token)
-    sorted_tokens = token[order]
-    first = np.append(True, sorted_tokens[1:] != sorted_tokens[:-1])[: len(token)]
-    times = np.diff(np.flatnonzero(first), append=len(token))
-    order = order[np.repeat(times > 1, times)]
-    token, number, size = token[order], number[order], size[order]
+    token = token[order]
+    times = np.diff(np.flatnonzero(np.append(True, token[1:] != token[:-1])[: len(token)]), append=len(token))
+    several = np.repeat(times > 1, times)
+    order, token = order[several], token[several]
+    number, size = np.concatenate(ids)[order], np.concatenate(sizes)[order]
     order = np.lexsort((number, token))
     token, number, size = token[order], number[order], size[order]
     once = np.append(True, (token[1:] != token[:-1]) | (number[1:] != number[:-1]))[: len(token)]
