@@ -328,17 +328,20 @@ class GroupJoin:
 
     def query(self, rows: DataFrame) -> None:
         """Step 4: every class against the matrix, opening only groups whose bound allows a link."""
-        rows = self.keep(self.grouped(rows), "matrix-rows")
-        cells = rows.groupBy("token", "g", "s").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+        width = self.labels.groupBy(F.col("component").alias("g")).agg(F.count(F.lit(1)).alias("of_group"))
+        rows = self.grouped(rows).join(small(width), "g", "left").withColumn("of_group", F.coalesce("of_group", F.lit(1)))
+        rows = self.keep(rows, "matrix-rows")
+        cells = rows.groupBy("token", "g", "of_group", "s").agg(F.min("n").alias("least"), F.max("n").alias("most"))
         several = cells.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
-        matrix = self.keep(cells.join(several, "token", "left_semi").select("token", F.col("g").alias("og"), F.col("s").alias("os"), "least", "most"), "matrix")
-        # A pair of groups is asked from its larger label, so each pair of classes is met once.
+        matrix = self.keep(cells.join(several, "token", "left_semi").select("token", F.struct("of_group", "g").alias("og"), F.col("s").alias("os"), "least", "most"), "matrix")
+        # Of two groups the one with fewer classes asks the other (the lesser label among equals): each pair of classes is met once,
+        # and the many members of a large group don't each ask about every single class.
         n = F.col("n")
-        asked = rows.join(matrix, "token").where((F.col("og") < F.col("g")) & (F.col("least") * self.percent <= n * 100) & (F.col("most") * 100 >= n * self.percent))
+        asked = rows.join(matrix, "token").where((F.struct("of_group", "g") < F.col("og")) & (F.col("least") * self.percent <= n * 100) & (F.col("most") * 100 >= n * self.percent))
         overlap = asked.groupBy("id", "n", "og", "os").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"), F.max("most").alias("most"))
         opened = overlap.where(self.allows(n, F.col("least"), F.col("most"), F.col("met")))
         members = rows.select("id", F.xxhash64("g", F.col("s").cast("int")).alias("target")).distinct()
-        self.link(self.linked(opened.select("id", F.xxhash64("og", F.col("os").cast("int")).alias("target")), members, "opened"), "opened")
+        self.link(self.linked(opened.select("id", F.xxhash64("og.g", F.col("os").cast("int")).alias("target")), members, "opened"), "opened")
 
     def run(self) -> DataFrame:
         """doc_id, n_shingles, component_id, copies (documents with the same set) of every row."""
