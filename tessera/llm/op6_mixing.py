@@ -1,18 +1,22 @@
 """Language-model scoring by online logistic context mixing.
 
-A text is scored as the sequence of its lower-cased words, joined by single blanks and closed by an end symbol. Each symbol
-is a path of binary decisions (its Huffman code), and each decision has several predictions: one for every kind of
-context, read from a table at the hash of context and node, and one of the node alone. Stretched predictions are added up
-with weights chosen by a gate (how far down the code and whether a word begins), squashed, and refined by an adaptive map
-from the mixed prediction to the observed share. Weights and map move on with the text in steps of STEP symbols, each step being
-scored before all of its decisions are learned; many texts are stepped through side by side, each with weights and map of its own. The sum of -log2 over all decisions is the text's bits.
-
-Learning: the counts of every context and symbol are a written table that grows with the corpus. Per context and node of the
-code it becomes one entry of a hash table with check tags (`Contexts`), sized from the counted entries, so that contexts don't
-share counts however many there are. The code comes from the symbols of all training texts. Weights and map are learned from all
-of them too, as texts that the tables have not seen: by a hash of its symbols a text is in one of two folds, and it is predicted from
-the counts of the other one. Every task learns from its texts; the weights' means over all steps and tasks are the model's, and the
-map comes from sums over all decisions. Scoring has the counts of both folds.
+A text is scored as a sequence of symbols: its lower-cased words, where the VOCABULARY most frequent training words are symbols
+and others are spelled (an escape, their bytes, a blank), and an end symbol. Each symbol is a path of binary decisions: the
+Huffman code of the words' counts in all training texts, or the eight bits of a byte. Each decision has several predictions: one of
+the node alone and one for each of ORDERS, the counts that followed the hash of the last one or three symbols at this node.
+Stretched predictions are added up with weights chosen by a gate (depth in the path, and which contexts are known), squashed, and
+refined by an adaptive map from the mixed prediction to the observed share. Weights and map move on with the text in steps of
+STEP symbols, each step being scored before all of its decisions are learned; the texts of a chunk are stepped through side by
+side, each with weights and map of its own. The sum of -log2 over all decisions is the text's bits.
+
+What is gathered grows with the corpus and never meets in one place. Texts are cut into chunks of about CHUNK symbols. A chunk
+asks for its distinct (context, symbol) pairs with their counts; pairs are dealt to buckets by the context's hash (40 bits),
+about BUCKET pairs each, a bucket sums the counts of all chunks, forms the predictions along each symbol's path, and answers
+every chunk with those that it asked for, one byte a decision. A pair goes to a bucket once for each chunk however often it occurs.
+
+Learning: the counts, the code and the vocabulary come from all training texts. Weights and map are learned from a fold of them that
+grows with the corpus (one text in FOLD, by a hash of its symbols, so equal texts go together), predicted from the counts of all
+others: each chunk fits the weights of its gates by Newton steps, and their means by decisions are the model's.
 
 `base_scores` is the unigram yardstick: word counts of all training texts; words above a share of the tokens are few by
 arithmetic and go to every task, the others meet their counts in a shuffle join by a 64-bit hash.
@@ -25,7 +29,6 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,352 +39,276 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, column_list, lower_ascii_bytes, prepare, utf8
-
-END = 256
-SLOT_BITS = 21  # of plain arrays given to `Mixer.fresh`; learned tables have no fixed size
-KINDS = 3  # contexts: the last three symbols, the last five, the word so far
-PAD = 6
-GATES = 32
-CELLS = 33
-BLOCK = 4096  # symbols that a lesson takes at once
-STEP = 32  # symbols after which a text's own weights and map adapt
-#: Symbols of all texts that are stepped through side by side, and steps whose decisions are looked up at once.
-TOGETHER, STEPS = 1 << 17, 64
+from tessera.llm.shingles import pack, pieces, unpack, word_hashes
+
+ORDERS = (1, 3)  # contexts: so many symbols before
+INPUTS = 1 + len(ORDERS)
+VOCABULARY = 1 << 16
+GATES, CELLS, LIMIT = 32, 33, 12
+STEP, STEPS = 32, 64  # symbols after which a text's own weights and map adapt, and steps whose decisions are laid out at once
+FOLD = 10
+CHUNK, BUCKET = 200_000, 1_000_000
+#: Pace of a text's own weights.
+RATE = 0.02
 
 #: A word with at least this share of the training tokens is known to every task: at most 1 / share words.
 FREQUENT_SHARE = 1 / 200_000
 
+_END_KEY = xxhash.xxh3_64_intdigest(b"\x00 end of text")  # holds a blank, so it is no word
 
-def symbols_of(raw: bytes) -> np.ndarray:
-    """The symbols to be scored, behind PAD zeros that only serve as context."""
-    text = b" ".join(lower_ascii_bytes(raw).split())
-    out = np.zeros(PAD + len(text) + 1, np.uint16)
-    out[PAD:-1] = np.frombuffer(text, np.uint8)
-    out[-1] = END
-    return out
+
+# -- symbols and their code
 
 
 @dataclass
 class Code:
-    """Binary paths of all symbols, flattened: those of s are at start[s] to start[s] + length[s].
-
-    The places come twice, so that a place also tells the gate: the second time for symbols that begin a word.
-    """
-
-    start: np.ndarray
+    """Vocabulary and binary paths. Symbols 0 to words - 1 are the tree's leaves from left to right, words + b is byte b."""
+
+    keys: np.ndarray  # hashes of the vocabulary's words, rising
+    symbol: np.ndarray  # of each key
+    escape: int
+    end: int
+    words: int
+    start: np.ndarray  # the path of s is at start[s] to start[s] + length[s]
     length: np.ndarray
     node: np.ndarray
     bit: np.ndarray
-    gate: np.ndarray  # by depth, and whether a word begins
+    plain: np.ndarray  # the node's own logit in sixteenths
 
     @classmethod
-    def huffman(cls, counts: np.ndarray) -> Code:
-        heap = [(int(c) + 1, s, s) for s, c in enumerate(counts)]
+    def huffman(cls, keys: np.ndarray, counts: np.ndarray, escapes: int, ends: int) -> Code:
+        every = [*counts.tolist(), escapes, ends]
+        heap = [(c + 1, s) for s, c in enumerate(every)]
         heapq.heapify(heap)
-        parent, inner = {}, 0
+        sons: list[tuple[int, int]] = []
         while len(heap) > 1:
-            (a, _, x), (b, _, y) = heapq.heappop(heap), heapq.heappop(heap)
-            name = len(counts) + inner
-            parent[x], parent[y] = (name, 0), (name, 1)
-            heapq.heappush(heap, (a + b, name, name))
-            inner += 1
-        start, length, node, bit = [], [], [], []
-        for s in range(len(counts)):
-            path, at = [], s
-            while at in parent:
-                at, b = parent[at]
-                path.append((at - len(counts), b))
+            (a, x), (b, y) = heapq.heappop(heap), heapq.heappop(heap)
+            heapq.heappush(heap, (a + b, len(every) + len(sons)))
+            sons.append((x, y))
+        total = np.zeros(len(every) + len(sons), np.int64)
+        total[: len(every)] = every
+        for k, (x, y) in enumerate(sons):
+            total[len(every) + k] = total[x] + total[y]
+        start, length, node, bit, leaves = [], [], [], [], []
+        stack: list[tuple[int, list[int], list[int]]] = [(heap[0][1], [], [])]
+        while stack:
+            at, nodes, bits = stack.pop()
+            if at < len(every):
+                leaves.append(at)
+                start.append(len(node))
+                length.append(len(bits))
+                node += nodes
+                bit += bits
+            else:
+                k = at - len(every)
+                stack.append((sons[k][1], [*nodes, k], [*bits, 1]))
+                stack.append((sons[k][0], [*nodes, k], [*bits, 0]))
+        for byte in range(256):
             start.append(len(node))
-            length.append(len(path))
-            node += [n for n, _ in reversed(path)]
-            bit += [b for _, b in reversed(path)]
-        depth = [min(d, GATES // 2 - 1) for n in length for d in range(n)]
-        gate = np.array(depth, np.int64)
-        return cls(np.array(start), np.array(length), np.array(node * 2, np.uint32), np.array(bit * 2, np.uint8), np.concatenate([gate, gate + GATES // 2]))
-
-
-def contexts(symbols: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each scored symbol every kind of context, all from symbols before it (55 bits at most), and whether a word begins."""
-    wide = symbols.astype(np.uint64)
-    n = len(symbols) - PAD
-    one, two, three, four, five = (wide[PAD - k : PAD - k + n] for k in range(1, 6))
-    near = one | (two << np.uint64(9)) | (three << np.uint64(18))
-    far = near | (four << np.uint64(27)) | (five << np.uint64(36))
-    # The word so far: sums of symbols times falling powers of an odd number, less the sum where the word began, times the
-    # rising power. So the hash is the same wherever the word stands.
-    opens = (one == 32) | (one == 0)
-    opens[:1] = True
-    powers, inverse = _powers(n)
-    sums = np.zeros(n, np.uint64)
-    np.cumsum(symbols[PAD:-1] * inverse[: max(n - 1, 0)], out=sums[1:])
-    begins = np.flatnonzero(opens)
-    sums -= np.repeat(sums[begins], np.diff(begins, append=n))
-    sums *= powers[:n]
-    sums >>= np.uint64(9)
-    return [near, far, sums], opens
-
-
-def mixed_context(context: np.ndarray, kind: int) -> np.ndarray:
-    """The 64-bit code of a context: one to one within a kind."""
-    out = (context + np.uint64(kind + 1)) * np.uint64(_KIND[kind])
-    out ^= out >> np.uint64(31)
-    out *= np.uint64(0xBF58476D1CE4E5B9)
-    out ^= out >> np.uint64(29)
-    return out
+            length.append(8)
+            node += [len(sons) + (1 << d) - 1 + (byte >> (8 - d)) for d in range(8)]
+            bit += [byte >> (7 - d) & 1 for d in range(8)]
+        plain = np.zeros(len(sons) + 255, np.float32)
+        for k, (x, y) in enumerate(sons):
+            plain[k] = stretch(total[x], total[y])
+        place = np.empty(len(every), np.int64)
+        place[leaves] = np.arange(len(every))
+        order = np.argsort(keys)
+        return cls(keys[order], place[:-2][order], int(place[-2]), int(place[-1]), len(every), np.array(start), np.array(length), np.array(node, np.int32), np.array(bit, np.uint8), plain)
 
 
-_KIND = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
-_NODE = np.uint64(0xD6E8FEB86659FD93)
+def stretch(zeros, ones):
+    """Logit of the share of ones in sixteenths, as small integers. Unseen contexts say nothing (0)."""
+    return np.clip(np.rint(16 * np.log((ones + 0.05) / (zeros + 0.05))), -127, 127).astype(np.int8)
 
 
-def node_keys(mixed: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """The 64-bit code of a context (by `mixed_context`) and a node."""
-    out = mixed ^ (node.astype(np.uint64) + np.uint64(1)) * _NODE
-    out *= np.uint64(0x94D049BB133111EB)
-    out ^= out >> np.uint64(32)
-    out *= np.uint64(0xBF58476D1CE4E5B9)
+def words_of(raws: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Pieces of the texts with their words' hashes, places and lengths and the number of the text that each is in."""
+    for raw, begins, numbers in pieces(raws):
+        found, starts, lengths = word_hashes(raw)
+        cut = np.append(np.searchsorted(starts, begins), len(starts))
+        yield raw, found, starts, lengths, np.repeat(np.array(numbers, np.int64), np.diff(cut))
+
+
+def symbols_of(raws: list[bytes], code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all texts one behind the other, and where each text ends."""
+    parts, owners = [], []
+    for raw, found, starts, lengths, owner in words_of(raws):
+        at = np.minimum(np.searchsorted(code.keys, found), max(len(code.keys) - 1, 0))
+        known = code.keys[at] == found if len(code.keys) else np.zeros(len(found), bool)
+        times = np.where(known, 1, lengths + 2)
+        out = np.full(int(times.sum()), code.escape, np.int64)
+        first = np.cumsum(times) - times
+        out[first[known]] = code.symbol[at[known]]
+        low = np.frombuffer(lower_ascii_bytes(raw), np.uint8)
+        for k in np.flatnonzero(~known).tolist():
+            n = int(lengths[k])
+            out[first[k] + 1 : first[k] + 1 + n] = low[starts[k] : starts[k] + n]
+            out[first[k] + 1 : first[k] + 1 + n] += code.words
+            out[first[k] + 1 + n] = code.words + 32
+        parts.append(out)
+        owners.append(np.repeat(owner, times))
+    symbols = np.concatenate([np.zeros(0, np.int64), *parts])
+    size = np.bincount(np.concatenate([np.zeros(0, np.int64), *owners]), minlength=len(raws))
+    symbols = np.insert(symbols, np.cumsum(size), code.end)
+    return symbols.astype(np.uint32), np.cumsum(size + 1)
+
+
+def pairs_of(symbols: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
+    """For each symbol the pair of its context, the `order` symbols before it in its text, and itself: 40 bits of a hash and 24."""
+    begins = np.repeat(np.append(0, ends[:-1]), np.diff(ends, prepend=0))
+    place = np.arange(len(symbols))
+    wide = symbols.astype(np.uint64) + np.uint64(1)
+    context = np.full(len(symbols), order, np.uint64)
+    for k in range(1, order + 1):
+        before = np.zeros(len(symbols), np.uint64)
+        before[k:] = wide[: max(len(symbols) - k, 0)]
+        before[place - k < begins] = 0  # before the text
+        context = (context ^ before) * np.uint64(0x9E3779B97F4A7C15)
+        context ^= context >> np.uint64(32)
+    context *= np.uint64(0xBF58476D1CE4E5B9)
+    context ^= context >> np.uint64(29)
+    return context >> np.uint64(24) << np.uint64(24) | symbols.astype(np.uint64)
+
+
+# -- predictions of a bucket
+
+
+def path_predictions(pairs: np.ndarray, times: np.ndarray, code: Code) -> np.ndarray:
+    """For distinct pairs in rising order the stretched predictions (int8) along each pair's path, one behind the other.
+
+    The symbols of a context come in the order of the tree's leaves, so the pairs under a node are neighbours: `first` marks where a
+    node's pairs begin, and one step down the path it also marks where the bit changes.
+    """
+    symbol = (pairs & np.uint64(0xFFFFFF)).astype(np.int64)
+    context = pairs >> np.uint64(24)
+    length, start = code.length[symbol], code.start[symbol]
+    place = np.cumsum(length) - length
+    out = np.zeros(int(length.sum()), np.int8)
+    first = np.append(True, context[1:] != context[:-1])[: len(pairs)]
+    live = length > 0
+    start, place, length, first, n = start[live], place[live], length[live], first[live], times[live].astype(np.int64)
+    depth = 0
+    while len(start):
+        bit = code.bit[start + depth]
+        begins = np.flatnonzero(first)
+        total = np.add.reduceat(n, begins)
+        ones = np.add.reduceat(n * bit, begins)
+        out[place + depth] = np.repeat(np.where(total > 0, stretch(total - ones, ones), 0).astype(np.int8), np.diff(begins, append=len(n)))
+        first[1:] |= bit[1:] != bit[:-1]
+        depth += 1
+        stay = length > depth
+        start, place, length, first, n = start[stay], place[stay], length[stay], first[stay], n[stay]
     return out
 
 
-@dataclass
-class Contexts:
-    """Predictors by context and node: a hash table in pieces, each with linear probing. A piece is named by the first bits of a
-    context's code. An entry is a tag of 24 bits and a value of 8, or 0; the place tells the other bits of the key."""
-
-    bits: int  # 2 ** bits pieces
-    base: np.ndarray  # where each begins
-    size: np.ndarray  # places a key of it may start from
-    entries: np.ndarray  # uint32
-
-    @staticmethod
-    def layout(keys: np.ndarray, values: np.ndarray) -> tuple[int, np.ndarray]:
-        """Size and entries of a piece from distinct keys in rising order and their int8 values. Its last place is empty."""
-        n = len(keys)
-        size = n + n // 2 + 1
-        rank = np.arange(n)
-        start = ((keys >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
-        place = rank + np.maximum.accumulate(start - rank) if n else rank
-        entries = np.zeros(max(size, place[-1] + 1 if n else 0) + 1, np.uint32)
-        entries[place] = (keys.astype(np.uint32) << np.uint32(8)) | np.uint32(256) | values.view(np.uint8)
-        return size, entries
-
-    def pieces(self, mixed: np.ndarray) -> np.ndarray:
-        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def look_up(self, mixed: np.ndarray, length: np.ndarray, node: np.ndarray) -> np.ndarray:
-        """Values (int8) for contexts repeated `length` times, with a node for each repeat; unseen ones have 0."""
-        piece = self.pieces(mixed)
-        keys = node_keys(np.repeat(mixed, length), node)
-        place = ((keys >> np.uint64(32)) * np.repeat(self.size[piece], length) >> np.uint64(32)).astype(np.int64)
-        place += np.repeat(self.base[piece], length)
-        tags = keys.astype(np.uint32)
-        tags <<= np.uint32(8)
-        tags |= np.uint32(256)
-        entry = self.entries.take(place)
-        away = (entry ^ tags) > 255
-        left = np.flatnonzero(away & (entry != 0))
-        out = entry.astype(np.uint8)
-        out[away] = 0
-        while len(left):
-            place[left] += 1
-            entry = self.entries.take(place[left])
-            found = (entry ^ tags[left]) <= 255
-            out[left[found]] = entry[found].astype(np.uint8)
-            left = left[~found & (entry != 0)]
-        return out.view(np.int8)
-
-
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        base, size = 0x9E3779B97F4A7C15, max(1 << 15, 1 << n.bit_length())
-        pair = []
-        for factor in (base, pow(base, -1, 1 << 64)):
-            steps = np.full(size, np.uint64(factor))
-            steps[0] = 1
-            pair.append(np.multiply.accumulate(steps))
-        _POWERS[:] = pair
-    return _POWERS[0], _POWERS[1]
-
-
-def places(scored: np.ndarray, opens: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
-    """Place in the code (hence node, bit and gate) of every decision of the symbols in order, and how many each symbol has."""
-    length = code.length[scored]
-    first = code.start[scored] - np.cumsum(length) + length
-    first += opens * (len(code.node) // 2)
-    at = np.repeat(first, length)
-    at += np.arange(len(at))
-    return at, length
+def chunk_pairs(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's distinct pairs, which of them each symbol is, and their times in training texts and in those of the fold."""
+    every, which = np.unique(pairs_of(symbols, ends, order), return_inverse=True)
+    kind = np.repeat(kinds, np.diff(ends, prepend=0))
+    return every, which, np.bincount(which, kind > 0, len(every)).astype(np.uint32), np.bincount(which, kind > 1, len(every)).astype(np.uint32)
 
 
-#: Pace of a text's own weights.
-RATE = 0.02
+_ASKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("pairs", pa.binary()), ("times", pa.binary()), ("folded", pa.binary())])
 
 
-def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Logit of the share of ones in sixteenths, as small integers. Unseen contexts say nothing (0)."""
-    return np.clip(np.rint(16 * np.log((ones + 0.05) / (zeros + 0.05))), -127, 127).astype(np.int8)
+def asked_pairs(chunks: DataFrame, bits: int) -> DataFrame:
+    """Each chunk's pairs with their times, dealt to 2 ** bits buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, symbols, ends, kinds in zip(*(batch.column(k) for k in range(4)), strict=True):
+                symbols, ends, kinds = unpack(symbols.as_py(), np.uint32), np.frombuffer(ends.as_py(), np.int64), np.frombuffer(kinds.as_py(), np.uint8)
+                for kind, order in enumerate(ORDERS):
+                    pairs, _, times, folded = chunk_pairs(symbols, ends, kinds, order)
+                    cuts = np.searchsorted(pairs, np.arange((1 << bits) + 1, dtype=np.uint64)[:-1] << np.uint64(64 - bits))
+                    rows = []
+                    for bucket, (low, high) in enumerate(zip(cuts, [*cuts[1:], len(pairs)], strict=True)):
+                        if high > low:
+                            rows.append({"bucket": bucket, "chunk": chunk.as_py(), "kind": kind, "pairs": pack(np.diff(pairs[low:high], prepend=np.uint64(0))), "times": pack(times[low:high]), "folded": pack(folded[low:high])})
+                    yield pa.RecordBatch.from_pylist(rows, _ASKED)
+
+    return chunks.select("chunk", "symbols", "ends", "kinds").mapInArrow(run, "bucket int, chunk long, kind int, pairs binary, times binary, folded binary")
+
+
+def answers(asked: DataFrame, code) -> DataFrame:
+    """(chunk, kind, bucket, known, taught): predictions for each chunk's pairs, and for those of the fold without the fold's counts."""
+
+    def answer(key: tuple, table: pa.Table) -> pa.Table:
+        coded = code.value
+        kinds = table.column("kind").to_numpy()
+        out = []
+        for kind in range(len(ORDERS)):
+            mine = np.flatnonzero(kinds == kind)
+            if not len(mine):
+                continue
+            own, all_times, all_folded = [], [], []
+            for k in mine.tolist():
+                own.append(np.cumsum(unpack(table.column("pairs")[k].as_py(), np.uint64), dtype=np.uint64))
+                all_times.append(unpack(table.column("times")[k].as_py(), np.uint32))
+                all_folded.append(unpack(table.column("folded")[k].as_py(), np.uint32))
+            pairs, which = np.unique(np.concatenate(own), return_inverse=True)
+            times, folded = (np.bincount(which, np.concatenate(t), len(pairs)).astype(np.int64) for t in (all_times, all_folded))
+            length = coded.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)]
+            begin = np.cumsum(length) - length
+            known, taught = path_predictions(pairs, times, coded), path_predictions(pairs, times - folded, coded)
+            at = 0
+            for k, mine_pairs, mine_folded in zip(mine.tolist(), own, all_folded, strict=True):
+                places = which[at : at + len(mine_pairs)]
+                at += len(mine_pairs)
+                teaching = places[mine_folded > 0]
+                out.append({"chunk": table.column("chunk")[k].as_py(), "kind": kind, "bucket": key[0].as_py(), "known": pack(known[spread(begin[places], length[places])]), "taught": pack(taught[spread(begin[teaching], length[teaching])])})
+        return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("known", pa.binary()), ("taught", pa.binary())]))
+
+    return asked.groupBy("bucket").applyInArrow(answer, "chunk long, kind int, bucket int, known binary, taught binary")
+
+
+def spread(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places begin[k] to begin[k] + length[k], for all k one behind the other."""
+    at = np.repeat(begin - (np.cumsum(length) - length), length)
+    at += np.arange(len(at))
+    return at
+
+
+# -- mixing
 
 
 @dataclass
 class Mixer:
-    code: Code
-    tables: Contexts
-    plain: np.ndarray  # the node's own logit
-    weights: np.ndarray  # (GATES, KINDS + 1)
-    refine: np.ndarray  # (GATES, CELLS): the map's probabilities
-    at_first: tuple[list[np.ndarray], np.ndarray, np.ndarray] | None = None  # see `settled`
+    """What chunks share: gated weights (GATES, INPUTS) and the map's probabilities (GATES, CELLS)."""
+
+    weights: np.ndarray
+    refine: np.ndarray
 
     @classmethod
-    def fresh(cls, code: Code, tables: Contexts, plain: np.ndarray) -> Mixer:
-        weights = np.tile(np.array([0.2, 0.35, 0.45, 0.05], np.float32), (GATES, 1))
+    def fresh(cls) -> Mixer:
+        weights = np.tile(np.array([0.3, 0.3, 0.5], np.float32), (GATES, 1))
         cells = 1 / (1 + np.exp(-np.linspace(-8, 8, CELLS)))
-        return cls(code, tables, plain, weights, np.tile(cells.astype(np.float32), (GATES, 1)))
-
-    def by_place(self, weights: np.ndarray) -> list[np.ndarray]:
-        """What every place adds to the mix: the weight of each kind, and the node's own part."""
-        spread = weights.T[:, self.code.gate] * np.float32(1 / 16)
-        return [*spread[:KINDS], spread[KINDS] * self.plain[self.code.node]]
-
-    def settled(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """For texts' first blocks, where weights and map are still the model's: `by_place`, and the bits that each decision
-        costs, by gate, bit and level of the mix, with the row of every place. Both bits of a level share one probability."""
-        if self.at_first is None:
-            level = (np.arange(LEVELS) + 0.5) * (2 * LIMIT / LEVELS) - LIMIT
-            final = (self.refine[:, cell_of(level)] + 1 / (1 + np.exp(-level))) / 2
-            final = np.clip(final, 1e-5, 1 - 1e-5)
-            costs = -np.log2(np.stack([1 - final, final], axis=1)).astype(np.float32)
-            self.at_first = self.by_place(self.weights), (self.code.gate * 2 + self.code.bit) * LEVELS, costs.ravel()
-        return self.at_first
-
-    def bits(self, symbols: np.ndarray) -> float:
-        """Total bits of a text."""
-        return float(self.all_bits([symbols])[0])
-
-    def all_bits(self, texts: list[np.ndarray], rate: float = RATE, adapt: bool = True) -> np.ndarray:
-        """Total bits of every text. Weights and map of each start from the model's and adapt step by step, apart from the others'."""
-        total = np.zeros(len(texts))
-        order = sorted(range(len(texts)), key=lambda t: -len(texts[t]))
-        k = 0
-        while k < len(order):
-            some, held = [], 0
-            while k < len(order) and (not some or held + len(texts[order[k]]) <= TOGETHER):
-                some.append(order[k])
-                held += len(texts[order[k]])
-                k += 1
-            total[some] = self.side_by_side([texts[t] for t in some], rate, adapt)
-        return total
-
-    def side_by_side(self, texts: list[np.ndarray], rate: float, adapt: bool) -> np.ndarray:
-        """`all_bits` of texts in falling order of length, so that those which still go on are the first ones."""
-        code, total, lengths = self.code, np.zeros(len(texts)), np.array([len(t) - PAD for t in texts])
-        known = [contexts(t) for t in texts]
-        weights = np.repeat(self.weights.astype(np.float32).T[:, None], len(texts), 1).reshape(KINDS + 1, -1) / np.float32(16)  # by kind, text and gate
-        refine, count = np.tile(self.refine.astype(np.float32).ravel(), len(texts)), np.zeros(len(texts) * GATES * CELLS, np.int32)
-        for begin in range(0, int(lengths.max(initial=0)), STEP * STEPS):
-            on = int((lengths > begin).sum())
-            here = slice(begin, begin + STEP * STEPS)
-            size = np.minimum(lengths[:on] - begin, STEP * STEPS)
-            owner = np.repeat(np.arange(on), size)
-            step = (np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)) // STEP
-            turn = np.argsort(step, kind="stable")  # by step, text and place in the text
-            at, length = places(np.concatenate([t[PAD:][here] for t in texts[:on]])[turn], np.concatenate([o[here] for _, o in known[:on]])[turn], code)
-            node = code.node.take(at)
-            inputs = [self.tables.look_up(mixed_context(np.concatenate([c[j][here] for c, _ in known[:on]])[turn], j), length, node).astype(np.float32) for j in range(KINDS)]
-            inputs.append(self.plain.take(node))
-            text, bit = np.repeat(owner[turn], length), code.bit.take(at).astype(np.float32)
-            gate = text * GATES + code.gate.take(at)
-            ends = np.cumsum(length)[np.cumsum(np.bincount(step)) - 1]
-            cost, low = np.empty(len(at)), 0
-            for high in ends.tolist():
-                now, low = slice(low, high), high
-                g, b, x = gate[now], bit[now], [i[now] for i in inputs]
-                mixed = weights[0].take(g) * x[0]
-                for j in range(1, KINDS + 1):
-                    mixed += weights[j].take(g) * x[j]
-                np.clip(mixed, -LIMIT, LIMIT, out=mixed)
-                chance = 1 / (1 + np.exp(-mixed))
-                cell = cell_of(mixed) + g * CELLS
-                mapped = refine.take(cell)
-                final = (mapped + chance) * np.float32(0.5)
-                cost[now] = np.abs(1 - b - np.clip(final, 1e-5, 1 - 1e-5))
-                if not adapt:
-                    continue
-                # A step along the mean slope of each gate of each text, and the map's cells towards the observed share.
-                error, most = b - chance, (int(text[now][-1]) + 1) * GATES
-                seen = np.bincount(g, minlength=most)
-                pace = rate / 256 / np.maximum(seen, 1) ** 0.5
-                for j in range(KINDS + 1):
-                    weights[j, :most] += pace * np.bincount(g, error * x[j], most)
-                np.add.at(count, cell, 1)
-                np.add.at(refine, cell, (b - mapped) / (count.take(cell) + np.float32(60)))
-                count[cell] = 0
-            total[:on] -= np.bincount(text, np.log2(cost), on)
-        return total
-
-    def first_bits(self, mixed: np.ndarray, at: np.ndarray) -> float:
-        """Bits of decisions under the model's own map, read from the table of costs."""
-        _, row, costs = self.settled()
-        level = mixed + np.float32(LIMIT)
-        level *= np.float32(LEVELS / (2 * LIMIT))
-        np.minimum(level, np.float32(LEVELS - 1), out=level)
-        index = level.astype(np.int64)
-        index += row.take(at, mode="clip")
-        return float(costs.take(index, mode="clip").sum(dtype=np.float64))
-
-
-#: Bound of the mix, and levels into which `Mixer.settled` cuts it.
-LIMIT, LEVELS = 12, 2048
-
-
-class Lesson:
-    """What a task learns from its texts: weights by small steps, with their mean over all decisions, and sums for the map's cells."""
-
-    def __init__(self, model: Mixer) -> None:
-        self.model, self.weights = model, model.weights.astype(np.float64)
-        self.sums, self.seen = np.zeros_like(self.weights), np.zeros(GATES)
-        self.count, self.ones = np.zeros(GATES * CELLS), np.zeros(GATES * CELLS)
-
-    def learn(self, symbols: np.ndarray, rate: float = 0.02) -> None:
-        code, plain, tables = self.model.code, self.model.plain, self.model.tables
-        kinds, opens = contexts(symbols)
-        for k in range(0, len(symbols) - PAD, BLOCK):
-            at, length = places(symbols[PAD + k : PAD + k + BLOCK], opens[k : k + BLOCK], code)
-            node, gate, bit = code.node.take(at), code.gate.take(at), code.bit.take(at)
-            inputs = [tables.look_up(mixed_context(kinds[j][k : k + BLOCK], j), length, node) for j in range(KINDS)]
-            inputs.append(plain.take(node))
-            mixed = sum(self.weights[:, j].take(gate) * x for j, x in enumerate(inputs)) / 16
-            np.clip(mixed, -LIMIT, LIMIT, out=mixed)
-            error, seen = bit - 1 / (1 + np.exp(-mixed)), np.bincount(gate, minlength=GATES)
-            cell = cell_of(mixed) + gate * CELLS
-            self.count += np.bincount(cell, minlength=GATES * CELLS)
-            self.ones += np.bincount(cell, bit, GATES * CELLS)
-            step = rate / 16 / np.maximum(seen, 1) * np.minimum(seen, 200) ** 0.5
-            for j, x in enumerate(inputs):
-                self.weights[:, j] += step * np.bincount(gate, error * x, GATES)
-            self.sums += self.weights * seen[:, None]
-            self.seen += seen
-
-    def packed(self) -> bytes:
-        return np.concatenate([self.sums.ravel(), self.seen, self.count, self.ones]).tobytes()
-
-    @staticmethod
-    def settle(model: Mixer, lessons: list[bytes]) -> None:
-        """Gives the model the weights' means and the map of all lessons."""
-        if not lessons:
-            return
-        total = np.sum([np.frombuffer(raw) for raw in lessons], axis=0)
-        sums, seen, count, ones = np.split(total, np.cumsum([GATES * (KINDS + 1), GATES, GATES * CELLS]))
-        met = seen > 0
-        model.weights[met] = sums.reshape(GATES, -1)[met] / seen[met, None]
-        model.refine = np.clip((ones.reshape(GATES, CELLS) + 60 * model.refine) / (count.reshape(GATES, CELLS) + 60), 1e-5, 1 - 1e-5).astype(np.float32)
+        return cls(weights, np.tile(cells.astype(np.float32), (GATES, 1)))
 
 
-def fold_of(symbols: np.ndarray) -> int:
-    """0 or 1; equal texts are in one fold."""
-    return xxhash.xxh3_64_intdigest(symbols.tobytes()) & 1
+@dataclass
+class Decisions:
+    """The decisions of some symbols in order: inputs (float32), gate, bit, and how many each symbol has."""
+
+    inputs: list[np.ndarray]
+    gate: np.ndarray
+    bit: np.ndarray
+    length: np.ndarray
+
+    @classmethod
+    def of(cls, symbols: np.ndarray, places: list[np.ndarray], predictions: list[np.ndarray], code: Code) -> Decisions:
+        """`places`: for each kind where a symbol's predictions begin."""
+        length = code.length[symbols]
+        at = spread(code.start[symbols], length)
+        depth = spread(np.zeros(len(symbols), np.int64), length)
+        gate = np.minimum(depth, GATES // 4 - 1)
+        inputs = [code.plain.take(code.node.take(at))]
+        for k in range(len(ORDERS)):
+            said = predictions[k].take(depth + np.repeat(places[k], length))
+            gate += (GATES // 4 << k) * (said != 0)
+            inputs.append(said.astype(np.float32))
+        return cls(inputs, gate, code.bit.take(at), length)
 
 
 def cell_of(mixed: np.ndarray) -> np.ndarray:
@@ -389,255 +316,266 @@ def cell_of(mixed: np.ndarray) -> np.ndarray:
     return np.clip((mixed + 8) * ((CELLS - 1) / 16) + 0.5, 0, CELLS - 0.5).astype(np.int64)
 
 
-def mixed_bits(mixed: np.ndarray, gate: np.ndarray, bit: np.ndarray, refine: np.ndarray) -> float:
-    """Bits of decisions whose mixed predictions are refined by the map."""
-    final = refine.ravel().take(cell_of(mixed) + gate * CELLS, mode="clip")
-    final += 1 / (1 + np.exp(-mixed))
-    final *= np.float32(0.5)
-    np.clip(final, 1e-5, 1 - 1e-5, out=final)
-    final -= bit == 0  # now the probability of what came, but for the sign
-    np.abs(final, out=final)
-    return -float(np.log2(final).sum(dtype=np.float64))
-
-
-#: Distinct keys that a counting task holds before it sends them, and rows of the counts in a piece of `Contexts`.
-HELD_KEYS, PIECE_ROWS = 1 << 22, 1 << 18
-
-
-def context_counts(train: DataFrame) -> DataFrame:
-    """(context, symbol, n, odd): how often each symbol follows each context, of all kinds, in the texts of `train`, and in those of fold 1."""
-    prepare(train.sparkSession)
+def bits_of(texts: list[int], ends: np.ndarray, symbols: np.ndarray, places: list[np.ndarray], predictions: list[np.ndarray], code: Code, model: Mixer, rate: float = RATE, adapt: bool = True) -> np.ndarray:
+    """Total bits of the texts with these numbers. Weights and map of each start from the model's and adapt step by step, apart from the others'."""
+    begins = np.append(0, ends[:-1])
+    lengths = (ends - begins)[texts]
+    order = np.argsort(-lengths, kind="stable")  # so that those which still go on are the first ones
+    lengths, first = lengths[order], begins[texts][order]
+    total = np.zeros(len(texts))
+    weights = np.repeat(model.weights.astype(np.float32).T[:, None], len(texts), 1).reshape(INPUTS, -1) / np.float32(16)  # by input, text and gate
+    refine = np.tile(model.refine.astype(np.float32).ravel(), len(texts))
+    count = np.zeros(len(refine), np.int32)
+    for begin in range(0, int(lengths.max(initial=0)), STEP * STEPS):
+        on = int((lengths > begin).sum())
+        size = np.minimum(lengths[:on] - begin, STEP * STEPS)
+        owner = np.repeat(np.arange(on), size)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+        turn = np.argsort(inside // STEP, kind="stable")  # by step, text and place in the text
+        here = (first[owner] + begin + inside)[turn]
+        d = Decisions.of(symbols[here], [p[here] for p in places], predictions, code)
+        text = np.repeat(owner[turn], d.length)
+        gates = text * GATES + d.gate
+        bits = d.bit.astype(np.float32)
+        stops = np.append(0, np.cumsum(d.length))[np.cumsum(np.bincount(inside // STEP))]
+        cost, low = np.empty(len(gates)), 0
+        for high in stops.tolist():
+            now, low = slice(low, high), high
+            if now.stop == now.start:
+                continue
+            g, b, x = gates[now], bits[now], [i[now] for i in d.inputs]
+            mixed = weights[0].take(g) * x[0]
+            for j in range(1, INPUTS):
+                mixed += weights[j].take(g) * x[j]
+            np.clip(mixed, -LIMIT, LIMIT, out=mixed)
+            chance = 1 / (1 + np.exp(-mixed))
+            cell = cell_of(mixed) + g * CELLS
+            mapped = refine.take(cell)
+            final = (mapped + chance) * np.float32(0.5)
+            cost[now] = np.abs(1 - b - np.clip(final, 1e-5, 1 - 1e-5))
+            if not adapt:
+                continue
+            # A step along the mean slope of each gate of each text, and the map's cells towards the observed share.
+            error, most = b - chance, (int(text[now][-1]) + 1) * GATES
+            seen = np.bincount(g, minlength=most)
+            pace = rate / 256 / np.maximum(seen, 1) ** 0.5
+            for j in range(INPUTS):
+                weights[j, :most] += pace * np.bincount(g, error * x[j], most)
+            np.add.at(count, cell, 1)
+            np.add.at(refine, cell, (b - mapped) / (count.take(cell) + np.float32(60)))
+            count[cell] = 0
+        total[:on] -= np.bincount(text, np.log2(cost), on)
+    out = np.empty(len(texts))
+    out[order] = total
+    return out
 
-    def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        every, n = np.concatenate(keys), np.concatenate(counts)
-        order = np.argsort(every)
-        every, n = every[order], n[order]
-        first = np.flatnonzero(np.append(True, every[1:] != every[:-1])[: len(every)])
-        return every[first], np.add.reduceat(n, first) if len(first) else n
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        held, pending, waiting = [none] * (2 * KINDS), [[] for _ in range(2 * KINDS)], 0  # by fold and kind
-
-        def settle() -> None:
-            for j in range(2 * KINDS):
-                if pending[j]:
-                    keys, n = np.unique(np.concatenate(pending[j]), return_counts=True)
-                    held[j] = merged([held[j][0], keys], [held[j][1], n])
-                    pending[j].clear()
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for j in range(2 * KINDS):
-                keys, n = held[j]
-                for k in range(0, len(keys), 1 << 16):
-                    some = keys[k : k + (1 << 16)]
-                    mixed = mixed_context(some >> np.uint64(9), j % KINDS).view(np.int64)
-                    times = n[k : k + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(mixed), pa.array((some & np.uint64(511)).astype(np.int16)), pa.array(times), pa.array(times * (j // KINDS))], names=["context", "symbol", "n", "odd"])
-                held[j] = none
+def lesson_of(d: Decisions) -> bytes:
+    """What a chunk learns from its decisions: weights by Newton steps from the fresh ones, with their numbers, and counts for the map's cells."""
+    start = Mixer.fresh().weights.astype(np.float64)
+    weights, x, seen = start.copy(), [i / 16 for i in d.inputs], np.bincount(d.gate, minlength=GATES).astype(np.float64)
+    for _ in range(4):
+        mixed = sum(weights[:, j].take(d.gate) * x[j] for j in range(INPUTS))
+        chance = 1 / (1 + np.exp(-np.clip(mixed, -LIMIT, LIMIT)))
+        error, slope = d.bit - chance, chance * (1 - chance)
+        down = np.stack([np.bincount(d.gate, error * x[j], GATES) for j in range(INPUTS)], axis=1) - 50 * (weights - start)
+        bend = np.empty((GATES, INPUTS, INPUTS))
+        for j in range(INPUTS):
+            for k in range(j, INPUTS):
+                bend[:, j, k] = bend[:, k, j] = np.bincount(d.gate, slope * x[j] * x[k], GATES)
+        weights = np.clip(weights + np.linalg.solve(bend + 50 * np.eye(INPUTS), down[:, :, None])[:, :, 0], -2, 3)
+    mixed = np.clip(sum(weights[:, j].take(d.gate) * x[j] for j in range(INPUTS)), -LIMIT, LIMIT)
+    cell = cell_of(mixed) + d.gate * CELLS
+    return np.concatenate([(weights * seen[:, None]).ravel(), seen, np.bincount(cell, minlength=GATES * CELLS), np.bincount(cell, d.bit, GATES * CELLS)]).tobytes()
+
+
+def settled(lessons: list[bytes]) -> Mixer:
+    """The weights' means and the map of all lessons."""
+    model = Mixer.fresh()
+    if lessons:
+        sums, seen, count, ones = np.split(np.sum([np.frombuffer(raw) for raw in lessons], axis=0), np.cumsum([GATES * INPUTS, GATES, GATES * CELLS]))
+        met = seen > 0
+        model.weights[met] = sums.reshape(GATES, -1)[met] / seen[met, None]
+        model.refine = np.clip((ones.reshape(GATES, CELLS) + 60 * model.refine) / (count.reshape(GATES, CELLS) + 60), 1e-5, 1 - 1e-5).astype(np.float32)
+    return model
 
-        for batch in batches:
-            for text in column_list(batch, "text"):
-                symbols = symbols_of(utf8(text))
-                for j, context in enumerate(contexts(symbols)[0], KINDS * fold_of(symbols)):
-                    pending[j].append((context << np.uint64(9)) | symbols[PAD:])
-                waiting += len(symbols)
-                if waiting >= 1 << 21:
-                    settle()
-                    waiting = 0
-                    if sum(len(h[0]) for h in held) >= HELD_KEYS:
-                        yield from rows()
-        settle()
-        yield from rows()
-
-    counted = train.select("text").mapInArrow(run, "context long, symbol short, n long, odd long")
-    return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"), F.sum("odd").alias("odd"))
-
-
-def learn_tables(counts: DataFrame, code: Code, scratch: Scratch) -> DataFrame:
-    """(seen, piece, bits, size, entries): the pieces of `Contexts` from the counts of fold 0, fold 1 and both (seen 0, 1, 2)."""
-    bits = max(4, math.ceil(math.log2(max(1, counts.count() / PIECE_ROWS))))
-    shared = counts.sparkSession.sparkContext.broadcast(code)
-    schema = pa.schema([("seen", pa.int32()), ("piece", pa.int32()), ("bits", pa.int32()), ("size", pa.int64()), ("entries", pa.binary())])
-
-    def lay(key: tuple, table: pa.Table) -> pa.Table:
-        # The contexts of one piece, about PIECE_ROWS rows.
-        coded = shared.value
-        context, symbol, n, odd = (table.column(c).to_numpy() for c in ("context", "symbol", "n", "odd"))
-        at, length = places(symbol, np.zeros(len(symbol), bool), coded)
-        keys, bit = node_keys(np.repeat(context.view(np.uint64), length), coded.node[at]), coded.bit[at]
-        order = np.argsort(keys)
-        keys, bit = keys[order], bit[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        out = []
-        for seen, times in enumerate((n - odd, odd, n)):
-            times = np.repeat(times, length)[order]
-            total, ones = np.add.reduceat(times, first), np.add.reduceat(times * bit, first)
-            met = total > 0
-            size, entries = Contexts.layout(keys[first][met], stretch(total - ones, ones)[met])
-            out.append({"seen": seen, "piece": key[0].as_py(), "bits": bits, "size": size, "entries": entries.tobytes()})
-        return pa.Table.from_pylist(out, schema)
-
-    piece = F.shiftrightunsigned("context", 64 - bits).cast("int").alias("piece")
-    laid = counts.select(piece, "context", "symbol", "n", "odd").groupBy("piece").applyInArrow(lay, "seen int, piece int, bits int, size long, entries binary")
-    return scratch.keep(laid, "tables")
-
-
-def gathered(laid: DataFrame, seen: int) -> Contexts:
-    mine = laid.where(F.col("seen") == seen)
-    about = mine.select("piece", "bits", "size", (F.length("entries") / 4).cast("long").alias("n")).collect()  # a row for each piece
-    bits = about[0]["bits"] if about else 4
-    size, places_of = np.ones(1 << bits, np.uint64), np.full(1 << bits, 2)  # a piece without contexts has empty places only
-    for row in about:
-        size[row["piece"]], places_of[row["piece"]] = row["size"], row["n"]
-    ends = np.cumsum(places_of)
-    out = Contexts(bits, ends - places_of, size, np.zeros(int(ends[-1]), np.uint32))
-    for row in mine.select("piece", "entries").toLocalIterator():
-        out.entries[out.base[row["piece"]] : ends[row["piece"]]] = np.frombuffer(row["entries"], np.uint32)
-    return out
 
+# -- the yardstick
 
-def fit(train: DataFrame, scratch: Scratch) -> Mixer:
-    """The model of the training texts (text)."""
-    spark = train.sparkSession
-    prepare(spark)
-    counts = scratch.keep(context_counts(train), "contexts")
-    # Every symbol of a text follows one context of each kind.
-    seen = np.zeros(END + 1, np.int64)
-    for row in counts.groupBy("symbol").agg((F.sum("n") / KINDS).cast("long").alias("n")).collect():
-        seen[row["symbol"]] = row["n"]
-    code = Code.huffman(seen)
-    at, length = places(np.arange(END + 1), np.zeros(END + 1, bool), code)
-    nodes = np.bincount(code.node[at].astype(np.int64) * 2 + code.bit[at], np.repeat(seen, length), 2 * END)
-    plain = stretch(nodes[0::2], nodes[1::2]).astype(np.float32)
-    laid = learn_tables(counts, code, scratch)
-    scratch.drop("contexts")
 
-    def lessons_of(fold: int) -> list[bytes]:
-        shared = spark.sparkContext.broadcast(Mixer.fresh(code, gathered(laid, 1 - fold), plain))
+def word_counts(train: DataFrame) -> DataFrame:
+    """(key, c): how often each token of the training texts occurs; key is the token's 64-bit hash."""
+    prepare(train.sparkSession)
 
-        def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lesson = Lesson(shared.value)
-            for batch in batches:
-                for text in column_list(batch, "text"):
-                    symbols = symbols_of(utf8(text))
-                    if fold_of(symbols) == fold:
-                        lesson.learn(symbols)
-            yield pa.RecordBatch.from_arrays([pa.array([lesson.packed()], pa.binary())], names=["lesson"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, ends = [], 0, 0
 
-        # A row of 18 KB from each task.
-        rows = scratch.keep(train.select("text").mapInArrow(teach, "lesson binary"), f"lessons{fold}").collect()
-        shared.destroy()
-        return sorted(bytes(row["lesson"]) for row in rows)
+        def settle() -> pa.RecordBatch:
+            keys, c = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(c.astype(np.int64))], names=["key", "c"])
 
-    lessons = [*lessons_of(0), *lessons_of(1)]
-    mixer = Mixer.fresh(code, gathered(laid, 2), plain)
-    scratch.drop("tables")
-    Lesson.settle(mixer, lessons)
-    return mixer
+        for batch in batches:
+            raws = [utf8(t) for t in column_list(batch, "text")]
+            ends += len(raws)
+            for _, found, *_ in words_of(raws):
+                held.append(found)
+                size += len(found)
+            if size > 2_000_000:
+                yield settle()
+                held, size = [], 0
+        held.append(np.full(ends, _END_KEY, np.uint64))
+        yield settle()
 
+    return train.select("text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
+_CHUNK = (
+    "chunk long, symbols binary, ends binary, kinds binary, n_symbols long, row array<long>, doc_id array<long>, n_tokens array<long>, seen array<long>, base array<double>, n_bytes array<long>, "
+    "rare_row array<long>, rare_key array<long>, rare_times array<long>"
+)
 
-_END_KEY = _hash(b"\x00 end of text")  # holds a blank, so it is no word
 
-
-def word_counts(train: DataFrame) -> DataFrame:
-    """(key, c): how often each token of the training texts occurs; key is the token's 64-bit hash."""
-    prepare(train.sparkSession)
+def chunked(docs: DataFrame, shared, known, norm: float) -> DataFrame:
+    """Chunks of texts (_row, doc_id, text, training): symbols, and for each text what the yardstick knows of it at once; rare words are listed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[bytes] = Counter()
-        ends = 0
+        code, (keys, counts) = shared.value, known.value
+        logs = np.log10(counts + 0.5) - norm
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
-            for text in column_list(batch, "text"):
-                total.update(lower_ascii_bytes(utf8(text)).split())
-                ends += 1
-            if len(total) > 400_000:
-                yield packed(total)
-                total.clear()
-        if total:
-            yield packed(total)
-        if ends:
-            yield pa.RecordBatch.from_arrays([pa.array([_END_KEY], pa.int64()), pa.array([ends], pa.int64())], names=["key", "c"])
-
-    def packed(total: Counter[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([_hash(w) for w in total], pa.int64()), pa.array(list(total.values()), pa.int64())], names=["key", "c"])
-
-    return train.select("text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+            for row in zip(*(column_list(batch, c) for c in ("_row", "doc_id", "text", "training")), strict=True):
+                held.append(row)
+                size += len(row[2] or "")
+                if size > CHUNK * 5 or len(held) >= 20_000:
+                    yield chunk_of(held, code, keys, logs)
+                    held, size = [], 0
+        if held:
+            yield chunk_of(held, code, keys, logs)
+
+    return docs.select("_row", "doc_id", "text", "training").mapInArrow(run, _CHUNK)
+
+
+def chunk_of(held: list[tuple], code: Code, keys: np.ndarray, logs: np.ndarray) -> pa.RecordBatch:
+    raws = [utf8(h[2]) for h in held]
+    symbols, ends = symbols_of(raws, code)
+    kinds = np.array([0 if not h[3] else 1 + (xxhash.xxh3_64_intdigest(symbols[b:e].tobytes()) % FOLD == 0) for h, b, e in zip(held, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)], np.uint8)
+    n = len(held)
+    words, chars = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    every, owners = [np.full(n, _END_KEY, np.uint64)], [np.arange(n)]
+    for _, found, _, lengths, owner in words_of(raws):
+        words += np.bincount(owner, minlength=n)
+        chars += np.bincount(owner, lengths, n).astype(np.int64)
+        every.append(found)
+        owners.append(owner)
+    key, owner = np.concatenate(every).view(np.int64), np.concatenate(owners)
+    at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+    met = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+    base = np.bincount(owner[met], logs[at[met]], n)
+    rare, whose = key[~met], owner[~met]
+    order = np.lexsort((rare, whose))
+    rare, whose = rare[order], whose[order]
+    first = np.flatnonzero(np.append(True, (rare[1:] != rare[:-1]) | (whose[1:] != whose[:-1]))[: len(rare)])
+    rows = np.array([h[0] for h in held], np.int64)
+    columns = [
+        rows[0].item(), pack(symbols), ends.astype(np.int64).tobytes(), kinds.tobytes(), len(symbols), rows, [h[1] for h in held], words + 1, np.bincount(owner[met], minlength=n), base, chars + np.maximum(words - 1, 0),
+        rows[whose[first]], rare[first], np.diff(first, append=len(rare)),
+    ]
+    return pa.RecordBatch.from_arrays([pa.array([c.tolist() if isinstance(c, np.ndarray) else c], t) for c, t in zip(columns, _CHUNK_TYPES, strict=True)], names=[c.split()[0] for c in _CHUNK.split(", ")])
+
+
+_CHUNK_TYPES = [{"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}[c.split()[1]] for c in _CHUNK.split(", ")]
+
+
+# -- the whole
+
+
+def _joined(mine: pa.Table, said: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """A chunk's symbols, ends and kinds, and for each kind the answers of its buckets one behind the other."""
+    symbols, ends, kinds = unpack(mine.column("symbols")[0].as_py(), np.uint32), np.frombuffer(mine.column("ends")[0].as_py(), np.int64), np.frombuffer(mine.column("kinds")[0].as_py(), np.uint8)
+    kind, bucket = said.column("kind").to_numpy(), said.column("bucket").to_numpy()
+    parts: list[list[np.ndarray]] = [[np.zeros(0, np.int8)] for _ in ORDERS]
+    for k in np.lexsort((bucket, kind)).tolist():
+        parts[kind[k]].append(unpack(said.column(column)[k].as_py(), np.int8))
+    return symbols.astype(np.int64), ends, kinds, [np.concatenate(p) for p in parts]
+
+
+def _places(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, code: Code, taught: bool) -> list[np.ndarray]:
+    """For each kind and symbol where its predictions begin in the answers."""
+    out = []
+    for order in ORDERS:
+        pairs, which, _, folded = chunk_pairs(symbols.astype(np.uint32), ends, kinds, order)
+        length = code.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)] * (folded > 0 if taught else 1)
+        out.append((np.cumsum(length) - length)[which])
+    return out
 
 
-def score(docs: DataFrame, train: DataFrame, weight_docs: int = 400) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score, total_bits, n_bytes of every row of docs, learned from `train`.
+def score(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score, total_bits, n_bytes of every row of docs (doc_id, text, training).
 
-    Both have doc_id and text. `weight_docs` limited the texts that weights were learned from; all are used now. `score` is the model's log10 probability, `total_bits` the same in bits.
+    The model is learned from the rows whose `training` is true; `score` is its log10 probability, `total_bits` the same in bits.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
-    counts = scratch.keep(word_counts(train), "counts")
-    size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    n, v = int(size[0]), int(size[1])
+    counts = scratch.keep(word_counts(docs.where("training")), "counts")
+    ends_key = int(np.uint64(_END_KEY).view(np.int64))
+    size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max(F.when(F.col("key") == ends_key, F.col("c"))), F.lit(0))).first()
+    n, v, ends = int(size[0]), int(size[1]), int(size[2])
     least = max(1, math.ceil(n * FREQUENT_SHARE))
     frequent = counts.where(F.col("c") >= least).toPandas().sort_values("key")  # at most 1 / FREQUENT_SHARE rows
     known = spark.sparkContext.broadcast((frequent["key"].to_numpy(np.int64), frequent["c"].to_numpy(np.int64)))
-    model = spark.sparkContext.broadcast(fit(train, scratch))
+    chosen = counts.where((F.col("c") > 1) & (F.col("key") != ends_key)).orderBy(F.desc("c"), "key").limit(VOCABULARY).toPandas()  # the vocabulary is a parameter
+    coded = Code.huffman(chosen["key"].to_numpy(np.int64).view(np.uint64), chosen["c"].to_numpy(np.int64), n - ends - int(chosen["c"].sum()), ends)
+    code = spark.sparkContext.broadcast(coded)
     norm = math.log10(n + 0.5 * (v + 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, cs = known.value
-        logs = np.log10(cs + 0.5) - norm
-        mixer = model.value
-        at_of = dict(zip(keys.tolist(), range(len(keys)), strict=True))
-        memo: dict[bytes, tuple[int, int]] = {}
-        for batch in batches:
-            out: list[tuple] = []
-            all_symbols: list[np.ndarray] = []
-            for text in column_list(batch, "text"):
-                raw = utf8(text)
-                symbols = symbols_of(raw)
-                all_symbols.append(symbols)
-                words = symbols[PAD:-1].astype(np.uint8).tobytes().split()
-                base, seen, rare, times = 0.0, 0, [], []
-                held = Counter(words)
-                place = []
-                for word, k in held.items():
-                    found = memo.get(word)
-                    if found is None:
-                        if len(memo) >= 300_000:
-                            memo.clear()
-                        key = _hash(word)
-                        found = memo[word] = (at_of.get(key, -1), key)
-                    place.append(found[0])
-                    if found[0] < 0:
-                        rare.append(found[1])
-                        times.append(k)
-                place.append(at_of.get(_END_KEY, -1))
-                at, k = np.array(place), np.array([*held.values(), 1])
-                common = at >= 0
-                base = float((logs[at[common]] * k[common]).sum())
-                seen = int(k[common].sum())
-                if place[-1] < 0:  # so rare only where no or few texts are long
-                    rare.append(_END_KEY)
-                    times.append(1)
-                out.append((len(words) + 1, seen, base, len(symbols) - PAD - 1, rare, times))
-            out = [(*o[:3], total, *o[3:]) for o, total in zip(out, mixer.all_bits(all_symbols).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1)] + [pa.array([o[j] for o in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())))],
-                names=["_row", "doc_id", "n_tokens", "seen", "base", "total_bits", "n_bytes", "rare", "times"],
-            )
-
     prepare(spark)
-    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
-    rows = scratch.keep(numbered.mapInArrow(run, "_row long, doc_id long, n_tokens long, seen long, base double, total_bits double, n_bytes long, rare array<long>, times array<int>"), "rows")
-    words = rows.select("_row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("_row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text", F.coalesce("training", F.lit(False)).alias("training"))
+    chunks = scratch.keep(chunked(numbered, code, known, norm), "chunks")
+    symbols = chunks.agg(F.coalesce(F.sum("n_symbols"), F.lit(0))).first()[0]
+    bits = max(5, math.ceil(math.log2(max(1, symbols * len(ORDERS) / BUCKET))))
+    said = scratch.keep(answers(asked_pairs(chunks, bits), code), "answers")
+
+    def teach(key: tuple, mine: pa.Table, its: pa.Table) -> pa.Table:
+        symbols, ends, kinds, predictions = _joined(mine, its, "taught")
+        here = np.flatnonzero(np.repeat(kinds > 1, np.diff(ends, prepend=0)))
+        lessons = []
+        if len(here):
+            places = _places(symbols, ends, kinds, code.value, True)
+            lessons = [lesson_of(Decisions.of(symbols[here], [p[here] for p in places], predictions, code.value))]
+        return pa.table([pa.array(lessons, pa.binary())], names=["lesson"])
+
+    whole = chunks.select("chunk", "symbols", "ends", "kinds")
+    lessons = whole.groupBy("chunk").cogroup(said.select("chunk", "kind", "bucket", "taught").groupBy("chunk")).applyInArrow(teach, "lesson binary")
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for raw in column_list(batch, "lesson"):
+                total = np.frombuffer(raw) + (0 if total is None else total)
+        yield pa.RecordBatch.from_arrays([pa.array([] if total is None else [total.tobytes()], pa.binary())], names=["lesson"])
+
+    # A row of 18 KB from each task.
+    model = spark.sparkContext.broadcast(settled(sorted(bytes(r["lesson"]) for r in scratch.keep(lessons.mapInArrow(summed, "lesson binary"), "lessons").collect())))
+
+    def rate(key: tuple, mine: pa.Table, its: pa.Table) -> pa.Table:
+        symbols, ends, kinds, predictions = _joined(mine, its, "known")
+        places = _places(symbols, ends, kinds, code.value, False)
+        total = bits_of(list(range(len(ends))), ends, symbols, places, predictions, code.value, model.value)
+        plain = [pa.array(mine.column(c)[0].as_py(), t) for c, t in (("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("seen", pa.int64()), ("base", pa.float64()), ("n_bytes", pa.int64()))]
+        return pa.table([*plain, pa.array(total)], names=["_row", "doc_id", "n_tokens", "seen", "base", "n_bytes", "total_bits"])
+
+    whole = chunks.select("chunk", "symbols", "ends", "kinds", "row", "doc_id", "n_tokens", "seen", "base", "n_bytes")
+    rated = whole.groupBy("chunk").cogroup(said.select("chunk", "kind", "bucket", "known").groupBy("chunk")).applyInArrow(rate, "_row long, doc_id long, n_tokens long, seen long, base double, n_bytes long, total_bits double")
+    rows = scratch.keep(rated, "rows")
+    scratch.drop("answers", "lessons")
+    words = chunks.select(F.explode(F.arrays_zip("rare_row", "rare_key", "rare_times")).alias("w")).select(F.col("w.rare_row").alias("_row"), F.col("w.rare_key").alias("key"), F.col("w.rare_times").alias("times"))
     met = words.join(counts.where(F.col("c") < least), "key", "left")
     # Rare counts are small integers, so the sums of a row come from few distinct logarithms.
     rest = met.groupBy("_row").agg(
         F.sum(F.col("times") * (F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5)) - F.lit(norm))).alias("rest"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(F.lit(0))).alias("rest_seen")
     )
-    joined = rows.drop("rare", "times").join(rest, "_row", "left")
+    joined = rows.join(rest, "_row", "left")
     return joined.select(
         "doc_id", "n_tokens", (F.col("seen") + F.coalesce("rest_seen", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), (F.col("total_bits") * F.lit(-math.log10(2))).alias("score"), "total_bits", "n_bytes",

@@ -47,8 +47,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(ascii_crc("doc_id") % 5 == 1, F.lit(False))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = op6_mixing.score(docs, docs.where(~held))
+    scored = op6_mixing.score(table(spark, sf_dir, "documents").select("doc_id", "text", (~held).alias("training")))
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "total_bits", "n_bytes")
 
 

@@ -27,25 +27,25 @@ def _factors(n: int) -> np.ndarray:
     return _FACTORS[0]
 
 
-def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words `[^\\x20\\x09-\\x0D]+`, A-Z taken as a-z, and where each begins."""
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words `[^\\x20\\x09-\\x0D]+`, A-Z taken as a-z, where each begins, and their lengths."""
     data = np.frombuffer(raw, np.uint8)
     inside = np.concatenate([[False], ~_SPACES[data], [False]])
     starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
     if not len(starts):
-        return np.zeros(0, np.uint64), starts
-    longest = int((np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1 - starts).max())
+        return np.zeros(0, np.uint64), starts, starts
+    lengths = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1 - starts
     first = int(starts[0])
     place = np.arange(first, len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
-    parts = _BYTE.take(data[first:]) * _factors(longest).take(place, mode="clip")  # white space adds nothing
+    parts = _BYTE.take(data[first:]) * _factors(int(lengths.max())).take(place, mode="clip")  # white space adds nothing
     out = np.add.reduceat(parts, starts - first)
     out ^= out >> np.uint64(32)
     out *= _ODD[0]
     out ^= out >> np.uint64(29)
-    return out, starts
+    return out, starts, lengths
 
 
-def _pieces(raws: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, list[int]]]:
+def pieces(raws: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, list[int]]]:
     """Bytes of some texts, where each begins, and their numbers. Texts beyond PIECE are cut at white space."""
     held, numbers, size = [], [], 0
     for k, raw in enumerate(raws):
@@ -72,8 +72,8 @@ def token_sets(raws: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     A text with fewer words than `width` has its whole sequence as the one shingle, one without words an empty set.
     """
     hashes, words = [], np.zeros(len(raws), np.int64)
-    for raw, begins, numbers in _pieces(raws):
-        found, starts = word_hashes(raw)
+    for raw, begins, numbers in pieces(raws):
+        found, starts, _ = word_hashes(raw)
         hashes.append(found)
         cut = np.append(np.searchsorted(starts, begins), len(starts))
         np.add.at(words, numbers, np.diff(cut))
@@ -116,7 +116,7 @@ _PACK, _UNPACK = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 def pack(values: np.ndarray) -> bytes:
     """Integers as compressed byte planes."""
-    return _PACK.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes())
+    return _PACK.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
 
 
 def unpack(raw: bytes, kind: type) -> np.ndarray:

@@ -153,8 +153,7 @@ def test_html_keeps_near_copies(spark, wrap):
 
 def test_mixing_and_base_scores(spark, docs):
     own = {k: t for k, t in enumerate(texts())}
-    train = docs.where("doc_id % 5 <> 1")
-    got = by_id(op6_mixing.score(docs, train, weight_docs=5))
+    got = by_id(op6_mixing.score(docs.withColumn("training", F.expr("doc_id % 5 <> 1"))))
     words = {k: re.findall("[^\x20\x09-\x0d]+", (t or "").lower()) + [None] for k, t in own.items()}
     c = Counter(w for k, ws in words.items() if k % 5 != 1 for w in ws)
     n, v = sum(c.values()), len(c)
@@ -163,80 +162,88 @@ def test_mixing_and_base_scores(spark, docs):
         assert (got[k]["n_tokens"], got[k]["n_known"], got[k]["train_tokens"]) == (len(ws), sum(c[w] > 0 for w in ws), n)
         assert got[k]["score"] < 0
     for copy in range(0, 60, 6):  # a text's score is its own
-        assert got[copy]["score"] == got[60 + copy // 2]["score"]
-    code = op6_mixing.Code.huffman(np.ones(257, int))
-    total = sum(2.0 ** -int(n) for n in code.length)
-    assert total == pytest.approx(1.0)  # the decisions are a complete code
-
-
-def test_mixing_first_block_costs():
-    rng = np.random.default_rng(1)
-    code = op6_mixing.Code.huffman(rng.integers(0, 1000, 257))
-    model = op6_mixing.Mixer.fresh(code, rng.integers(-100, 100, (op6_mixing.KINDS, 1 << op6_mixing.SLOT_BITS)).astype(np.int8), rng.integers(-50, 50, 256).astype(np.float32))
-    mixed, at = rng.uniform(-12, 12, 4000).astype(np.float32), rng.integers(0, len(code.node), 4000)
-    exact = op6_mixing.mixed_bits(mixed, code.gate[at], code.bit[at], model.refine)
-    assert model.first_bits(mixed, at) == pytest.approx(exact, rel=1e-2)
-    _, _, costs = model.settled()
-    shares = 2.0 ** -costs.reshape(op6_mixing.GATES, 2, op6_mixing.LEVELS).astype(float)
-    assert np.allclose(shares.sum(axis=1), 1, atol=1e-5)  # both bits together are certain
-    assert model.bits(np.zeros(op6_mixing.PAD, np.uint16)) == 0.0
-
-
-def test_mixing_contexts_share_no_counts():
-    """More contexts than any fixed array of 2 ** SLOT_BITS has places: each keeps its own value, and others have none."""
-    rng, n = np.random.default_rng(5), 3 << op6_mixing.SLOT_BITS
-    mixed = op6_mixing.mixed_context(np.arange(2 * n, dtype=np.uint64), 1)
-    node, one = rng.integers(0, 256, 2 * n).astype(np.uint32), np.ones(2 * n, np.int64)
-    value = rng.integers(1, 127, n).astype(np.int8)
-    keys = op6_mixing.node_keys(mixed[:n], node[:n])
-    order = np.argsort(keys)
-    size, entries = op6_mixing.Contexts.layout(keys[order], value[order])
-    table = op6_mixing.Contexts(4, np.zeros(16, np.int64), np.full(16, size, np.uint64), entries)
-    got = table.look_up(mixed, one, node)
-    assert (got[:n] == value).mean() > 0.9999 and (got[n:] != 0).mean() < 1e-4
-
-
-def test_mixing_context_counts(spark):
-    rows = [(1, "abcab"), (2, None), (3, "abcab")]
-    got = op6_mixing.context_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sum(r["n"] for r in got) == op6_mixing.KINDS * (2 * 6 + 1)
-    kinds, _ = op6_mixing.contexts(op6_mixing.symbols_of(b"abcab"))
-    held = {(r["context"], r["symbol"]): r["n"] for r in got}
-    for j, kind in enumerate(kinds):
-        assert held[int(op6_mixing.mixed_context(kind, j).view(np.int64)[2]), ord("c")] == 2
-
-
-def test_mixing_learns_from_all_training_texts(spark):
-    """Symbols of the code and decisions behind weights and map are those of every training text, however small the share asked for."""
-    rows = [(k, t) for k, t in enumerate(texts(200, seed=8))] + [(999, "ωωωω")]
-    train = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    kept = []
-    settle = op6_mixing.Lesson.settle
-    op6_mixing.Lesson.settle = staticmethod(lambda model, lessons: (kept.append((model, lessons)), settle(model, lessons)))
-    try:
-        op6_mixing.score(train, train, weight_docs=1).count()
-    finally:
-        op6_mixing.Lesson.settle = staticmethod(settle)
-    model, lessons = kept[0]
-    symbols = np.concatenate([op6_mixing.symbols_of((t or "").encode())[op6_mixing.PAD :] for _, t in rows])
-    assert (model.code.length == op6_mixing.Code.huffman(np.bincount(symbols, minlength=257)).length).all()
-    total = np.sum([np.frombuffer(raw) for raw in lessons], axis=0)
-    at = op6_mixing.GATES * (op6_mixing.KINDS + 1)
-    assert total[at : at + op6_mixing.GATES].sum() == model.code.length[symbols].sum()
-
-
-def test_mixing_adapts_within_short_texts():
-    """A text below a block teaches weights and map, from all decisions, and its bits don't depend on its neighbours."""
-    rng = np.random.default_rng(2)
-    code = op6_mixing.Code.huffman(rng.integers(0, 1000, 257))
-    nothing = op6_mixing.Contexts(4, np.arange(16) * 2, np.ones(16, np.uint64), np.zeros(32, np.uint32))
-    model = op6_mixing.Mixer.fresh(code, nothing, rng.integers(-50, 50, 256).astype(np.float32))
-    short = [op6_mixing.symbols_of(b"qzx jqv " * k) for k in (1, 3, 40, 200)]
-    alone = np.array([model.bits(t) for t in short])
-    assert (alone == model.all_bits(short[::-1])[::-1]).all()
-    still = model.all_bits(short, adapt=False)
-    assert alone[2] < 0.99 * still[2] and alone[3] < 0.95 * still[3]
-    assert alone[0] == pytest.approx(still[0]) and alone[3] / 200 < alone[2] / 40
+        assert got[copy]["score"] == pytest.approx(got[60 + copy // 2]["score"], rel=1e-6)
+
+
+def slow_bits(symbols, train, code, model):
+    """The bits of one text, decision by decision, from the counts of the training texts in dictionaries."""
+    seen = [Counter() for _ in op6_mixing.ORDERS]
+    path = lambda s: [(int(code.node[a]), int(code.bit[a])) for a in range(code.start[s], code.start[s] + code.length[s])]
+    before = lambda text, k, order: tuple(text[max(0, k - order) : k]) + (None,) * max(0, order - k)
+    for text in train:
+        for k, s in enumerate(text):
+            for node, bit in path(s):
+                for kind, order in enumerate(op6_mixing.ORDERS):
+                    seen[kind][before(text, k, order), node, bit] += 1
+    weights, refine, total = model.weights.astype(float) / 16, model.refine.astype(float).copy(), 0.0
+    for step in range(0, len(symbols), op6_mixing.STEP):
+        slopes, times, cells = np.zeros_like(weights), np.zeros(op6_mixing.GATES), []
+        for k in range(step, min(step + op6_mixing.STEP, len(symbols))):
+            for depth, (node, bit) in enumerate(path(symbols[k])):
+                x, gate = [float(code.plain[node])], min(depth, op6_mixing.GATES // 4 - 1)
+                for kind, order in enumerate(op6_mixing.ORDERS):
+                    zeros, ones = (seen[kind][before(symbols, k, order), node, b] for b in (0, 1))
+                    x.append(float(op6_mixing.stretch(zeros, ones)) if zeros + ones else 0.0)
+                    gate += (op6_mixing.GATES // 4 << kind) * (x[-1] != 0)
+                mixed = min(max(sum(w * v for w, v in zip(weights[gate], x, strict=True)), -12), 12)
+                chance, cell = 1 / (1 + math.exp(-mixed)), int(op6_mixing.cell_of(np.array([mixed]))[0])
+                final = min(max((chance + refine[gate, cell]) / 2, 1e-5), 1 - 1e-5)
+                total -= math.log2(final if bit else 1 - final)
+                slopes[gate] += [(bit - chance) * v for v in x]
+                times[gate] += 1
+                cells.append((gate, cell, bit - refine[gate, cell]))
+        weights = weights + op6_mixing.RATE / 256 * slopes / np.maximum(times, 1)[:, None] ** 0.5
+        many = Counter((g, c) for g, c, _ in cells)
+        for g, c, away in cells:
+            refine[g, c] += away / (many[g, c] + 60)
+    return total
+
+
+def test_mixing_equals_a_slow_one(spark, monkeypatch):
+    """All training texts, some cut into many chunks and buckets, texts from none to several steps and windows, spelled words."""
+    r = random.Random(4)
+    rows = [(k, " ".join(r.choices(WORDS[:60], k=r.choice([1, 5, 20, 70])))) for k in range(60)]
+    rows += [(60, rows[3][1]), (61, None), (62, "ωων " * 3 + "once-seen"), (63, " ".join(r.choices(WORDS[:60], k=300))), (64, "Never seen " * 50)]
+    kept = {}
+    settled, huffman = op6_mixing.settled, op6_mixing.Code.huffman
+    monkeypatch.setattr(op6_mixing, "settled", lambda lessons: kept.setdefault("model", settled(lessons)))
+    monkeypatch.setattr(op6_mixing.Code, "huffman", lambda *a: kept.setdefault("code", huffman(*a)))
+    docs = spark.createDataFrame([(k, t, k % 5 != 1 and k != 64) for k, t in rows], "doc_id long, text string, training boolean").repartition(3)
+    got = {g["doc_id"]: g["total_bits"] for g in op6_mixing.score(docs).collect()}
+    code, model = kept["code"], kept["model"]
+    every, ends = op6_mixing.symbols_of([(t or "").encode() for _, t in rows], code)
+    parts = {k: part.tolist() for (k, _), part in zip(rows, np.split(every, ends[:-1]), strict=True)}
+    train = [parts[k] for k in parts if k % 5 != 1 and k != 64]
+    for k in (0, 1, 2, 6, 11, 60, 61, 62, 63, 64):
+        assert got[k] == pytest.approx(slow_bits(parts[k], train, code, model), rel=2e-3)
+
+
+def test_mixing_predictions_of_a_bucket():
+    """Predictions along the paths equal counts in a dictionary; contexts of one hash bucket share nothing."""
+    rng = np.random.default_rng(3)
+    code = op6_mixing.Code.huffman(np.sort(rng.integers(0, 1 << 63, 40).astype(np.uint64)), rng.integers(1, 500, 40), 7, 9)
+    assert sum(2.0 ** -int(n) for n in code.length[: code.words]) == pytest.approx(1.0)  # the decisions are a complete code
+    symbols = rng.integers(0, code.words, 600).astype(np.uint64)
+    pairs, times = np.unique(rng.integers(0, 9, 600).astype(np.uint64) << np.uint64(24) | symbols, return_counts=True)
+    got, at = op6_mixing.path_predictions(pairs, times, code), 0
+    held = Counter()
+    paths = [[(int(p) >> 24, int(code.node[a]), int(code.bit[a])) for a in range(code.start[int(p) & 0xFFFFFF], code.start[int(p) & 0xFFFFFF] + code.length[int(p) & 0xFFFFFF])] for p in pairs]
+    for path, n in zip(paths, times.tolist(), strict=True):
+        for step in path:
+            held[step] += n
+    for path in paths:
+        for c, node, _ in path:
+            assert got[at] == op6_mixing.stretch(held[c, node, 0], held[c, node, 1])
+            at += 1
+    assert at == len(got)
+
+
+def test_mixing_without_training_texts_and_empty(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "some words", None), (None, None, False)], "doc_id long, text string, training boolean")
+    got = {g["doc_id"]: g for g in op6_mixing.score(docs).collect()}
+    assert got[1]["train_tokens"] == 0 and got[1]["n_tokens"] == 3 and got[1]["total_bits"] > got[None]["total_bits"] >= 0
+    docs.where("doc_id > 5").write.parquet(str(tmp_path / "none"))
+    assert op6_mixing.score(spark.read.parquet(str(tmp_path / "none"))).count() == 0
 
 
 def test_line_dedup(spark, docs, monkeypatch):
