@@ -85,6 +85,9 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage, survive lost executors and are reused without recomputing."""
 
@@ -97,7 +100,13 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Written as Parquet and read again."""
         schema = df.schema
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        # The table replaces what was shuffled for it, so those files go when the write is done.
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        finally:
+            self.spark.conf.unset(_CLEANUP) if before is None else self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

@@ -31,6 +31,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,16 +44,18 @@ from tessera.llm.shingles import pack, pieces, unpack, word_hashes
 
 ORDERS = (1, 3)  # contexts: so many symbols before
 INPUTS = 1 + len(ORDERS)
-VOCABULARY = 1 << 16
+VOCABULARY = 1 << 18
 GATES, CELLS, LIMIT = 32, 33, 12
 STEP, STEPS = 32, 64  # symbols after which a text's own weights and map adapt, and steps whose decisions are laid out at once
-FOLD = 10
+FOLD = 16
 CHUNK, BUCKET = 200_000, 1_000_000
+#: Parts of the buckets, and of the chunks, that are shuffled one after the other, so that little lies on disk at a time.
+PARTS = 4
 #: Pace of a text's own weights.
 RATE = 0.02
 
 #: A word with at least this share of the training tokens is known to every task: at most 1 / share words.
-FREQUENT_SHARE = 1 / 200_000
+FREQUENT_SHARE = 1 / 1_000_000
 
 _END_KEY = xxhash.xxh3_64_intdigest(b"\x00 end of text")  # holds a blank, so it is no word
 
@@ -118,8 +121,8 @@ class Code:
 
 
 def stretch(zeros, ones):
-    """Logit of the share of ones in sixteenths, as small integers. Unseen contexts say nothing (0)."""
-    return np.clip(np.rint(16 * np.log((ones + 0.05) / (zeros + 0.05))), -127, 127).astype(np.int8)
+    """Logit of the share of ones in sixteenths, to a half, so that answers are short. Unseen contexts say nothing (0)."""
+    return (8 * np.clip(np.rint(2 * np.log((ones + 0.05) / (zeros + 0.05))), -15, 15)).astype(np.int8)
 
 
 def words_of(raws: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -130,10 +133,10 @@ def words_of(raws: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray,
         yield raw, found, starts, lengths, np.repeat(np.array(numbers, np.int64), np.diff(cut))
 
 
-def symbols_of(raws: list[bytes], code: Code) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of all texts one behind the other, and where each text ends."""
+def symbols_of(raws: list[bytes], code: Code, words: list[tuple] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all texts one behind the other, and where each text ends. `words`: what `words_of` gives for the texts."""
     parts, owners = [], []
-    for raw, found, starts, lengths, owner in words_of(raws):
+    for raw, found, starts, lengths, owner in words_of(raws) if words is None else words:
         at = np.minimum(np.searchsorted(code.keys, found), max(len(code.keys) - 1, 0))
         known = code.keys[at] == found if len(code.keys) else np.zeros(len(found), bool)
         times = np.where(known, 1, lengths + 2)
@@ -141,11 +144,8 @@ def symbols_of(raws: list[bytes], code: Code) -> tuple[np.ndarray, np.ndarray]:
         first = np.cumsum(times) - times
         out[first[known]] = code.symbol[at[known]]
         low = np.frombuffer(lower_ascii_bytes(raw), np.uint8)
-        for k in np.flatnonzero(~known).tolist():
-            n = int(lengths[k])
-            out[first[k] + 1 : first[k] + 1 + n] = low[starts[k] : starts[k] + n]
-            out[first[k] + 1 : first[k] + 1 + n] += code.words
-            out[first[k] + 1 + n] = code.words + 32
+        out[spread(first[~known] + 1, lengths[~known])] = low[spread(starts[~known], lengths[~known])] + np.int64(code.words)
+        out[first[~known] + 1 + lengths[~known]] = code.words + 32
         parts.append(out)
         owners.append(np.repeat(owner, times))
     symbols = np.concatenate([np.zeros(0, np.int64), *parts])
@@ -202,25 +202,28 @@ def path_predictions(pairs: np.ndarray, times: np.ndarray, code: Code) -> np.nda
     return out
 
 
-def chunk_pairs(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk's distinct pairs, which of them each symbol is, and their times in training texts and in those of the fold."""
-    every, which = np.unique(pairs_of(symbols, ends, order), return_inverse=True)
-    kind = np.repeat(kinds, np.diff(ends, prepend=0))
+def chunk_pairs(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, order: int, part: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's distinct pairs, which of them each symbol is, and their times in training texts and in those of the fold; only the pairs of a part if one is named."""
+    pairs, kind = pairs_of(symbols, ends, order), np.repeat(kinds, np.diff(ends, prepend=0))
+    if part is not None:
+        mine = pairs >> np.uint64(62) == part
+        pairs, kind = pairs[mine], kind[mine]
+    every, which = np.unique(pairs, return_inverse=True)
     return every, which, np.bincount(which, kind > 0, len(every)).astype(np.uint32), np.bincount(which, kind > 1, len(every)).astype(np.uint32)
 
 
 _ASKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("pairs", pa.binary()), ("times", pa.binary()), ("folded", pa.binary())])
 
 
-def asked_pairs(chunks: DataFrame, bits: int) -> DataFrame:
-    """Each chunk's pairs with their times, dealt to 2 ** bits buckets."""
+def asked_pairs(chunks: DataFrame, bits: int, part: int) -> DataFrame:
+    """Each chunk's pairs of a part with their times, dealt to buckets, 2 ** bits in all parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, symbols, ends, kinds in zip(*(batch.column(k) for k in range(4)), strict=True):
                 symbols, ends, kinds = unpack(symbols.as_py(), np.uint32), np.frombuffer(ends.as_py(), np.int64), np.frombuffer(kinds.as_py(), np.uint8)
                 for kind, order in enumerate(ORDERS):
-                    pairs, _, times, folded = chunk_pairs(symbols, ends, kinds, order)
+                    pairs, _, times, folded = chunk_pairs(symbols, ends, kinds, order, part)
                     cuts = np.searchsorted(pairs, np.arange((1 << bits) + 1, dtype=np.uint64)[:-1] << np.uint64(64 - bits))
                     rows = []
                     for bucket, (low, high) in enumerate(zip(cuts, [*cuts[1:], len(pairs)], strict=True)):
@@ -251,7 +254,13 @@ def answers(asked: DataFrame, code) -> DataFrame:
             times, folded = (np.bincount(which, np.concatenate(t), len(pairs)).astype(np.int64) for t in (all_times, all_folded))
             length = coded.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)]
             begin = np.cumsum(length) - length
-            known, taught = path_predictions(pairs, times, coded), path_predictions(pairs, times - folded, coded)
+            known = path_predictions(pairs, times, coded)
+            # Only contexts that the fold holds are asked for without it.
+            context = pairs >> np.uint64(24)
+            begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+            apart = np.repeat(np.add.reduceat(folded, begins) > 0, np.diff(begins, append=len(pairs)))
+            taught = known.copy()
+            taught[spread(begin[apart], length[apart])] = path_predictions(pairs[apart], (times - folded)[apart], coded)
             at = 0
             for k, mine_pairs, mine_folded in zip(mine.tolist(), own, all_folded, strict=True):
                 places = which[at : at + len(mine_pairs)]
@@ -458,12 +467,13 @@ def chunked(docs: DataFrame, shared, known, norm: float) -> DataFrame:
 
 def chunk_of(held: list[tuple], code: Code, keys: np.ndarray, logs: np.ndarray) -> pa.RecordBatch:
     raws = [utf8(h[2]) for h in held]
-    symbols, ends = symbols_of(raws, code)
+    found_words = list(words_of(raws))
+    symbols, ends = symbols_of(raws, code, found_words)
     kinds = np.array([0 if not h[3] else 1 + (xxhash.xxh3_64_intdigest(symbols[b:e].tobytes()) % FOLD == 0) for h, b, e in zip(held, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)], np.uint8)
     n = len(held)
     words, chars = np.zeros(n, np.int64), np.zeros(n, np.int64)
     every, owners = [np.full(n, _END_KEY, np.uint64)], [np.arange(n)]
-    for _, found, _, lengths, owner in words_of(raws):
+    for _, found, _, lengths, owner in found_words:
         words += np.bincount(owner, minlength=n)
         chars += np.bincount(owner, lengths, n).astype(np.int64)
         every.append(found)
@@ -534,7 +544,8 @@ def score(docs: DataFrame) -> DataFrame:
     chunks = scratch.keep(chunked(numbered, code, known, norm), "chunks")
     symbols = chunks.agg(F.coalesce(F.sum("n_symbols"), F.lit(0))).first()[0]
     bits = max(5, math.ceil(math.log2(max(1, symbols * len(ORDERS) / BUCKET))))
-    said = scratch.keep(answers(asked_pairs(chunks, bits), code), "answers")
+    said = [scratch.keep(answers(asked_pairs(chunks, bits, part), code), f"answers-{part}") for part in range(PARTS)]
+    said = reduce(DataFrame.union, said)
 
     def teach(key: tuple, mine: pa.Table, its: pa.Table) -> pa.Table:
         symbols, ends, kinds, predictions = _joined(mine, its, "taught")
@@ -566,9 +577,14 @@ def score(docs: DataFrame) -> DataFrame:
         return pa.table([*plain, pa.array(total)], names=["_row", "doc_id", "n_tokens", "seen", "base", "n_bytes", "total_bits"])
 
     whole = chunks.select("chunk", "symbols", "ends", "kinds", "row", "doc_id", "n_tokens", "seen", "base", "n_bytes")
-    rated = whole.groupBy("chunk").cogroup(said.select("chunk", "kind", "bucket", "known").groupBy("chunk")).applyInArrow(rate, "_row long, doc_id long, n_tokens long, seen long, base double, n_bytes long, total_bits double")
-    rows = scratch.keep(rated, "rows")
-    scratch.drop("answers", "lessons")
+    rows = []
+    for part in range(PARTS):
+        mine = F.pmod(F.xxhash64("chunk"), F.lit(PARTS)) == part
+        its = said.where(mine).select("chunk", "kind", "bucket", "known").groupBy("chunk")
+        rated = whole.where(mine).groupBy("chunk").cogroup(its).applyInArrow(rate, "_row long, doc_id long, n_tokens long, seen long, base double, n_bytes long, total_bits double")
+        rows.append(scratch.keep(rated, f"rows-{part}"))
+    rows = reduce(DataFrame.union, rows)
+    scratch.drop("lessons", *(f"answers-{part}" for part in range(PARTS)))
     words = chunks.select(F.explode(F.arrays_zip("rare_row", "rare_key", "rare_times")).alias("w")).select(F.col("w.rare_row").alias("_row"), F.col("w.rare_key").alias("key"), F.col("w.rare_times").alias("times"))
     met = words.join(counts.where(F.col("c") < least), "key", "left")
     # Rare counts are small integers, so the sums of a row come from few distinct logarithms.
