@@ -334,7 +334,6 @@ def bits_of(texts: list[int], ends: np.ndarray, symbols: np.ndarray, places: lis
     total = np.zeros(len(texts))
     weights = np.repeat(model.weights.astype(np.float32).T[:, None], len(texts), 1).reshape(INPUTS, -1) / np.float32(16)  # by input, text and gate
     refine = np.tile(model.refine.astype(np.float32).ravel(), len(texts))
-    count = np.zeros(len(refine), np.int32)
     for begin in range(0, int(lengths.max(initial=0)), STEP * STEPS):
         on = int((lengths > begin).sum())
         size = np.minimum(lengths[:on] - begin, STEP * STEPS)
@@ -370,9 +369,8 @@ def bits_of(texts: list[int], ends: np.ndarray, symbols: np.ndarray, places: lis
             pace = rate / 256 / np.maximum(seen, 1) ** 0.5
             for j in range(INPUTS):
                 weights[j, :most] += pace * np.bincount(g, error * x[j], most)
-            np.add.at(count, cell, 1)
-            np.add.at(refine, cell, (b - mapped) / (count.take(cell) + np.float32(60)))
-            count[cell] = 0
+            times = np.bincount(cell, minlength=most * CELLS)
+            refine[: most * CELLS] += np.bincount(cell, b - mapped, most * CELLS) / (times + 60)
         total[:on] -= np.bincount(text, np.log2(cost), on)
     out = np.empty(len(texts))
     out[order] = total

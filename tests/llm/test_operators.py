@@ -175,9 +175,10 @@ def slow_bits(symbols, train, code, model):
             for node, bit in path(s):
                 for kind, order in enumerate(op6_mixing.ORDERS):
                     seen[kind][before(text, k, order), node, bit] += 1
-    weights, refine, total = model.weights.astype(float) / 16, model.refine.astype(float).copy(), 0.0
+    # Weights and the mix are single-precision numbers as in the operator: on a border of two cells of the map the rounding decides.
+    weights, refine, total = model.weights.astype(np.float32) / np.float32(16), model.refine.astype(float).copy(), 0.0
     for step in range(0, len(symbols), op6_mixing.STEP):
-        slopes, times, cells = np.zeros_like(weights), np.zeros(op6_mixing.GATES), []
+        slopes, times, cells = np.zeros(weights.shape), np.zeros(op6_mixing.GATES), []
         for k in range(step, min(step + op6_mixing.STEP, len(symbols))):
             for depth, (node, bit) in enumerate(path(symbols[k])):
                 x, gate = [float(code.plain[node])], min(depth, op6_mixing.GATES // 4 - 1)
@@ -185,14 +186,17 @@ def slow_bits(symbols, train, code, model):
                     zeros, ones = (seen[kind][before(symbols, k, order), node, b] for b in (0, 1))
                     x.append(float(op6_mixing.stretch(zeros, ones)) if zeros + ones else 0.0)
                     gate += (op6_mixing.GATES // 4 << kind) * (x[-1] != 0)
-                mixed = min(max(sum(w * v for w, v in zip(weights[gate], x, strict=True)), -12), 12)
-                chance, cell = 1 / (1 + math.exp(-mixed)), int(op6_mixing.cell_of(np.array([mixed]))[0])
+                mixed = weights[gate][0] * np.float32(x[0])
+                for w, v in zip(weights[gate][1:], x[1:], strict=True):
+                    mixed += w * np.float32(v)
+                mixed = np.clip(np.array([mixed], np.float32), -12, 12)
+                chance, cell = 1 / (1 + math.exp(-float(mixed[0]))), int(op6_mixing.cell_of(mixed)[0])
                 final = min(max((chance + refine[gate, cell]) / 2, 1e-5), 1 - 1e-5)
                 total -= math.log2(final if bit else 1 - final)
                 slopes[gate] += [(bit - chance) * v for v in x]
                 times[gate] += 1
                 cells.append((gate, cell, bit - refine[gate, cell]))
-        weights = weights + op6_mixing.RATE / 256 * slopes / np.maximum(times, 1)[:, None] ** 0.5
+        weights += (op6_mixing.RATE / 256 * slopes / np.maximum(times, 1)[:, None] ** 0.5).astype(np.float32)
         many = Counter((g, c) for g, c, _ in cells)
         for g, c, away in cells:
             refine[g, c] += away / (many[g, c] + 60)
