@@ -3,6 +3,11 @@
 Every stage is a function of (spark, docs, sf_dir) that returns a DataFrame; all but the last return the columns of
 documents. `run` writes each result as Parquet to the shared folder and reads it again as the next stage's input, so a lost
 executor never costs more than the stage at hand.
+
+Defined results of all stages: columns of documents beside COLUMNS don't go on; empty tables give empty ones; rows without doc_id
+pass through as rows of their own (only the Jaccard join links none of them); rows with the same doc_id are judged each by its
+text, but a doc_id that the join or the decontamination drops goes with all its rows. A null or empty text has no words,
+so the quality rules drop it.
 """
 
 from __future__ import annotations
