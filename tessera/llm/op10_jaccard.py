@@ -9,14 +9,16 @@ tokens in common, and the number of common ones bounds their overlap.
 2. For those that stay every token is counted, and the prefix is taken in the order of frequency, rare first, so that shared
    passages hardly matter as keys. The same test by sizes again leaves only what may link.
 3. Similar classes are partitioned into groups: each class is compared exactly with centres that it shares tokens
-   with, and linked ones become one group.
+   with. Linked ones become one component. A component also joins the group of a larger one, that of the centre with which
+   one of its classes has most prefix tokens in common, linked or not.
 4. The token-group matrix has a row for each token and a column for each group and size: the union of prefix tokens of the
    group's members. Each class queries the matrix; the number of its tokens in another group's union bounds the overlap with
    every member. Groups below the bound stay closed; only members of qualifying groups are compared exactly, in blocks.
+   Inside a group the classes of all components but the largest ask the other components in the same way.
 
-The third step only saves work: the fourth covers every pair of different groups, so no link between groups is lost, and
-links inside a group can't change its component. Hash collisions aside (64 bits), results are exact. Components are formed
-by the star algorithm in `components`.
+The third step only saves work: the fourth covers every pair of different groups and every pair of different components of
+one group, so no link that could change a component is lost. Hash collisions aside (64 bits), results are exact. Components
+are formed by the star algorithm in `components`.
 
 Tokens are counted in buckets of about BUCKET tokens by their first bits. A bucket gets at most one row of a set from
 each task, so neither many copies nor a token found everywhere make one bucket much larger than others. Blocks of a
@@ -138,14 +140,14 @@ def tokens_shared(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table([pa.array(number), pa.array(size), pa.array(token), pa.array(held.astype(np.int64))], names=["id", "n", "token", "held"])
 
 
-def best_partners(asking: list[tuple[int, int, np.ndarray]], members: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
-    """Pairs (a, b): for each asking set (id, size, sorted shared tokens) the most overlapping member that reaches the similarity."""
-    mine, others = np.concatenate([t for _, _, t in asking]), np.concatenate([t for _, _, t in members])
+def partners(asking: list[tuple[int, int, int, np.ndarray]], members: list[tuple[int, int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """Pairs (a, b): for each asking set (id, size, component, sorted shared tokens) one member of each other component that reaches the similarity."""
+    mine, others = np.concatenate([a[3] for a in asking]), np.concatenate([m[3] for m in members])
     common = np.intersect1d(mine, others)
     inter = np.zeros((len(asking), len(members)), np.float32)
     if len(common):
-        rows = [_found(common, t) for _, _, t in asking]
-        columns = [_found(common, t) for _, _, t in members]
+        rows = [_found(common, a[3]) for a in asking]
+        columns = [_found(common, m[3]) for m in members]
         for low in range(0, len(common), 4096):
             width = min(4096, len(common) - low)
             left, right = np.zeros((len(rows), width), np.float32), np.zeros((len(columns), width), np.float32)
@@ -153,10 +155,14 @@ def best_partners(asking: list[tuple[int, int, np.ndarray]], members: list[tuple
                 for k, p in enumerate(places):
                     side[k, p[np.searchsorted(p, low) : np.searchsorted(p, low + width)] - low] = 1
             inter += left @ right.T
-    a, b = np.array([n for _, n, _ in asking])[:, None], np.array([n for _, n, _ in members])[None, :]
-    linked = inter * 100 >= (a + b - inter) * percent
-    best = np.where(linked, inter, -1).argmax(axis=1)
-    return [(asking[k][0], members[j][0]) for k, j in enumerate(best.tolist()) if linked[k, j]]
+    a, b = np.array([a[1] for a in asking])[:, None], np.array([m[1] for m in members])[None, :]
+    own, theirs = np.array([a[2] for a in asking]), np.array([m[2] for m in members])
+    linked = (inter * 100 >= (a + b - inter) * percent) & (own[:, None] != theirs[None, :])
+    pairs = []
+    for k in np.flatnonzero(linked.any(axis=1)).tolist():
+        which = np.flatnonzero(linked[k])
+        pairs += [(asking[k][0], members[j][0]) for j in which[np.unique(theirs[which], return_index=True)[1]].tolist()]
+    return pairs
 
 
 def _found(common: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -250,7 +256,7 @@ class GroupJoin:
     # -- exact comparison
 
     def linked(self, asked: DataFrame, members: DataFrame, name: str) -> DataFrame:
-        """Pairs (a, b): for each row (id, target) of `asked` a linked member (target, id) from each block of the target's members."""
+        """Pairs (a, b): for each row (id, target) of `asked` a linked member (target, id) of each other component in each block of the target's members."""
         asked = self.keep(asked.select("id", "target"), f"{name}-asked")
         members = members.join(asked.select("target").distinct(), "target", "left_semi")
         sizes = members.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("of_members")).join(
@@ -262,8 +268,8 @@ class GroupJoin:
             mine, its = (F.col("own"), F.col("other")) if side else (F.col("other"), F.col("own"))
             return one.select("id", F.lit(side).alias("asks"), F.xxhash64("target", mine.cast("long"), its.cast("long")).alias("key"))
 
-        dealt = self.keep(blocks(asked, "of_asking", "of_members", True).union(blocks(members, "of_members", "of_asking", False)), f"{name}-blocks")
-        whole = self.shared.join(small(dealt), "id").select("key", "asks", "id", "n", "tokens")
+        dealt = self.keep(self.labelled(blocks(asked, "of_asking", "of_members", True).union(blocks(members, "of_members", "of_asking", False))), f"{name}-blocks")
+        whole = self.shared.join(small(dealt), "id").select("key", "asks", "id", "n", "own", "tokens")
         percent = self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,18 +277,18 @@ class GroupJoin:
             at = None
 
             def settle() -> list[tuple[int, int]]:
-                pairs = best_partners(sides[True], sides[False], percent) if sides[True] and sides[False] else []
+                pairs = partners(sides[True], sides[False], percent) if sides[True] and sides[False] else []
                 sides[True], sides[False] = [], []
                 return pairs
 
             out: list[tuple[int, int]] = []
             for batch in batches:
-                ends, values = batch.column(4).offsets.to_numpy(), batch.column(4).values.to_numpy()
-                for k, (key, asks, number, n) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(4)), strict=True)):
+                ends, values = batch.column(5).offsets.to_numpy(), batch.column(5).values.to_numpy()
+                for k, (key, asks, number, n, own) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(5)), strict=True)):
                     if key != at:
                         out += settle()
                         at = key
-                    sides[asks].append((number, n, np.sort(values[ends[k] : ends[k + 1]])))
+                    sides[asks].append((number, n, own, np.sort(values[ends[k] : ends[k + 1]])))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
                     out = []
@@ -304,33 +310,52 @@ class GroupJoin:
 
     # -- steps 3 and 4
 
-    def grouped(self, rows: DataFrame) -> DataFrame:
-        """Adds each class's group: the component of what is linked so far, itself without links."""
-        return rows.join(small(self.labels), "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """Adds each class's component of what is linked so far as `own`, itself without links."""
+        return rows.join(small(self.labels), "id", "left").withColumn("own", F.coalesce("component", "id")).drop("component")
 
     def partition(self, rows: DataFrame) -> None:
         """Step 3: groups of similar classes by comparison with centres."""
         for k in range(self.rounds):
-            mine = self.grouped(rows)
+            mine = self.labelled(rows.withColumnRenamed("own", "alone")).withColumnRenamed("own", "g")
             # Centres of a token among its holders: the class with the least share of tokens of its own, and one by a hash, another in each round.
             who = (F.col("id").alias("c"), F.col("g").alias("cg"), F.col("n").alias("cn"))
-            chosen = (F.struct(F.col("own").alias("h"), *who), F.struct(F.xxhash64("id", F.lit(k)).alias("h"), *who))
+            chosen = (F.struct(F.col("alone").alias("h"), *who), F.struct(F.xxhash64("id", F.lit(k)).alias("h"), *who))
             centres = mine.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.array(*(F.min(c) for c in chosen)).alias("centres")).where("low < high")
             each = centres.select("token", F.explode("centres").alias("centre")).select("token", "centre.c", "centre.cg", "centre.cn").distinct()
             met = mine.join(each, "token").where((F.col("g") != F.col("cg")) & self.fits(F.col("n"), F.col("cn")))
             counted = met.groupBy("id", "n", "c", "cn").agg(F.count(F.lit(1)).alias("met"))
             n, other = F.col("n"), F.col("cn")
-            likely = counted.where(F.col("met") + self.prefix_rest(F.greatest(n, other)) >= self.least_overlap(n, other))
-            best = likely.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("met", "c")), asc=False), 1, 2).alias("best"))  # no more than two centres a token
-            asked = best.select("id", F.explode("best.c").alias("target"))
+            may = F.col("met") + self.prefix_rest(F.greatest(n, other)) >= self.least_overlap(n, other)
+            centre = F.struct("met", "c")
+            # No more than two centres a token.
+            ranked = counted.groupBy("id").agg(*(F.slice(F.sort_array(F.collect_list(v), asc=False), 1, 2).alias(name) for name, v in (("near", centre), ("likely", F.when(may, centre)))))
+            ranked = self.keep(ranked, f"ranked-{k}")
+            near = ranked.select("id", F.explode("near").alias("centre")).select("id", F.col("centre.c").alias("target"), "centre.met")
+            self.near = near if self.near is None else self.near.union(near)
+            asked = ranked.select("id", F.explode("likely.c").alias("target"))
             if not self.link(self.linked(asked, asked.select("target", F.col("target").alias("id")).distinct(), f"round-{k}"), f"round-{k}"):
                 break
 
+    def groups(self, rows: DataFrame) -> DataFrame:
+        """(id, n, s, own, g) of every class: its component and its group."""
+        classes = self.labelled(rows.select("id", "n", "s").distinct())
+        if self.near is None:
+            return self.keep(classes.withColumn("g", F.col("own")), "groups")
+        classes = self.keep(classes, "labelled")
+        sizes = self.keep(classes.groupBy("own").agg(F.count(F.lit(1)).alias("held")), "held")
+        mine = self.keep(classes.join(small(sizes), "own").select("id", F.struct("held", F.col("own").alias("g")).alias("part")), "parts")
+        theirs = mine.select(F.col("id").alias("target"), F.col("part").alias("larger"))
+        met = self.near.join(small(mine), "id").join(small(theirs), "target").where("part < larger")
+        joins = self.keep(met.groupBy(F.col("part.g").alias("own")).agg(F.max(F.struct("met", "larger")).alias("best")).select("own", F.col("best.larger.g").alias("g")), "joins")
+        return self.keep(classes.join(small(joins), "own", "left").select("id", "n", "s", "own", F.coalesce("g", "own").alias("g")), "groups")
+
     def query(self, rows: DataFrame) -> None:
         """Step 4: every class against the matrix, opening only groups whose bound allows a link."""
-        width = self.labels.groupBy(F.col("component").alias("g")).agg(F.count(F.lit(1)).alias("of_group"))
-        rows = self.grouped(rows).join(small(width), "g", "left").withColumn("of_group", F.coalesce("of_group", F.lit(1)))
-        rows = self.keep(rows, "matrix-rows")
+        groups = self.groups(rows)
+        width = self.keep(groups.groupBy("g").agg(F.count(F.lit(1)).alias("of_group")), "of-group")
+        where = self.keep(groups.join(small(width), "g").select("id", "own", "g", "of_group"), "where")
+        rows = self.keep(rows.drop("own").join(small(where), "id"), "matrix-rows")
         cells = rows.groupBy("token", "g", "of_group", "s").agg(F.min("n").alias("least"), F.max("n").alias("most"))
         several = cells.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
         matrix = self.keep(cells.join(several, "token", "left_semi").select("token", F.struct("of_group", "g").alias("og"), F.col("s").alias("os"), "least", "most"), "matrix")
@@ -340,12 +365,25 @@ class GroupJoin:
         asked = rows.join(matrix, "token").where((F.struct("of_group", "g") < F.col("og")) & (F.col("least") * self.percent <= n * 100) & (F.col("most") * 100 >= n * self.percent))
         overlap = asked.groupBy("id", "n", "og", "os").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"), F.max("most").alias("most"))
         opened = overlap.where(self.allows(n, F.col("least"), F.col("most"), F.col("met")))
-        members = rows.select("id", F.xxhash64("g", F.col("s").cast("int")).alias("target")).distinct()
-        self.link(self.linked(opened.select("id", F.xxhash64("og.g", F.col("os").cast("int")).alias("target")), members, "opened"), "opened")
+        target = F.xxhash64("g", F.col("s").cast("int")).alias("target")
+        opened = opened.select("id", F.col("og.g").alias("g"), F.col("os").alias("s")).union(self.inside(rows)).select("id", target)
+        self.link(self.linked(opened, groups.select("id", target), "opened"), "opened")
+
+    def inside(self, rows: DataFrame) -> DataFrame:
+        """(id, g, s): step 4 for the classes of all components but the largest of their group and the group itself."""
+        several = rows.groupBy("g").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("g")
+        rows = self.keep(rows.join(small(self.keep(several, "several")), "g", "left_semi"), "inside-rows")
+        largest = rows.groupBy("g", "own").agg(F.count(F.lit(1)).alias("held")).groupBy("g").agg(F.max(F.struct("held", "own")).alias("largest"))
+        cells = rows.groupBy("token", "g", F.col("s").alias("os")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("own").alias("low"), F.max("own").alias("high"))
+        n = F.col("n")
+        asking = rows.join(small(self.keep(largest, "largest")), "g").where(F.col("own") != F.col("largest.own")).select("token", "g", "id", "n", "own")
+        met = asking.join(cells, ["token", "g"]).where(((F.col("low") != F.col("own")) | (F.col("high") != F.col("own"))) & (F.col("least") * self.percent <= n * 100) & (F.col("most") * 100 >= n * self.percent))
+        overlap = met.groupBy("id", "n", "g", "os").agg(F.count(F.lit(1)).alias("met"), F.min("least").alias("least"), F.max("most").alias("most"))
+        return overlap.where(self.allows(n, F.col("least"), F.col("most"), F.col("met"))).select("id", "g", F.col("os").alias("s"))
 
     def run(self) -> DataFrame:
         """doc_id, n_shingles, component_id, copies (documents with the same set) of every row."""
-        self.links = None
+        self.links = self.near = None
         self.labels = self.spark.createDataFrame([], "id long, component long")
         self.classes()
         rows = self.sets()

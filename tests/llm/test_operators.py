@@ -371,6 +371,27 @@ def test_jaccard_join_of_a_dense_group_and_a_chain(spark):
     assert len({c for _, c in got.values()}) > 5
 
 
+def test_jaccard_join_of_components_inside_one_group(spark):
+    """Families of one text, each with exchanged words of its own: similar enough for one group, linked only inside a family or by a few go-betweens."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for k in range(9):
+        family = list(base)
+        for place in rng.sample(range(80), 1 + k % 4):
+            family[place] = f"f{k}-{place}"
+        for j in range(6):
+            copy = list(family)
+            for place in rng.sample(range(80), j % 3):
+                copy[place] = f"x{k}-{j}-{place}"
+            rows.append(" ".join(copy))
+    rng.shuffle(rows)
+    found = op10_jaccard.GroupJoin(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), block=4).run()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()}
+    assert got == brute_components(dict(enumerate(rows)))
+    assert len({c for _, c in got.values()}) > 3
+
+
 def test_jaccard_join_of_odd_ids_and_columns(spark):
     """Repeated rows share a class, one doc_id with two texts is one document with all its links, null ids name nothing, extra columns stay out."""
     a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
