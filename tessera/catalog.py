@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions import features as feat
 from tessera.functions import text as tx
-from tessera.operators import blocking, cosine, metrics, validate
+from tessera.operators import blocking, cosine, index, metrics, validate
 from tessera.plans import model, pipeline
 from tessera.sources import tables
+from tessera.sources.shared import fresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,6 +159,59 @@ def tfidf_cosine_pool_fit(spark, sf):
     return cosine.cosine_top_k(*_records(spark, sf), "norm_name", fit_on_pool=True).select("q_id", "pool_id", F.round("score", 6).alias("score"), "rank")
 
 
+def cosine_two_views(spark, sf):
+    q, pool = _records(spark, sf)
+    found = cosine.by_query(q, cosine.cosine_candidates(q, pool))
+    part = lambda f: F.array_join(F.transform("candidates", f), ",")
+    return found.select("q_id", F.size("candidates").alias("n"), part(lambda c: c["pool_id"]).alias("pool_ids"), part(lambda c: F.when(c["name_score"] == 0, "b").when(c["blend_score"] == 0, "n").otherwise("nb")).alias("views"))
+
+
+def stored_index_candidates(spark, sf):
+    """Two-view candidates from an index that was stored and found again."""
+    q, pool = _records(spark, sf)
+    place = fresh(spark, "index")
+    index.stored(pool, place)
+    return index.candidates(q, index.stored(pool, place)).select("q_id", "pool_id", F.round("name_score", 6).alias("name_score"), F.round("blend_score", 6).alias("blend_score"))
+
+
+def pair_vector(spark, sf):
+    """All 13 features of every candidate pair."""
+    r = _records(spark, sf)
+    pairs = feat.with_features(pipeline.pairs_of(blocking.candidates(*r), *r))
+    return pairs.select("q_id", "pool_id", *(F.round(c, 6).alias(c) for c in feat.FEATURE_NAMES))
+
+
+def training_pool(spark, sf):
+    """The pool of a sample of 100 query records, filled up to 300."""
+    s = _source(spark, sf)
+    s1 = tables.sample(s.where(F.col("entity_id").startswith("S1-")), 100)
+    truth = _truth(spark, sf).join(s1.select(F.col("entity_id").alias("s1")), "s1", "left_semi")
+    side = lambda p: s.where(F.col("entity_id").startswith(p)).drop("doc_id")
+    return pipeline.training_pool(side("S2-"), side("S3-"), truth, 300).select("entity_id", "country")
+
+
+def _issues_of_files(spark, sf):
+    """The planted faults written as result files, candidates under a wrong header, and read again."""
+    m, c, s1, pool = _lists(spark, sf)
+    place = fresh(spark, "files")
+    tables.write_id_lists(m, f"{place}/m", *validate.HEADERS["matches"])
+    tables.write_id_lists(c, f"{place}/c", "key", "ids")
+    entity = lambda rows: rows.withColumnRenamed("id", "entity_id")
+    return validate.validate_files(spark, f"{place}/m", f"{place}/c", entity(s1), entity(pool), entity(pool))
+
+
+def validate_files(spark, sf):
+    return _issues_of_files(spark, sf).groupBy("file", "rule").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least_key"))
+
+
+def validate_report(spark, sf):
+    return validate.report(validate.validate(*_lists(spark, sf))).groupBy("file", "rule").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least_key"))
+
+
+def validate_verdict(spark, sf):
+    return validate.verdict(validate.validate(*_lists(spark, sf)))
+
+
 def _pair_query(*columns):
     return lambda spark, sf: feat.with_features(_pairs(spark, sf)).select("doc_id", *(F.round(c, 9).alias(c) for c in columns))
 
@@ -263,6 +317,7 @@ QUERIES: dict[str, Query] = {
         norm_text, norm_text_nfkc, norm_address_abbrev, consecutive_dedupe, country_slugs, country_partition_counts, token_df, df_prune, token_idf, posting_cap, block_name_topk, block_blend_topk,
         block_two_view_merge, tfidf_cosine_topk, tfidf_cosine_pool_fit, recall_ceiling, macro_f05, threshold_sweep, best_threshold, singleton_rate, semi_filter_ids, anti_resume, pool_union_dedup, group_split,
         hash_sample, idlist_parse_roundtrip, label_counts, match_lists, validate_missing, gbt_link,
+        cosine_two_views, stored_index_candidates, pair_vector, training_pool, validate_files, validate_report, validate_verdict,
     )
 } | {
     "pair_token_jaccard": _pair_query("name_tok_jaccard", "addr_tok_jaccard"),
@@ -372,17 +427,26 @@ def _two(kind, name: str, addr: str) -> str:
     return f"WITH {_PAIRS} SELECT doc_id, round({kind('n1', 'n2')}, 9) AS {name}, round({kind('a1', 'a2')}, 9) AS {addr} FROM p"
 
 
-def _cosine(pool_only: bool) -> str:
+def _cosine_view(v: str, toks: str, fit: str) -> str:
     word = "list_concat(list_transform(range(1, greatest(length(w) - 1, 1) + 1), lambda i: substring(w, i::BIGINT, 2)), CASE WHEN length(w) > 2 THEN list_transform(range(1, greatest(length(w) - 2, 1) + 1), lambda i: substring(w, i::BIGINT, 3)) ELSE [] END, CASE WHEN length(w) > 3 THEN list_transform(range(1, greatest(length(w) - 3, 1) + 1), lambda i: substring(w, i::BIGINT, 4)) ELSE [] END)"
-    fit = "pool" if pool_only else "rec"
-    return f"""WITH {_REC}, words AS (SELECT country, id, ' ' || unnest(nt) || ' ' AS w FROM rec), g AS (SELECT country, id, unnest({word}) AS gram FROM words),
-tf AS (SELECT country, id, gram, count(*) AS tf FROM g GROUP BY ALL), fitted AS (SELECT * FROM {fit}), fn AS (SELECT country, count(*) AS n FROM fitted GROUP BY country),
-voc AS (SELECT country, gram, ln((1 + n) / (1.0::DOUBLE + df)) + 1 AS idf FROM (SELECT * FROM (SELECT country, gram, sum(tf) AS total, count(*) AS df FROM tf WHERE id IN (SELECT id FROM fitted) GROUP BY ALL)
-  QUALIFY row_number() OVER (PARTITION BY country ORDER BY total DESC, gram) <= 60000) JOIN fn USING (country)),
-w AS (SELECT country, id, gram, tf * idf AS w FROM tf JOIN voc USING (country, gram)), nm AS (SELECT id, sqrt(sum(w * w)) AS nm FROM w GROUP BY id), u AS (SELECT country, id, gram, w / nm AS w FROM w JOIN nm USING (id)),
-s AS (SELECT a.id AS q_id, b.id AS pool_id, sum(a.w * b.w) AS score FROM u a JOIN u b USING (country, gram) WHERE a.id LIKE 'S1-%' AND b.id NOT LIKE 'S1-%' GROUP BY ALL),
-t AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(score, 9) DESC, pool_id) AS rank FROM s QUALIFY rank <= 15)
-SELECT q_id, pool_id, round(score, 6) AS score, rank FROM t WHERE round(score, 9) >= 0.12"""
+    return f"""{v}words AS (SELECT country, id, ' ' || unnest({toks}) || ' ' AS w FROM rec), {v}g AS (SELECT country, id, unnest({word}) AS gram FROM {v}words),
+{v}tf AS (SELECT country, id, gram, count(*) AS tf FROM {v}g GROUP BY ALL), {v}fitted AS (SELECT * FROM {fit}), {v}fn AS (SELECT country, count(*) AS n FROM {v}fitted GROUP BY country),
+{v}voc AS (SELECT country, gram, ln((1 + n) / (1.0::DOUBLE + df)) + 1 AS idf FROM (SELECT * FROM (SELECT country, gram, sum(tf) AS total, count(*) AS df FROM {v}tf WHERE id IN (SELECT id FROM {v}fitted) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY country ORDER BY total DESC, gram) <= 60000) JOIN {v}fn USING (country)),
+{v}w AS (SELECT country, id, gram, tf * idf AS w FROM {v}tf JOIN {v}voc USING (country, gram)), {v}nm AS (SELECT id, sqrt(sum(w * w)) AS nm FROM {v}w GROUP BY id), {v}u AS (SELECT country, id, gram, w / nm AS w FROM {v}w JOIN {v}nm USING (id)),
+{v}s AS (SELECT a.id AS q_id, b.id AS pool_id, sum(a.w * b.w) AS score FROM {v}u a JOIN {v}u b USING (country, gram) WHERE a.id LIKE 'S1-%' AND b.id NOT LIKE 'S1-%' GROUP BY ALL),
+{v}t AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(score, 9) DESC, pool_id) AS rank FROM {v}s QUALIFY rank <= 15),
+{v}top AS (SELECT q_id, pool_id, score, rank FROM {v}t WHERE round(score, 9) >= 0.12)"""
+
+
+def _cosine(pool_only: bool) -> str:
+    return f"WITH {_REC}, {_cosine_view('', 'nt', 'pool' if pool_only else 'rec')} SELECT q_id, pool_id, round(score, 6) AS score, rank FROM top"
+
+
+_BLEND = "list_concat(nt, list_filter(string_split(norm_address, ' '), lambda t: t <> ''))"
+_COSINE_VIEWS = f"""WITH {_REC}, {_cosine_view("nc", "nt", "rec")}, {_cosine_view("bc", _BLEND, "rec")},
+m AS (SELECT coalesce(x.q_id, y.q_id) AS q_id, coalesce(x.pool_id, y.pool_id) AS pool_id, CASE WHEN x.q_id IS NULL THEN 'b' WHEN y.q_id IS NULL THEN 'n' ELSE 'nb' END AS view FROM nctop x FULL JOIN bctop y ON x.q_id = y.q_id AND x.pool_id = y.pool_id)
+SELECT id AS q_id, count(pool_id)::INT AS n, coalesce(string_agg(pool_id, ',' ORDER BY pool_id), '') AS pool_ids, coalesce(string_agg(view, ',' ORDER BY pool_id), '') AS views FROM q LEFT JOIN m ON q_id = id GROUP BY id"""
 
 
 _LISTS = f"""{_SRC}, s1 AS (SELECT entity_id AS id, doc_id AS n FROM src WHERE entity_id LIKE 'S1-%'), pl AS (SELECT entity_id AS id FROM src WHERE entity_id NOT LIKE 'S1-%'),
@@ -409,10 +473,26 @@ def _grouped(body: str) -> str:
     return f"WITH {_LISTS}, issues AS ({body}) SELECT file, rule, count(*) AS n, min(key) AS least_key FROM issues GROUP BY file, rule"
 
 
+def _all_issues() -> str:
+    return " UNION ALL ".join([_dups("m", "matches"), _dups("c", "candidates"), _unknown("m", "ml", "matches", True), _unknown("c", "cl", "candidates", False), _SUBSET, _LOST.format(f="matches", t="m"), _LOST.format(f="candidates", t="c")])
+
+
+_VERDICT = "SELECT count(*) - count(*) FILTER (rule = 'not_candidate') + least(count(*) FILTER (rule = 'not_candidate'), 5) + CASE WHEN count(*) FILTER (rule = 'not_candidate') > 5 THEN 1 ELSE 0 END AS n_issues FROM issues"
+_REPORT = """SELECT file, rule, key FROM issues WHERE rule <> 'not_candidate' UNION ALL SELECT * FROM (SELECT file, rule, key FROM issues WHERE rule = 'not_candidate' ORDER BY key LIMIT 5)
+UNION ALL SELECT 'matches', 'not_candidate_rest', (count(*) - 5)::VARCHAR FROM issues WHERE rule = 'not_candidate' HAVING count(*) > 5"""
+
+
 def _hashed(c: str) -> str:
     return f"md5({c} || '#42')"
 
 
+_VECTOR = f"""WITH {_TWO}, p AS (SELECT c.*, a.norm_name AS n1, b.norm_name AS n2, a.norm_address AS a1, b.norm_address AS a2, a.country AS c1, b.country AS c2 FROM cands c JOIN rec a ON a.id = c.q_id JOIN rec b ON b.id = c.pool_id)
+SELECT q_id, pool_id, round({_jaccard(_set("n1"), _set("n2"))}, 6) AS name_tok_jaccard, round({_jaccard(_set("a1"), _set("a2"))}, 6) AS addr_tok_jaccard, round({_jaccard(_grams("n1"), _grams("n2"))}, 6) AS name_char_jaccard,
+  round({_jaccard(_grams("a1"), _grams("a2"))}, 6) AS addr_char_jaccard, round({_ratio("n1", "n2")}, 6) AS name_seq_ratio, round({_ratio("a1", "a2")}, 6) AS addr_seq_ratio, round({_lendiff("n1", "n2")}, 6) AS name_len_diff, round({_lendiff("a1", "a2")}, 6) AS addr_len_diff,
+  (n1 <> '' AND n2 <> '' AND (contains(n1, n2) OR contains(n2, n1)))::INT::DOUBLE AS name_substr, (n1 <> '' AND n2 <> '' AND split_part(n1, ' ', 1) = split_part(n2, ' ', 1))::INT::DOUBLE AS first_tok_match, (c1 = c2 AND c1 <> '')::INT::DOUBLE AS country_match,
+  round(name_score, 6) AS tok_name_score, round(blend_score, 6) AS tok_blend_score FROM p"""
+
+
 def oracle_sql() -> dict[str, str]:
     named = f"{_REC}, {_index('nv', 'nt')}"
     return {
@@ -448,7 +528,17 @@ def oracle_sql() -> dict[str, str]:
         "validate_duplicates": _grouped(_dups("m", "matches")),
         "validate_unknown_ids": _grouped(_unknown("m", "ml", "matches", True)),
         "validate_subset": _grouped(_SUBSET),
-        "validate_all": _grouped(" UNION ALL ".join([_dups("m", "matches"), _dups("c", "candidates"), _unknown("m", "ml", "matches", True), _unknown("c", "cl", "candidates", False), _SUBSET, _LOST.format(f="matches", t="m"), _LOST.format(f="candidates", t="c")])),
+        "validate_all": _grouped(_all_issues()),
+        "validate_files": _grouped(f"{_all_issues()} UNION ALL SELECT 'candidates', 'header', 'key' || chr(9) || 'ids'"),
+        "validate_report": f"WITH {_LISTS}, issues AS ({_all_issues()}), report AS ({_REPORT}) SELECT file, rule, count(*) AS n, min(key) AS least_key FROM report GROUP BY file, rule",
+        "validate_verdict": f"WITH {_LISTS}, issues AS ({_all_issues()}), v AS ({_VERDICT}) SELECT n_issues, n_issues = 0 AS passed FROM v",
+        "cosine_two_views": _COSINE_VIEWS,
+        "stored_index_candidates": f"WITH {_TWO} SELECT q_id, pool_id, round(name_score, 6) AS name_score, round(blend_score, 6) AS blend_score FROM cands",
+        "pair_vector": _VECTOR,
+        "training_pool": f"""WITH {_SRC}, s1 AS (SELECT * FROM src WHERE entity_id LIKE 'S1-%' ORDER BY {_hashed("entity_id")}, entity_id LIMIT 100),
+needed AS (SELECT DISTINCT b.entity_id FROM s1 a JOIN src b ON a.text = b.text AND a.country = b.country WHERE b.entity_id NOT LIKE 'S1-%'), fill AS (SELECT greatest(0, 300 - count(*)) AS n FROM needed),
+extra AS (SELECT entity_id, row_number() OVER (PARTITION BY entity_id[1:2] ORDER BY {_hashed("entity_id")}, entity_id) AS r FROM src WHERE entity_id NOT LIKE 'S1-%')
+SELECT entity_id, country FROM src WHERE entity_id IN (SELECT entity_id FROM needed) OR entity_id IN (SELECT entity_id FROM extra, fill WHERE r <= CASE WHEN entity_id LIKE 'S2-%' THEN n // 2 ELSE n - n // 2 END)""",
         "pair_token_jaccard": _two(lambda a, b: _jaccard(_set(a), _set(b)), "name_tok_jaccard", "addr_tok_jaccard"),
         "pair_char3_jaccard": _two(lambda a, b: _jaccard(_grams(a), _grams(b)), "name_char_jaccard", "addr_char_jaccard"),
         "pair_seq_ratio": _two(_ratio, "name_seq_ratio", "addr_seq_ratio"),

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources import tables
+
+#: The header of each result file.
+HEADERS = {"matches": ["source1_entity_id", "matched_entity_ids"], "candidates": ["source1_entity_id", "candidate_entity_ids"]}
+
 
 def _issues(rows: DataFrame, file: str, rule: str, key: str, detail=None, severity: str = "error") -> DataFrame:
     return rows.select(F.lit(file).alias("file"), F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"), (F.lit("") if detail is None else detail).cast("string").alias("detail"), F.lit(severity).alias("severity"))
@@ -71,3 +76,31 @@ def validate(matches: DataFrame, cands: DataFrame, s1: DataFrame, pool: DataFram
         parts += [duplicate_keys(rows, file), unknown_keys(rows, s1, file), repeated_ids(rows, file), missing_keys(rows, s1, file)]
     parts += [self_matches(matches, "matches"), unknown_ids(matches, pool, "matches", "S1-"), unknown_ids(cands, pool, "candidates"), not_candidates(matches, cands)]
     return reduce(DataFrame.unionByName, parts)
+
+
+def universe(s2: DataFrame, s3: DataFrame) -> DataFrame:
+    """Ids that may be listed: those of both candidate sources."""
+    return tables.id_universe(s2, "S2-").union(tables.id_universe(s3, "S3-")).distinct()
+
+
+def validate_files(spark: SparkSession, matching: str, candidate: str, s1: DataFrame, s2: DataFrame, s3: DataFrame) -> DataFrame:
+    """All rules over two result files and the three sources' records, headers included."""
+    heads = [header_issue(spark, file, tables.read_header(spark, path), HEADERS[file]) for file, path in (("matches", matching), ("candidates", candidate))]
+    rows = validate(tables.read_id_lists(spark, matching), tables.read_id_lists(spark, candidate), tables.id_universe(s1, "S1-"), universe(s2, s3))
+    return reduce(DataFrame.unionByName, heads, rows)
+
+
+def report(issues: DataFrame, first: int = 5) -> DataFrame:
+    """The issues with, of those about matches that were no candidates, only the `first` by key and one more that counts the rest."""
+    subset = F.col("rule") == "not_candidate"
+    some = issues.where(subset).orderBy("key").limit(first)
+    rest = issues.where(subset).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > first)
+    more = _issues(rest.select((F.col("n") - first).cast("string").alias("n")), "matches", "not_candidate_rest", "n", severity="warning")
+    return issues.where(~subset).unionByName(some).unionByName(more)
+
+
+def verdict(issues: DataFrame, first: int = 5) -> DataFrame:
+    """(n_issues, passed): the rows of the report, without sorting any."""
+    subset = F.count(F.when(F.col("rule") == "not_candidate", 1))
+    n = F.count(F.lit(1)) - subset + F.least(subset, F.lit(first)) + (subset > first).cast("long")
+    return issues.agg(n.alias("n_issues")).select("n_issues", (F.col("n_issues") == 0).alias("passed"))

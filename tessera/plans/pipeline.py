@@ -8,11 +8,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.features import with_features
+from tessera.functions.features import FEATURE_NAMES, with_features
 from tessera.functions.text import with_normalized
+from tessera.operators import index as stored_index
 from tessera.operators.blocking import candidates, first_by_id
 from tessera.operators.metrics import best_threshold, recall_ceiling, threshold_sweep
 from tessera.plans import model as m
+from tessera.sources import tables
 
 
 def records(df: DataFrame, compose: bool = True) -> DataFrame:
@@ -29,6 +31,24 @@ def pool_of(*sources: DataFrame) -> DataFrame:
     return first_by_id(rows, "_k", "entity_id").drop("_k")
 
 
+def truth_pairs(truth: DataFrame, s1: DataFrame) -> DataFrame:
+    """(s1, pool_id) of the true matches (s1, ids) of the given records; records without a truth row have none."""
+    own = truth.join(s1.select(F.col("entity_id").alias("s1")).distinct(), "s1", "left_semi")
+    return own.select("s1", F.explode("ids").alias("pool_id")).distinct()
+
+
+def training_pool(s2: DataFrame, s3: DataFrame, truth: DataFrame, size: int, seed: int = 42) -> DataFrame:
+    """Every true match (truth: s1, pool_id), and seeded samples of both sources that fill the pool up to about `size`, half each.
+
+    `size` bounds the filling only; true matches are never left out. Distinct by id, true matches first.
+    """
+    needed = truth.select(F.col("pool_id").alias("entity_id"))
+    forced = tables.rows_with_ids(s2, needed, "entity_id").unionByName(tables.rows_with_ids(s3, needed, "entity_id"))
+    fill = max(0, size - forced.count())
+    extra = [tables.rows_without_ids(tables.sample(s, n, seed=seed), needed, "entity_id") for s, n in ((s2, fill // 2), (s3, fill - fill // 2))]
+    return pool_of(forced.dropDuplicates(["entity_id"]), *extra)
+
+
 def pairs_of(cands: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
     """Candidates with both records' attributes."""
     side = lambda df, key, i: df.select(F.col("id").alias(key), *(F.col(f"norm_{c}").alias(f"norm_{c}_{i}") for c in ("name", "address", "country")))
@@ -36,12 +56,13 @@ def pairs_of(cands: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
     return named.join(side(s1, "q_id", 1), "q_id").join(side(pool, "pool_id", 2), "pool_id")
 
 
-def train(s1: DataFrame, pool: DataFrame, truth_pairs: DataFrame, k: int = 15, rounds: int = 200, depth: int = 6, seed: int = 42, use_block_scores: bool = False, include_uncovered: bool = False) -> tuple[PipelineModel, float, dict]:
-    """Model, threshold and metrics. s1 and pool are `records`; truth_pairs: s1, pool_id."""
+def train(s1: DataFrame, pool: DataFrame, truth_pairs: DataFrame, k: int = 15, rounds: int = 200, depth: int = 6, seed: int = 42, use_block_scores: bool = False, include_uncovered: bool = False) -> tuple[PipelineModel | None, float, dict]:
+    """Model, threshold and metrics. s1 and pool are `records`; truth_pairs: s1, pool_id. No model if the training pairs are of fewer than two classes."""
     split = m.split_groups(s1, "id", seed=seed).cache()
     cands = candidates(s1, pool, k).cache()
     pairs = with_features(m.labelled(pairs_of(cands, s1, pool), truth_pairs), use_block_scores).join(split.withColumnRenamed("id", "q_id"), "q_id").cache()
-    model = m.fit(pairs.where("not is_val"), rounds, depth, seed=seed)
+    classes = pairs.where("not is_val").select("label").distinct().count()
+    model = m.fit(pairs.where("not is_val"), rounds, depth, seed=seed) if classes > 1 else None
     val = m.probabilities(model, pairs.where("is_val")).withColumnRenamed("q_id", "s1")
     n_true = split.where("is_val").select(F.col("id").alias("s1")).join(truth_pairs.groupBy("s1").agg(F.count(F.lit(1)).alias("n_true")), "s1", "left").fillna(0, ["n_true"])
     best = best_threshold(threshold_sweep(val, n_true, include_uncovered)).collect()
@@ -51,9 +72,10 @@ def train(s1: DataFrame, pool: DataFrame, truth_pairs: DataFrame, k: int = 15, r
     return model, threshold, metrics
 
 
-def link(s1: DataFrame, pool: DataFrame, model: PipelineModel, threshold: float, k: int = 15, use_block_scores: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(matches, candidates) of all S1 records."""
-    scored = m.probabilities(model, with_features(pairs_of(candidates(s1, pool, k), s1, pool), use_block_scores))
+def link(s1: DataFrame, pool: DataFrame, model: PipelineModel | None, threshold: float, k: int = 15, use_block_scores: bool = False, index: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(matches, candidates) of all S1 records. `index` is the folder where the pool's token index is stored and found again."""
+    cands = candidates(s1, pool, k) if index is None else stored_index.candidates(s1, stored_index.stored(pool, index), k)
+    scored = m.probabilities(model, with_features(pairs_of(cands, s1, pool), use_block_scores))
     return m.decide(scored, s1, threshold)
 
 
@@ -62,6 +84,12 @@ def resume(s1: DataFrame, done: DataFrame) -> DataFrame:
     return s1.join(done.select(F.col("key").alias("id")).distinct(), "id", "left_anti")
 
 
+def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(feature, importance), one row for each of the 13 features; importances add up to 1."""
+    values = model.stages[-1].featureImportances.toArray()
+    return spark.createDataFrame([(f, float(v)) for f, v in zip(FEATURE_NAMES, values, strict=True)], "feature string, importance double").orderBy(F.desc("importance"), "feature")
+
+
 def save_bundle(spark: SparkSession, model: PipelineModel, threshold: float, metrics: dict, path: str) -> None:
     model.write().overwrite().save(f"{path}/model")
     spark.createDataFrame([(threshold, json.dumps(metrics))], "threshold double, metrics string").coalesce(1).write.mode("overwrite").json(f"{path}/bundle")

@@ -28,10 +28,15 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
 
 def read_id_lists(spark: SparkSession, path: str) -> DataFrame:
     """(key, ids) of a headed two-column file; further tabs belong to the list."""
-    lines = spark.read.text(path).where(F.col("value") != "")
+    lines = spark.read.csv(path, sep="\x01", header=True, schema="value string", quote="").where(F.col("value") != "")  # whole lines; each file's first is its header
     parts = F.split("value", "\t", 2)
-    header = spark.read.text(path).limit(1)
-    return lines.join(F.broadcast(header.select(F.col("value").alias("_h"))), F.col("value") == F.col("_h"), "left_anti").select(parts[0].alias("key"), parse_ids(F.get(parts, F.lit(1))).alias("ids"))
+    return lines.select(parts[0].alias("key"), parse_ids(F.get(parts, F.lit(1))).alias("ids"))
+
+
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """The fields of the first line; none for an empty file."""
+    first = spark.read.text(path).first()
+    return first["value"].split("\t") if first else []
 
 
 def write_id_lists(df: DataFrame, path: str, key_name: str, list_name: str, mode: str = "overwrite") -> None:
@@ -40,9 +45,9 @@ def write_id_lists(df: DataFrame, path: str, key_name: str, list_name: str, mode
 
 
 def write_partitioned(sources: dict[str, DataFrame], path: str) -> None:
-    """Records of all sources by source and country slug; readers prune partitions."""
+    """Records of all sources by source and country slug; readers prune partitions. A source that is written again is replaced."""
     for name, df in sources.items():
-        df.withColumns({"source": F.lit(name), "country_slug": country_slug(F.col("country"))}).write.mode("append").partitionBy("source", "country_slug").parquet(path)
+        df.withColumn("country_slug", country_slug(F.col("country"))).write.mode("overwrite").partitionBy("country_slug").parquet(f"{path}/source={name}")
 
 
 def read_pool(spark: SparkSession, path: str, slug: str | None = None, sources: tuple[str, ...] = ("source2", "source3")) -> DataFrame:
