@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import op1_license, op2_bpe, op3_langid, op4_decontaminate, op5_html, op6_mixing, op7_linededup, op8_quality, op9_sharding, op10_jaccard
-from tessera.llm.queries import tokenizer_path
+from tessera.llm.queries import queries, tokenizer_path
 
 WORDS = [f"w{k}" for k in range(400)]
 DOCS = "doc_id long, text string, lang string, source string, rank int"
@@ -403,3 +403,12 @@ def test_jaccard_join_of_odd_ids_and_columns(spark):
 
 def test_jaccard_join_of_nothing(spark, docs):
     assert op10_jaccard.jaccard_components(docs.limit(0)).count() == 0
+
+
+def test_language_of_held_out_documents(spark):
+    """Accuracy of the registered query on rows that it didn't learn from."""
+    sf = "/root/testdata/sf0.01"
+    found = queries()["op3_language_id"](spark, sf).where("held_out").select("doc_id", "lang_pred")
+    known = spark.read.parquet(f"{sf}/documents.parquet").where("lang is not null and text rlike '\\\\p{L}'").select("doc_id", "lang")
+    right, n = found.join(known, "doc_id").agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
+    assert n > 250 and right >= 0.98 * n
