@@ -1,10 +1,11 @@
 """License scans by conditional compression.
 
 Blocks of a text are the words around cue words, as far as the longest template reaches, across line breaks; blocks that meet are
-one. In a block a template may lie wherever enough of its words stand at about the same shift. The words there, a window of the
-template's length, are compressed with zstandard alone and with the template as raw dictionary; the bytes saved, as a share of
-the template's own compressed size, must reach a limit. Windows are confirmed by their exact wording differences: a word
-alignment of window and template, whose missing and added words are returned. Of confirmed windows that overlap the one with
+one. For each template overlapping windows of about its length cover the block, so that any wording of it lies whole in one. Every
+window is compressed with zstandard alone and with the template as raw dictionary; a template may lie only where the bytes saved, as
+a share of the template's own compressed size, reach a limit. Such windows are confirmed by their exact wording differences: a
+word alignment, at shifts where enough words agree, whose missing and added words are returned; the saving of the wording found
+must reach the limit too. Of confirmed windows that overlap the one with
 the most agreeing words, less its differences, stays; all others are reported.
 
 Defined results: a null or empty text has no block and no licence; equal windows rank by saving and template name; windows of
@@ -68,12 +69,13 @@ class LicenseScanner:
         self.words: dict[str, list[str]] = {}
         self.with_template, self.own_size = {}, {}
         self.alone = zstandard.ZstdCompressor(level=level, write_content_size=False)
-        self.places: dict[str, list[tuple[str, int]]] = defaultdict(list)  # of every word in the templates
+        self.places: dict[str, dict[str, list[int]]] = {}  # of every word in each template
         self.memo: dict[tuple[str, str], tuple | None] = {}
         for name, text in (TEMPLATES if templates is None else templates).items():
             self.words[name] = [w.lower() for w in _WORD.findall(text)]
+            self.places[name] = defaultdict(list)
             for k, w in enumerate(self.words[name]):
-                self.places[w].append((name, k))
+                self.places[name][w].append(k)
             body = " ".join(text.split()).lower().encode()
             self.own_size[name] = len(self.alone.compress(body))
             body = body if len(body) >= 8 else body.ljust(8)  # the format's smallest dictionary
@@ -103,23 +105,45 @@ class LicenseScanner:
                 out.append([low, high])
         return [spans[low:high] for low, high in out]
 
-    def saving(self, window: str, name: str) -> float:
+    def saving(self, window: str, name: str, alone: int | None = None) -> float:
         """Bytes that the template saves of a window, as a share of the template's own compressed size."""
         raw = window.lower().encode("utf-8", "surrogatepass")
-        return (len(self.alone.compress(raw)) - len(self.with_template[name].compress(raw))) / self.own_size[name]
-
-    def candidates(self, words: list[str]) -> Iterator[tuple[str, int, int]]:
-        """(template, begin, end): where least_wording of the template's words stand within the shifts that its differences allow."""
-        shifts: dict[str, Counter[int]] = defaultdict(Counter)
+        alone = len(self.alone.compress(raw)) if alone is None else alone
+        return (alone - len(self.with_template[name].compress(raw))) / self.own_size[name]
+
+    def windows(self, text: str, spans: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+        """(template, begin, end) of stretches of windows whose saving reaches the limit."""
+        size: dict[tuple[int, int], int] = {}  # templates of one length have the same windows
+        for name, words in self.words.items():
+            # Where no word may differ every wording is a window of its own, so other words never hide its saving.
+            longest, step = len(words) + self.slack(len(words)), 1 + self.slack(len(words))
+            low = high = 0
+            for at in range(0, max(1, len(spans) - longest + step), step):
+                end = min(len(spans), at + longest + step - 1)
+                window = " ".join(text[spans[at][0] : spans[end - 1][1]].split())
+                if (at, end) not in size:
+                    size[at, end] = len(self.alone.compress(window.lower().encode("utf-8", "surrogatepass")))
+                if self.saving(window, name, size[at, end]) >= self.least_reduction:
+                    if at > high:
+                        if high:
+                            yield name, low, high
+                        low = at
+                    elif not high:
+                        low = at
+                    high = end
+            if high:
+                yield name, low, high
+
+    def candidates(self, name: str, words: list[str]) -> Iterator[tuple[int, int]]:
+        """(begin, end): where least_wording of the template's words stand within the shifts that its differences allow."""
+        votes: Counter[int] = Counter()
         for at, w in enumerate(words):
-            for name, k in self.places.get(w, ()):
-                shifts[name][at - k] += 1
-        for name, votes in shifts.items():
-            n = len(self.words[name])
-            slack = self.slack(n)
-            for shift in sorted(votes):
-                if sum(votes.get(shift + d, 0) for d in range(2 * slack + 1)) >= self.least_wording * n:
-                    yield name, max(0, shift), min(len(words), shift + n + 2 * slack)
+            votes.update(at - k for k in self.places[name].get(w, ()))
+        n = len(self.words[name])
+        slack = self.slack(n)
+        for shift in sorted(votes):
+            if sum(votes.get(shift + d, 0) for d in range(2 * slack + 1)) >= self.least_wording * n:
+                yield max(0, shift), min(len(words), shift + n + 2 * slack)
 
     def aligned(self, name: str, words: list[str]) -> tuple[int, int, int, list[str], list[str]] | None:
         """Begin and end of the template's wording in `words`, agreeing words, missing and added ones; None if too many differ."""
@@ -145,7 +169,7 @@ class LicenseScanner:
         """Disjoint windows of the block with their confirmed templates, in the text's order."""
         words = [text[a:b].lower() for a, b in spans]
         found: dict[tuple[str, int, int], Match] = {}
-        for name, low, high in self.candidates(words):
+        for name, low, high in ((name, a + x, a + y) for name, a, b in self.windows(text, spans) for x, y in self.candidates(name, words[a:b])):
             key = name, " ".join(words[low:high])
             if key not in self.memo:
                 if len(self.memo) >= 10_000:

@@ -66,6 +66,16 @@ def test_license_within_lines_and_across_them(spark):
     assert all(m["exact"] for k in range(6) for m in got[k]["matches"])
 
 
+def test_license_compression_decides_before_the_wording():
+    text = "Some words before. " + op1_license.TEMPLATES["MIT-short"] + " " + op1_license.TEMPLATES["Unlicense"] + " Some words after."
+    for limit, found in ((0.35, ["MIT-short", "Unlicense"]), (9.0, [])):
+        scanner, aligned = op1_license.LicenseScanner(least_reduction=limit), []
+        exact = scanner.aligned
+        scanner.aligned = lambda name, words, exact=exact, aligned=aligned: aligned.append(name) or exact(name, words)
+        assert [m.template for block in scanner.blocks(text) for _, m in scanner.scan_block(text, block)] == found
+        assert set(aligned) == set(found)
+
+
 def test_bpe_equals_the_library(spark, docs):
     from tokenizers import Tokenizer
 
