@@ -12,7 +12,8 @@ side, each with weights and map of its own. The sum of -log2 over all decisions
 What is gathered grows with the corpus and never meets in one place. Texts are cut into chunks of about CHUNK symbols. A chunk
 asks for its distinct (context, symbol) pairs with their counts; pairs are dealt to buckets by the context's hash (40 bits),
 about BUCKET pairs each, a bucket sums the counts of all chunks, forms the predictions along each symbol's path, and answers
-every chunk with those that it asked for, one byte a decision. A pair goes to a bucket once for each chunk however often it occurs.
+every chunk with those that it asked for, one byte a decision, positive where the symbol's own bit is expected: so most of a path is
+one repeated byte, which compresses well. A pair goes to a bucket once for each chunk however often it occurs.
 
 Learning: the counts, the code and the vocabulary come from all training texts. Weights and map are learned from a fold of them that
 grows with the corpus (one text in FOLD, by a hash of its symbols, so equal texts go together), predicted from the counts of all
@@ -49,6 +50,8 @@ GATES, CELLS, LIMIT = 32, 33, 12
 STEP, STEPS = 32, 64  # symbols after which a text's own weights and map adapt, and steps whose decisions are laid out at once
 FOLD = 16
 CHUNK, BUCKET = 200_000, 1_000_000
+#: Texts that are scored side by side, few enough for what they use to stay in the cache.
+ABREAST = 64
 #: Parts of the buckets, and of the chunks, that are shuffled one after the other, so that little lies on disk at a time.
 PARTS = 4
 #: Pace of a text's own weights.
@@ -174,34 +177,59 @@ def pairs_of(symbols: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
 # -- predictions of a bucket
 
 
-def path_predictions(pairs: np.ndarray, times: np.ndarray, code: Code) -> np.ndarray:
-    """For distinct pairs in rising order the stretched predictions (int8) along each pair's path, one behind the other.
+#: What a context says along the path of the only symbol that it has, by how often it had that symbol.
+_ALONE = np.append(0, stretch(0, np.arange(1, 128))).astype(np.int8)
+
+
+def path_agreements(pairs: np.ndarray, times: np.ndarray, code: Code) -> np.ndarray:
+    """For distinct pairs in rising order the stretched predictions (int8) along each pair's path, one behind the other, positive where they say the path's own bit.
 
     The symbols of a context come in the order of the tree's leaves, so the pairs under a node are neighbours: `first` marks where a
-    node's pairs begin, and one step down the path it also marks where the bit changes.
+    node's pairs begin, and one step down the path it also marks where the bit changes. From the node on where a pair is alone, as
+    most are from the root, all predictions are the same.
     """
     symbol = (pairs & np.uint64(0xFFFFFF)).astype(np.int64)
     context = pairs >> np.uint64(24)
-    length, start = code.length[symbol], code.start[symbol]
-    place = np.cumsum(length) - length
-    out = np.zeros(int(length.sum()), np.int8)
+    length = code.length[symbol]
+    out = np.repeat(_ALONE[np.minimum(times, len(_ALONE) - 1)], length)
     first = np.append(True, context[1:] != context[:-1])[: len(pairs)]
-    live = length > 0
-    start, place, length, first, n = start[live], place[live], length[live], first[live], times[live].astype(np.int64)
+    at = np.flatnonzero((length > 0) & ~(first & np.append(first[1:], True)[: len(pairs)]))
+    start, place, length, first, n = code.start[symbol[at]], (np.cumsum(length) - length)[at], length[at], first[at], times[at].astype(np.int64)
     depth = 0
     while len(start):
         bit = code.bit[start + depth]
         begins = np.flatnonzero(first)
         total = np.add.reduceat(n, begins)
         ones = np.add.reduceat(n * bit, begins)
-        out[place + depth] = np.repeat(np.where(total > 0, stretch(total - ones, ones), 0).astype(np.int8), np.diff(begins, append=len(n)))
+        said = np.repeat(np.where(total > 0, stretch(total - ones, ones), 0).astype(np.int8), np.diff(begins, append=len(n)))
+        out[place + depth] = np.where(bit, said, -said)
         first[1:] |= bit[1:] != bit[:-1]
         depth += 1
-        stay = length > depth
+        stay = (length > depth) & ~(first & np.append(first[1:], True))
         start, place, length, first, n = start[stay], place[stay], length[stay], first[stay], n[stay]
     return out
 
 
+def path_predictions(pairs: np.ndarray, times: np.ndarray, code: Code) -> np.ndarray:
+    """The same, positive where a one is expected."""
+    symbol = (pairs & np.uint64(0xFFFFFF)).astype(np.int64)
+    return path_agreements(pairs, times, code) * sign_of(code.bit[spread(code.start[symbol], code.length[symbol])])
+
+
+def sign_of(bit: np.ndarray) -> np.ndarray:
+    return 2 * bit.astype(np.int8) - np.int8(1)
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`np.unique` with the inverse, by a sort that merges runs which are in order already."""
+    order = np.argsort(values, kind="stable")
+    rising = values[order]
+    first = np.append(True, rising[1:] != rising[:-1])[: len(rising)]
+    which = np.empty(len(values), np.int64)
+    which[order] = np.cumsum(first) - 1
+    return rising[first], which
+
+
 def chunk_pairs(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, order: int, part: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A chunk's distinct pairs, which of them each symbol is, and their times in training texts and in those of the fold; only the pairs of a part if one is named."""
     pairs, kind = pairs_of(symbols, ends, order), np.repeat(kinds, np.diff(ends, prepend=0))
@@ -235,7 +263,7 @@ def asked_pairs(chunks: DataFrame, bits: int, part: int) -> DataFrame:
 
 
 def answers(asked: DataFrame, code) -> DataFrame:
-    """(chunk, kind, bucket, known, taught): predictions for each chunk's pairs, and for those of the fold without the fold's counts."""
+    """(chunk, kind, bucket, known, taught): agreements for each chunk's pairs, and for those of the fold without the fold's counts."""
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
         coded = code.value
@@ -250,17 +278,17 @@ def answers(asked: DataFrame, code) -> DataFrame:
                 own.append(np.cumsum(unpack(table.column("pairs")[k].as_py(), np.uint64), dtype=np.uint64))
                 all_times.append(unpack(table.column("times")[k].as_py(), np.uint32))
                 all_folded.append(unpack(table.column("folded")[k].as_py(), np.uint32))
-            pairs, which = np.unique(np.concatenate(own), return_inverse=True)
+            pairs, which = distinct(np.concatenate(own))
             times, folded = (np.bincount(which, np.concatenate(t), len(pairs)).astype(np.int64) for t in (all_times, all_folded))
             length = coded.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)]
             begin = np.cumsum(length) - length
-            known = path_predictions(pairs, times, coded)
+            known = path_agreements(pairs, times, coded)
             # Only contexts that the fold holds are asked for without it.
             context = pairs >> np.uint64(24)
             begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
             apart = np.repeat(np.add.reduceat(folded, begins) > 0, np.diff(begins, append=len(pairs)))
             taught = known.copy()
-            taught[spread(begin[apart], length[apart])] = path_predictions(pairs[apart], (times - folded)[apart], coded)
+            taught[spread(begin[apart], length[apart])] = path_agreements(pairs[apart], (times - folded)[apart], coded)
             at = 0
             for k, mine_pairs, mine_folded in zip(mine.tolist(), own, all_folded, strict=True):
                 places = which[at : at + len(mine_pairs)]
@@ -298,7 +326,7 @@ class Mixer:
 
 @dataclass
 class Decisions:
-    """The decisions of some symbols in order: inputs (float32), gate, bit, and how many each symbol has."""
+    """The decisions of some symbols in order: inputs (float32, positive where a one is expected), gate, bit, and how many each symbol has."""
 
     inputs: list[np.ndarray]
     gate: np.ndarray
@@ -312,28 +340,38 @@ class Decisions:
         at = spread(code.start[symbols], length)
         depth = spread(np.zeros(len(symbols), np.int64), length)
         gate = np.minimum(depth, GATES // 4 - 1)
-        inputs = [code.plain.take(code.node.take(at))]
+        inputs = [code.plain[code.node[at]]]
+        bit = code.bit[at]
+        sign = sign_of(bit)
         for k in range(len(ORDERS)):
-            said = predictions[k].take(depth + np.repeat(places[k], length))
+            said = predictions[k][depth + np.repeat(places[k], length)]
             gate += (GATES // 4 << k) * (said != 0)
-            inputs.append(said.astype(np.float32))
-        return cls(inputs, gate, code.bit.take(at), length)
+            inputs.append((said * sign).astype(np.float32))
+        return cls(inputs, gate, bit, length)
 
 
 def cell_of(mixed: np.ndarray) -> np.ndarray:
     """The map's cell for a mixed prediction."""
-    return np.clip((mixed + 8) * ((CELLS - 1) / 16) + 0.5, 0, CELLS - 0.5).astype(np.int64)
+    return np.clip((mixed + 8) * ((CELLS - 1) / 16) + 0.5, 0, CELLS - 0.5).astype(np.int32)
 
 
 def bits_of(texts: list[int], ends: np.ndarray, symbols: np.ndarray, places: list[np.ndarray], predictions: list[np.ndarray], code: Code, model: Mixer, rate: float = RATE, adapt: bool = True) -> np.ndarray:
     """Total bits of the texts with these numbers. Weights and map of each start from the model's and adapt step by step, apart from the others'."""
-    begins = np.append(0, ends[:-1])
-    lengths = (ends - begins)[texts]
-    order = np.argsort(-lengths, kind="stable")  # so that those which still go on are the first ones
-    lengths, first = lengths[order], begins[texts][order]
-    total = np.zeros(len(texts))
-    weights = np.repeat(model.weights.astype(np.float32).T[:, None], len(texts), 1).reshape(INPUTS, -1) / np.float32(16)  # by input, text and gate
-    refine = np.tile(model.refine.astype(np.float32).ravel(), len(texts))
+    lengths = np.diff(ends, prepend=0)[texts]
+    order = np.argsort(-lengths, kind="stable")  # texts of like lengths side by side, and those which still go on are the first ones
+    out = np.empty(len(texts))
+    for low in range(0, len(texts), ABREAST):
+        some = order[low : low + ABREAST]
+        out[some] = _bits_abreast(ends[np.asarray(texts)[some]] - lengths[some], lengths[some], symbols, places, predictions, code, model, rate, adapt)
+    return out
+
+
+def _bits_abreast(first: np.ndarray, lengths: np.ndarray, symbols: np.ndarray, places: list[np.ndarray], predictions: list[np.ndarray], code: Code, model: Mixer, rate: float, adapt: bool) -> np.ndarray:
+    """Total bits of the texts that begin at `first`, longest first."""
+    total = np.zeros(len(first))
+    weights = np.repeat(model.weights.astype(np.float32).T[:, None], len(first), 1).reshape(INPUTS, -1) / np.float32(16)  # by input, text and gate
+    refine = np.tile(model.refine.astype(np.float64).ravel(), len(first))
+    share = 1 / (60 + np.arange(STEP * int(code.length.max(initial=0)) + 1))  # a step of a text has no more decisions
     for begin in range(0, int(lengths.max(initial=0)), STEP * STEPS):
         on = int((lengths > begin).sum())
         size = np.minimum(lengths[:on] - begin, STEP * STEPS)
@@ -352,14 +390,14 @@ def bits_of(texts: list[int], ends: np.ndarray, symbols: np.ndarray, places: lis
             if now.stop == now.start:
                 continue
             g, b, x = gates[now], bits[now], [i[now] for i in d.inputs]
-            mixed = weights[0].take(g) * x[0]
+            mixed = weights[0][g] * x[0]
             for j in range(1, INPUTS):
-                mixed += weights[j].take(g) * x[j]
+                mixed += weights[j][g] * x[j]
             np.clip(mixed, -LIMIT, LIMIT, out=mixed)
             chance = 1 / (1 + np.exp(-mixed))
             cell = cell_of(mixed) + g * CELLS
-            mapped = refine.take(cell)
-            final = (mapped + chance) * np.float32(0.5)
+            mapped = refine[cell]
+            final = (mapped + chance) * 0.5
             cost[now] = np.abs(1 - b - np.clip(final, 1e-5, 1 - 1e-5))
             if not adapt:
                 continue
@@ -369,12 +407,10 @@ def bits_of(texts: list[int], ends: np.ndarray, symbols: np.ndarray, places: lis
             pace = rate / 256 / np.maximum(seen, 1) ** 0.5
             for j in range(INPUTS):
                 weights[j, :most] += pace * np.bincount(g, error * x[j], most)
-            times = np.bincount(cell, minlength=most * CELLS)
-            refine[: most * CELLS] += np.bincount(cell, b - mapped, most * CELLS) / (times + 60)
+            away = (b - mapped) * share[np.bincount(cell)[cell]]
+            refine[: most * CELLS] += np.bincount(cell, away, most * CELLS)
         total[:on] -= np.bincount(text, np.log2(cost), on)
-    out = np.empty(len(texts))
-    out[order] = total
-    return out
+    return total
 
 
 def lesson_of(d: Decisions) -> bytes:
@@ -508,12 +544,12 @@ def _joined(mine: pa.Table, said: pa.Table, column: str) -> tuple[np.ndarray, np
     return symbols.astype(np.int64), ends, kinds, [np.concatenate(p) for p in parts]
 
 
-def _places(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, code: Code, taught: bool) -> list[np.ndarray]:
-    """For each kind and symbol where its predictions begin in the answers."""
+def _places(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, code: Code) -> list[np.ndarray]:
+    """For each kind and symbol where its predictions begin in the answers for these texts' pairs."""
     out = []
     for order in ORDERS:
-        pairs, which, _, folded = chunk_pairs(symbols.astype(np.uint32), ends, kinds, order)
-        length = code.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)] * (folded > 0 if taught else 1)
+        pairs, which, *_ = chunk_pairs(symbols.astype(np.uint32), ends, kinds, order)
+        length = code.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)]
         out.append((np.cumsum(length) - length)[which])
     return out
 
@@ -547,11 +583,12 @@ def score(docs: DataFrame) -> DataFrame:
 
     def teach(key: tuple, mine: pa.Table, its: pa.Table) -> pa.Table:
         symbols, ends, kinds, predictions = _joined(mine, its, "taught")
-        here = np.flatnonzero(np.repeat(kinds > 1, np.diff(ends, prepend=0)))
+        own, lengths = kinds > 1, np.diff(ends, prepend=0)
         lessons = []
-        if len(here):
-            places = _places(symbols, ends, kinds, code.value, True)
-            lessons = [lesson_of(Decisions.of(symbols[here], [p[here] for p in places], predictions, code.value))]
+        if own.any():  # the fold's texts end with a symbol each
+            symbols = symbols[np.repeat(own, lengths)]
+            places = _places(symbols, np.cumsum(lengths[own]), kinds[own], code.value)
+            lessons = [lesson_of(Decisions.of(symbols, places, predictions, code.value))]
         return pa.table([pa.array(lessons, pa.binary())], names=["lesson"])
 
     whole = chunks.select("chunk", "symbols", "ends", "kinds")
@@ -569,7 +606,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     def rate(key: tuple, mine: pa.Table, its: pa.Table) -> pa.Table:
         symbols, ends, kinds, predictions = _joined(mine, its, "known")
-        places = _places(symbols, ends, kinds, code.value, False)
+        places = _places(symbols, ends, kinds, code.value)
         total = bits_of(list(range(len(ends))), ends, symbols, places, predictions, code.value, model.value)
         plain = [pa.array(mine.column(c)[0].as_py(), t) for c, t in (("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("seen", pa.int64()), ("base", pa.float64()), ("n_bytes", pa.int64()))]
         return pa.table([*plain, pa.array(total)], names=["_row", "doc_id", "n_tokens", "seen", "base", "n_bytes", "total_bits"])

@@ -252,6 +252,29 @@ def test_mixing_predictions_of_a_bucket():
     assert at == len(got)
 
 
+def test_mixing_answers_are_short_and_texts_stand_alone(monkeypatch):
+    """Agreements are the predictions towards the path's own bit, also of lone and unseen pairs; texts scored side by side don't change each other."""
+    rng = np.random.default_rng(8)
+    code = op6_mixing.Code.huffman(np.sort(rng.integers(0, 1 << 63, 900).astype(np.uint64)), rng.integers(1, 500, 900), 7, 9)
+    symbols = rng.integers(0, code.words, 9000).astype(np.uint64)
+    pairs, times = np.unique(rng.integers(0, 6000, 9000).astype(np.uint64) << np.uint64(24) | symbols, return_counts=True)
+    times[::7] = 0
+    said, sign = op6_mixing.path_agreements(pairs, times, code), []
+    for p in pairs.tolist():
+        begin = int(code.start[p & 0xFFFFFF])
+        sign += (2 * code.bit[begin : begin + int(code.length[p & 0xFFFFFF])].astype(int) - 1).tolist()
+    assert (said * np.array(sign) == op6_mixing.path_predictions(pairs, times, code)).all()
+    assert 3 * len(op6_mixing.pack(said)) < 2 * len(op6_mixing.pack(op6_mixing.path_predictions(pairs, times, code)))
+    ends = np.cumsum(rng.integers(1, 90, 40))
+    text, model = rng.integers(0, code.words, int(ends[-1])), op6_mixing.Mixer.fresh()
+    places = op6_mixing._places(text, ends, np.ones(len(ends), np.uint8), code)
+    answers = [rng.integers(-120, 120, int(p.max()) + 40).astype(np.int8) for p in places]
+    bits = lambda: op6_mixing.bits_of(list(range(len(ends))), ends, text, places, answers, code, model)
+    whole = bits()
+    monkeypatch.setattr(op6_mixing, "ABREAST", 3)
+    assert (bits() == whole).all()
+
+
 def test_mixing_without_training_texts_and_empty(spark, tmp_path):
     docs = spark.createDataFrame([(1, "some words", None), (None, None, False)], "doc_id long, text string, training boolean")
     got = {g["doc_id"]: g for g in op6_mixing.score(docs).collect()}
