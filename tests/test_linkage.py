@@ -126,6 +126,24 @@ def test_registered_link_trains_the_whole_forest(spark, monkeypatch):
     assert (asked["rounds"], asked["depth"]) == (200, 6)
 
 
+def test_training_pairs_lie_in_partitions_by_their_number(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+
+    from tessera.functions.features import FEATURE_NAMES
+
+    seen = []
+
+    def fit(self, pairs):
+        seen.append((pairs.rdd.getNumPartitions(), pairs.count(), pairs.select("label").distinct().count()))
+
+    monkeypatch.setattr(Pipeline, "fit", fit)
+    rows = spark.range(0, 250, 1, 37).selectExpr("int(id % 2) as label", *(f"id / 250.0 as {c}" for c in FEATURE_NAMES))
+    model.fit(rows)
+    monkeypatch.setattr(model, "PART_ROWS", 100)
+    model.fit(rows)
+    assert seen == [(1, 250, 2), (3, 250, 2)]
+
+
 def test_cosine_in_cells_equals_brute_force(spark, monkeypatch):
     import math
     import random
