@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, column_list, prepare, small, utf8
+from tessera.llm.common import Scratch, column_list, give_back, prepare, small, utf8
 from tessera.llm.components import components
 from tessera.llm.shingles import DEALT, Dealer, shared, token_sets
 
@@ -51,6 +51,9 @@ BUCKET, BLOCK = 1_000_000, 256
 #: Set sizes within a factor of STEP are one class of sizes.
 STEP = 1.08
 
+#: Prefixes in the order of hashes are the least ones, a quarter of all values; times this odd number they are spread over all buckets.
+SPREAD = np.int64(-0x61C8864680B583EB)
+
 
 def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     """How many tokens of a set of n must be looked at: any set that reaches the similarity shares one of them."""
@@ -80,17 +83,18 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def dealt_prefixes(signed: DataFrame, bits: int) -> DataFrame:
-    """The prefixes' tokens, dealt to buckets."""
+    """The prefixes' tokens times SPREAD, dealt to buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = Dealer(bits)
         for batch in batches:
             ends, values = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy()
             for k, (number, n) in enumerate(zip(column_list(batch, "lo"), column_list(batch, "n"), strict=True)):
-                dealer.add(number, n, values[ends[k] : ends[k + 1]])
+                dealer.add(number, n, values[ends[k] : ends[k + 1]] * SPREAD)
             if dealer.full():
                 yield pa.RecordBatch.from_pylist(dealer.rows(), _DEALT)
         yield pa.RecordBatch.from_pylist(dealer.rows(), _DEALT)
+        give_back()
 
     return signed.select("lo", "n", "prefix").mapInArrow(run, DEALT)
 
@@ -108,6 +112,7 @@ def dealt_sets(docs: DataFrame, width: int, bits: int) -> DataFrame:
             if dealer.full():
                 yield pa.RecordBatch.from_pylist(dealer.rows(), _DEALT)
         yield pa.RecordBatch.from_pylist(dealer.rows(), _DEALT)
+        give_back()
 
     return docs.select("text").mapInArrow(run, DEALT)
 
@@ -117,6 +122,7 @@ _DEALT = pa.schema([("bucket", pa.int32()), ("tokens", pa.binary()), ("owners",
 
 def sizes_met(key: tuple, table: pa.Table) -> pa.Table:
     """Step 1, a bucket: for each id and class of sizes, how many of its tokens another id of such a size holds."""
+    give_back()
     _, number, size, which, _ = shared(table)
     own = size_class(size)
     cells, held = np.unique(which * 1024 + own, return_counts=True)
@@ -136,6 +142,7 @@ def sizes_met(key: tuple, table: pa.Table) -> pa.Table:
 
 def tokens_shared(key: tuple, table: pa.Table) -> pa.Table:
     """Step 2, a bucket: the tokens that two ids hold, with the number of ids."""
+    give_back()
     token, number, size, _, held = shared(table)
     return pa.table([pa.array(number), pa.array(size), pa.array(token), pa.array(held.astype(np.int64))], names=["id", "n", "token", "held"])
 

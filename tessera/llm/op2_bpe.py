@@ -22,11 +22,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import column_list, prepare, sha256_hex
+from tessera.llm.common import column_list, give_back, prepare, sha256_hex
 
 #: Words, pieces and token pairs that a worker remembers, each in two generations: a full younger one replaces the older.
-#: So memory is bounded and frequent words stay; results don't depend on it.
-MEMO = 200_000
+#: So memory is bounded and frequent words stay; results don't depend on it. At a task's end more than
+#: KEPT entries (all together may be 200 MB) go, as the worker process may serve another operator next.
+MEMO, KEPT = 200_000, 50_000
 
 
 class Memo:
@@ -35,6 +36,9 @@ class Memo:
     def __init__(self, function, size: int = MEMO) -> None:
         self.function, self.size, self.young, self.old = function, size, {}, {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def __call__(self, key):
         found = self.young.get(key)
         if found is None:
@@ -102,6 +106,15 @@ class WordBpe:
         self.blob = np.frombuffer(b"".join(parts), np.uint8)
         self.decimal = [str(i) for i in range(len(parts))]
 
+    def remembered(self) -> int:
+        return sum(len(m.young) + len(m.old) for m in (self.compatible, self.piece_memo, self.word))
+
+    def forget(self) -> None:
+        """Empties large memos; the tables, about 40 MB, stay."""
+        if self.remembered() > KEPT:
+            for memo in (self.compatible, self.piece_memo, self.word):
+                memo.clear()
+
     def merged(self, symbols: str) -> list[int]:
         """Merging by rank, step by step: used for single tokens when the tables are built, and as the tests' yardstick."""
         ids = [self.base[c] for c in symbols]
@@ -262,6 +275,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, keep_ids: bool = Fals
             if keep_decoded:
                 columns, names = [*columns, pa.array(all_text, pa.string())], [*names, "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        bpe.forget()
+        give_back()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids + ", decoded string" * keep_decoded
     return docs.select("doc_id", "text").mapInArrow(run, schema)

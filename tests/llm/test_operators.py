@@ -10,11 +10,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import op1_license, op2_bpe, op3_langid, op4_decontaminate, op5_html, op6_mixing, op7_linededup, op8_quality, op9_sharding, op10_jaccard
 from tessera.llm.queries import queries, tokenizer_path
+from tessera.llm.shingles import unpack
 
 WORDS = [f"w{k}" for k in range(400)]
 DOCS = "doc_id long, text string, lang string, source string, rank int"
@@ -93,6 +95,18 @@ def test_bpe_equals_the_library(spark, docs):
     assert by_id(op2_bpe.encode_documents(spark.createDataFrame([(1, None)], "doc_id long, text string"), tokenizer_path()))[1]["n_tokens"] == 0
 
 
+def test_bpe_leaves_no_large_memos_in_a_worker(spark):
+    r = random.Random(5)
+    rows = spark.createDataFrame([(k, " ".join("".join(r.choices("abcdefghij", k=8)) for _ in range(1000))) for k in range(30)], "doc_id long, text string").coalesce(1)
+    assert len(op2_bpe.encode_documents(rows, tokenizer_path()).collect()) == 30
+
+    def remembered(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(e.remembered() for e in op2_bpe._LOADED.values())] * batch.num_rows)], names=["n"])
+
+    assert max(x["n"] for x in spark.range(64, numPartitions=8).mapInArrow(remembered, "n long").collect()) <= op2_bpe.KEPT
+
+
 def test_language(spark):
     sides = {"en": "the that with from this have", "de": "der und nicht eine schon über", "fr": "le une être avec près où"}
     r = random.Random(2)
@@ -374,6 +388,17 @@ def brute_components(rows, percent=75):
     return {k: (len(sets[k]), root(k)) for k in rows}
 
 
+def test_prefixes_are_dealt_evenly(spark):
+    """Prefixes are the least hashes of a set, so without spreading a quarter of the buckets would get all of them."""
+    r = random.Random(8)
+    rows = spark.createDataFrame([(k, " ".join(str(r.random()) for _ in range(200))) for k in range(100)], "doc_id long, text string").coalesce(1)
+    found = op10_jaccard.dealt_prefixes(op10_jaccard.signatures(rows, 5, 75), 5).collect()
+    held = Counter()
+    for row in found:
+        held[row["bucket"]] += len(unpack(row["tokens"], np.uint64))
+    assert sum(held.values()) == 100 * 50 and len(held) == 32 and max(held.values()) < 2 * 5000 / 32
+
+
 @pytest.mark.parametrize(("bucket", "block"), [(op10_jaccard.BUCKET, op10_jaccard.BLOCK), (40, 3)])
 def test_jaccard_join(spark, docs, bucket, block):
     own = dict(enumerate(texts()))
