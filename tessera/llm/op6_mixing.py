@@ -12,8 +12,8 @@ side, each with weights and map of its own. The sum of -log2 over all decisions
 What is gathered grows with the corpus and never meets in one place. Texts are cut into chunks of about CHUNK symbols. A chunk
 asks for its distinct (context, symbol) pairs with their counts; pairs are dealt to buckets by the context's hash (40 bits),
 about BUCKET pairs each, a bucket sums the counts of all chunks, forms the predictions along each symbol's path, and answers
-every chunk with those that it asked for, one byte a decision, positive where the symbol's own bit is expected: so most of a path is
-one repeated byte, which compresses well. A pair goes to a bucket once for each chunk however often it occurs.
+every chunk with those that it asked for, positive where the symbol's own bit is expected: so the end of most paths is one
+repeated prediction, which is sent once. A pair goes to a bucket once for each chunk however often it occurs.
 
 Learning: the counts, the code and the vocabulary come from all training texts. Weights and map are learned from a fold of them that
 grows with the corpus (one text in FOLD, by a hash of its symbols, so equal texts go together), predicted from the counts of all
@@ -52,8 +52,9 @@ FOLD = 16
 CHUNK, BUCKET = 200_000, 1_000_000
 #: Texts that are scored side by side, few enough for what they use to stay in the cache.
 ABREAST = 64
-#: Parts of the buckets, and of the chunks, that are shuffled one after the other, so that little lies on disk at a time.
-PARTS = 4
+#: Parts of the buckets, and of the chunks, that are shuffled one after the other, so that little lies on disk at a time. A part of
+#: the chunks finds its answers in folders of their own, which go when it is scored.
+PARTS, SHARES = 4, 8
 #: Pace of a text's own weights.
 RATE = 0.02
 
@@ -181,9 +182,10 @@ def pairs_of(symbols: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
 _ALONE = np.append(0, stretch(0, np.arange(1, 128))).astype(np.int8)
 
 
-def path_agreements(pairs: np.ndarray, times: np.ndarray, code: Code) -> np.ndarray:
-    """For distinct pairs in rising order the stretched predictions (int8) along each pair's path, one behind the other, positive where they say the path's own bit.
+def path_parts(pairs: np.ndarray, times: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For distinct pairs in rising order the stretched predictions (int8) along each pair's path, positive where they say the path's own bit.
 
+    Given are how many predictions are the pair's own, the one that repeats from there on, and the own ones one behind the other.
     The symbols of a context come in the order of the tree's leaves, so the pairs under a node are neighbours: `first` marks where a
     node's pairs begin, and one step down the path it also marks where the bit changes. From the node on where a pair is alone, as
     most are from the root, all predictions are the same.
@@ -191,25 +193,56 @@ def path_agreements(pairs: np.ndarray, times: np.ndarray, code: Code) -> np.ndar
     symbol = (pairs & np.uint64(0xFFFFFF)).astype(np.int64)
     context = pairs >> np.uint64(24)
     length = code.length[symbol]
-    out = np.repeat(_ALONE[np.minimum(times, len(_ALONE) - 1)], length)
+    tails = _ALONE[np.minimum(times, len(_ALONE) - 1)]
     first = np.append(True, context[1:] != context[:-1])[: len(pairs)]
     at = np.flatnonzero((length > 0) & ~(first & np.append(first[1:], True)[: len(pairs)]))
-    start, place, length, first, n = code.start[symbol[at]], (np.cumsum(length) - length)[at], length[at], first[at], times[at].astype(np.int64)
-    depth = 0
+    start, length, first, n = code.start[symbol[at]], length[at], first[at], times[at].astype(np.int64)
+    heads, walked, depth = np.zeros(len(pairs), np.uint8), [], 0
     while len(start):
         bit = code.bit[start + depth]
         begins = np.flatnonzero(first)
         total = np.add.reduceat(n, begins)
         ones = np.add.reduceat(n * bit, begins)
         said = np.repeat(np.where(total > 0, stretch(total - ones, ones), 0).astype(np.int8), np.diff(begins, append=len(n)))
-        out[place + depth] = np.where(bit, said, -said)
+        walked.append((at, np.where(bit, said, -said)))
         first[1:] |= bit[1:] != bit[:-1]
         depth += 1
+        heads[at] = depth
         stay = (length > depth) & ~(first & np.append(first[1:], True))
-        start, place, length, first, n = start[stay], place[stay], length[stay], first[stay], n[stay]
+        start, at, length, first, n = start[stay], at[stay], length[stay], first[stay], n[stay]
+    begin = np.cumsum(heads, dtype=np.int64) - heads
+    body = np.empty(int(heads.sum(dtype=np.int64)), np.int8)
+    for depth, (at, said) in enumerate(walked):
+        body[begin[at] + depth] = said
+    return heads, tails, body
+
+
+def whole_paths(heads: np.ndarray, tails: np.ndarray, body: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The predictions of `path_parts` written out, for paths of these lengths."""
+    out = np.repeat(tails, length)
+    own = np.flatnonzero(heads)
+    out[spread((np.cumsum(length) - length)[own], heads[own].astype(np.int64))] = body
     return out
 
 
+def path_agreements(pairs: np.ndarray, times: np.ndarray, code: Code) -> np.ndarray:
+    """The same along whole paths, one behind the other."""
+    return whole_paths(*path_parts(pairs, times, code), code.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)])
+
+
+def sent(parts: tuple[np.ndarray, np.ndarray, np.ndarray], begin: np.ndarray, places: np.ndarray) -> bytes:
+    """The parts of the pairs at these places, packed; `begin`: where each pair's own predictions begin."""
+    heads, tails, body = parts
+    mine = heads[places]
+    some = mine > 0
+    return np.uint32(len(places)).tobytes() + pack(np.concatenate([mine.view(np.int8), tails[places], body[spread(begin[places[some]], mine[some].astype(np.int64))]]))
+
+
+def received(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, values = int(np.frombuffer(raw[:4], np.uint32)[0]), unpack(raw[4:], np.int8)
+    return values[:n].view(np.uint8), values[n : 2 * n], values[2 * n :]
+
+
 def path_predictions(pairs: np.ndarray, times: np.ndarray, code: Code) -> np.ndarray:
     """The same, positive where a one is expected."""
     symbol = (pairs & np.uint64(0xFFFFFF)).astype(np.int64)
@@ -230,14 +263,17 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rising[first], which
 
 
-def chunk_pairs(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, order: int, part: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk's distinct pairs, which of them each symbol is, and their times in training texts and in those of the fold; only the pairs of a part if one is named."""
-    pairs, kind = pairs_of(symbols, ends, order), np.repeat(kinds, np.diff(ends, prepend=0))
-    if part is not None:
-        mine = pairs >> np.uint64(62) == part
-        pairs, kind = pairs[mine], kind[mine]
-    every, which = np.unique(pairs, return_inverse=True)
-    return every, which, np.bincount(which, kind > 0, len(every)).astype(np.uint32), np.bincount(which, kind > 1, len(every)).astype(np.uint32)
+def chunk_pairs(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, order: int, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's distinct pairs of a part (the first two bits) in rising order, and their times in training texts and in those of the fold."""
+    pairs = pairs_of(symbols, ends, order)
+    mine = pairs >> np.uint64(62) == part
+    # The bits of the part make room for the kind, so one sort of plain numbers is enough.
+    keyed = np.sort(pairs[mine] << np.uint64(2) | np.repeat(kinds, np.diff(ends, prepend=0))[mine])
+    pairs, kind = keyed >> np.uint64(2), keyed & np.uint64(3)
+    begins = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)])
+    last = np.append(begins, len(pairs))
+    times, folded = (np.diff(np.append(0, np.cumsum(some))[last]).astype(np.uint32) for some in (kind > 0, kind > 1))
+    return pairs[begins] | np.uint64(part) << np.uint64(62), times, folded
 
 
 _ASKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("pairs", pa.binary()), ("times", pa.binary()), ("folded", pa.binary())])
@@ -251,7 +287,7 @@ def asked_pairs(chunks: DataFrame, bits: int, part: int) -> DataFrame:
             for chunk, symbols, ends, kinds in zip(*(batch.column(k) for k in range(4)), strict=True):
                 symbols, ends, kinds = unpack(symbols.as_py(), np.uint32), np.frombuffer(ends.as_py(), np.int64), np.frombuffer(kinds.as_py(), np.uint8)
                 for kind, order in enumerate(ORDERS):
-                    pairs, _, times, folded = chunk_pairs(symbols, ends, kinds, order, part)
+                    pairs, times, folded = chunk_pairs(symbols, ends, kinds, order, part)
                     cuts = np.searchsorted(pairs, np.arange((1 << bits) + 1, dtype=np.uint64)[:-1] << np.uint64(64 - bits))
                     rows = []
                     for bucket, (low, high) in enumerate(zip(cuts, [*cuts[1:], len(pairs)], strict=True)):
@@ -280,21 +316,20 @@ def answers(asked: DataFrame, code) -> DataFrame:
                 all_folded.append(unpack(table.column("folded")[k].as_py(), np.uint32))
             pairs, which = distinct(np.concatenate(own))
             times, folded = (np.bincount(which, np.concatenate(t), len(pairs)).astype(np.int64) for t in (all_times, all_folded))
-            length = coded.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)]
-            begin = np.cumsum(length) - length
-            known = path_agreements(pairs, times, coded)
+            known = path_parts(pairs, times, coded)
+            begin = np.cumsum(known[0], dtype=np.int64) - known[0]
             # Only contexts that the fold holds are asked for without it.
             context = pairs >> np.uint64(24)
             begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
             apart = np.repeat(np.add.reduceat(folded, begins) > 0, np.diff(begins, append=len(pairs)))
-            taught = known.copy()
-            taught[spread(begin[apart], length[apart])] = path_agreements(pairs[apart], (times - folded)[apart], coded)
+            taught, number = path_parts(pairs[apart], (times - folded)[apart], coded), np.cumsum(apart) - 1
+            taught_begin = np.cumsum(taught[0], dtype=np.int64) - taught[0]
             at = 0
             for k, mine_pairs, mine_folded in zip(mine.tolist(), own, all_folded, strict=True):
                 places = which[at : at + len(mine_pairs)]
                 at += len(mine_pairs)
                 teaching = places[mine_folded > 0]
-                out.append({"chunk": table.column("chunk")[k].as_py(), "kind": kind, "bucket": key[0].as_py(), "known": pack(known[spread(begin[places], length[places])]), "taught": pack(taught[spread(begin[teaching], length[teaching])])})
+                out.append({"chunk": table.column("chunk")[k].as_py(), "kind": kind, "bucket": key[0].as_py(), "known": sent(known, begin, places), "taught": sent(taught, taught_begin, number[teaching])})
         return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("known", pa.binary()), ("taught", pa.binary())]))
 
     return asked.groupBy("bucket").applyInArrow(answer, "chunk long, kind int, bucket int, known binary, taught binary")
@@ -337,17 +372,19 @@ class Decisions:
     def of(cls, symbols: np.ndarray, places: list[np.ndarray], predictions: list[np.ndarray], code: Code) -> Decisions:
         """`places`: for each kind where a symbol's predictions begin."""
         length = code.length[symbols]
-        at = spread(code.start[symbols], length)
-        depth = spread(np.zeros(len(symbols), np.int64), length)
-        gate = np.minimum(depth, GATES // 4 - 1)
-        inputs = [code.plain[code.node[at]]]
-        bit = code.bit[at]
+        begin = np.cumsum(length) - length
+        owner = np.repeat(np.arange(len(symbols)), length)
+        turn = np.arange(len(owner))
+        at = turn + (code.start[symbols] - begin).take(owner)
+        gate = np.minimum(turn - begin.take(owner), GATES // 4 - 1).astype(np.int8)
+        inputs = [code.plain.take(code.node.take(at))]
+        bit = code.bit.take(at)
         sign = sign_of(bit)
         for k in range(len(ORDERS)):
-            said = predictions[k][depth + np.repeat(places[k], length)]
-            gate += (GATES // 4 << k) * (said != 0)
+            said = predictions[k].take(turn + (places[k] - begin).take(owner))
+            gate += (said != 0) * np.int8(GATES // 4 << k)
             inputs.append((said * sign).astype(np.float32))
-        return cls(inputs, gate, bit, length)
+        return cls(inputs, gate.astype(np.int64), bit, length)
 
 
 def cell_of(mixed: np.ndarray) -> np.ndarray:
@@ -390,13 +427,13 @@ def _bits_abreast(first: np.ndarray, lengths: np.ndarray, symbols: np.ndarray, p
             if now.stop == now.start:
                 continue
             g, b, x = gates[now], bits[now], [i[now] for i in d.inputs]
-            mixed = weights[0][g] * x[0]
+            mixed = weights[0].take(g) * x[0]
             for j in range(1, INPUTS):
-                mixed += weights[j][g] * x[j]
+                mixed += weights[j].take(g) * x[j]
             np.clip(mixed, -LIMIT, LIMIT, out=mixed)
             chance = 1 / (1 + np.exp(-mixed))
             cell = cell_of(mixed) + g * CELLS
-            mapped = refine[cell]
+            mapped = refine.take(cell)
             final = (mapped + chance) * 0.5
             cost[now] = np.abs(1 - b - np.clip(final, 1e-5, 1 - 1e-5))
             if not adapt:
@@ -407,7 +444,7 @@ def _bits_abreast(first: np.ndarray, lengths: np.ndarray, symbols: np.ndarray, p
             pace = rate / 256 / np.maximum(seen, 1) ** 0.5
             for j in range(INPUTS):
                 weights[j, :most] += pace * np.bincount(g, error * x[j], most)
-            away = (b - mapped) * share[np.bincount(cell)[cell]]
+            away = (b - mapped) * share.take(np.bincount(cell).take(cell))
             refine[: most * CELLS] += np.bincount(cell, away, most * CELLS)
         total[:on] -= np.bincount(text, np.log2(cost), on)
     return total
@@ -534,24 +571,32 @@ _CHUNK_TYPES = [{"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.li
 # -- the whole
 
 
-def _joined(mine: pa.Table, said: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """A chunk's symbols, ends and kinds, and for each kind the answers of its buckets one behind the other."""
+def _joined(mine: pa.Table, said: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """A chunk's symbols, ends and kinds, and for each kind the parts of its buckets' answers one behind the other."""
     symbols, ends, kinds = unpack(mine.column("symbols")[0].as_py(), np.uint32), np.frombuffer(mine.column("ends")[0].as_py(), np.int64), np.frombuffer(mine.column("kinds")[0].as_py(), np.uint8)
     kind, bucket = said.column("kind").to_numpy(), said.column("bucket").to_numpy()
-    parts: list[list[np.ndarray]] = [[np.zeros(0, np.int8)] for _ in ORDERS]
+    parts: list[list[tuple]] = [[(np.zeros(0, np.uint8), np.zeros(0, np.int8), np.zeros(0, np.int8))] for _ in ORDERS]
     for k in np.lexsort((bucket, kind)).tolist():
-        parts[kind[k]].append(unpack(said.column(column)[k].as_py(), np.int8))
-    return symbols.astype(np.int64), ends, kinds, [np.concatenate(p) for p in parts]
+        parts[kind[k]].append(received(said.column(column)[k].as_py()))
+    return symbols.astype(np.int64), ends, kinds, [tuple(np.concatenate(p) for p in zip(*own, strict=True)) for own in parts]
+
+
+def _pairs_met(symbols: np.ndarray, ends: np.ndarray, order: int, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """Which of these texts' distinct pairs each symbol is, and how long their paths are."""
+    pairs, which = np.unique(pairs_of(symbols.astype(np.uint32), ends, order), return_inverse=True)
+    return which, code.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)]
 
 
 def _places(symbols: np.ndarray, ends: np.ndarray, kinds: np.ndarray, code: Code) -> list[np.ndarray]:
-    """For each kind and symbol where its predictions begin in the answers for these texts' pairs."""
-    out = []
-    for order in ORDERS:
-        pairs, which, *_ = chunk_pairs(symbols.astype(np.uint32), ends, kinds, order)
-        length = code.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)]
-        out.append((np.cumsum(length) - length)[which])
-    return out
+    """For each kind and symbol where its predictions begin in the answers for these texts' pairs, written out."""
+    met = [_pairs_met(symbols, ends, order, code) for order in ORDERS]
+    return [(np.cumsum(length) - length)[which] for which, length in met]
+
+
+def _written_out(symbols: np.ndarray, ends: np.ndarray, parts: list[tuple], code: Code) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The places, and the predictions of these texts' pairs along whole paths."""
+    met = [_pairs_met(symbols, ends, order, code) for order in ORDERS]
+    return [(np.cumsum(length) - length)[which] for which, length in met], [whole_paths(*own, length) for own, (_, length) in zip(parts, met, strict=True)]
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -578,21 +623,22 @@ def score(docs: DataFrame) -> DataFrame:
     chunks = scratch.keep(chunked(numbered, code, known, norm), "chunks")
     symbols = chunks.agg(F.coalesce(F.sum("n_symbols"), F.lit(0))).first()[0]
     bits = max(5, math.ceil(math.log2(max(1, symbols * len(ORDERS) / BUCKET))))
-    said = [scratch.keep(answers(asked_pairs(chunks, bits, part), code), f"answers-{part}") for part in range(PARTS)]
+    share = F.pmod(F.xxhash64("chunk"), F.lit(SHARES)).cast("int")
+    said = [scratch.keep(answers(asked_pairs(chunks, bits, part), code).withColumn("share", share), f"answers-{part}", "share") for part in range(PARTS)]
     said = reduce(DataFrame.union, said)
 
     def teach(key: tuple, mine: pa.Table, its: pa.Table) -> pa.Table:
-        symbols, ends, kinds, predictions = _joined(mine, its, "taught")
+        symbols, ends, kinds, parts = _joined(mine, its, "taught")
         own, lengths = kinds > 1, np.diff(ends, prepend=0)
         lessons = []
         if own.any():  # the fold's texts end with a symbol each
             symbols = symbols[np.repeat(own, lengths)]
-            places = _places(symbols, np.cumsum(lengths[own]), kinds[own], code.value)
+            places, predictions = _written_out(symbols, np.cumsum(lengths[own]), parts, code.value)
             lessons = [lesson_of(Decisions.of(symbols, places, predictions, code.value))]
         return pa.table([pa.array(lessons, pa.binary())], names=["lesson"])
 
     whole = chunks.select("chunk", "symbols", "ends", "kinds")
-    lessons = whole.groupBy("chunk").cogroup(said.select("chunk", "kind", "bucket", "taught").groupBy("chunk")).applyInArrow(teach, "lesson binary")
+    lessons = [whole.where(share == k).groupBy("chunk").cogroup(said.where(F.col("share") == k).select("chunk", "kind", "bucket", "taught").groupBy("chunk")).applyInArrow(teach, "lesson binary") for k in range(SHARES)]
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -601,25 +647,26 @@ def score(docs: DataFrame) -> DataFrame:
                 total = np.frombuffer(raw) + (0 if total is None else total)
         yield pa.RecordBatch.from_arrays([pa.array([] if total is None else [total.tobytes()], pa.binary())], names=["lesson"])
 
-    # A row of 18 KB from each task.
-    model = spark.sparkContext.broadcast(settled(sorted(bytes(r["lesson"]) for r in scratch.keep(lessons.mapInArrow(summed, "lesson binary"), "lessons").collect())))
+    # A row of 18 KB from each task. One share of the chunks is shuffled after the other.
+    learned = [scratch.keep(some.mapInArrow(summed, "lesson binary"), f"lessons-{k}") for k, some in enumerate(lessons)]
+    model = spark.sparkContext.broadcast(settled(sorted(bytes(r["lesson"]) for some in learned for r in some.collect())))
 
     def rate(key: tuple, mine: pa.Table, its: pa.Table) -> pa.Table:
-        symbols, ends, kinds, predictions = _joined(mine, its, "known")
-        places = _places(symbols, ends, kinds, code.value)
+        symbols, ends, _, parts = _joined(mine, its, "known")
+        places, predictions = _written_out(symbols, ends, parts, code.value)
         total = bits_of(list(range(len(ends))), ends, symbols, places, predictions, code.value, model.value)
         plain = [pa.array(mine.column(c)[0].as_py(), t) for c, t in (("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("seen", pa.int64()), ("base", pa.float64()), ("n_bytes", pa.int64()))]
         return pa.table([*plain, pa.array(total)], names=["_row", "doc_id", "n_tokens", "seen", "base", "n_bytes", "total_bits"])
 
     whole = chunks.select("chunk", "symbols", "ends", "kinds", "row", "doc_id", "n_tokens", "seen", "base", "n_bytes")
     rows = []
-    for part in range(PARTS):
-        mine = F.pmod(F.xxhash64("chunk"), F.lit(PARTS)) == part
-        its = said.where(mine).select("chunk", "kind", "bucket", "known").groupBy("chunk")
-        rated = whole.where(mine).groupBy("chunk").cogroup(its).applyInArrow(rate, "_row long, doc_id long, n_tokens long, seen long, base double, n_bytes long, total_bits double")
-        rows.append(scratch.keep(rated, f"rows-{part}"))
+    for k in range(SHARES):
+        its = said.where(F.col("share") == k).select("chunk", "kind", "bucket", "known").groupBy("chunk")
+        rated = whole.where(share == k).groupBy("chunk").cogroup(its).applyInArrow(rate, "_row long, doc_id long, n_tokens long, seen long, base double, n_bytes long, total_bits double")
+        rows.append(scratch.keep(rated, f"rows-{k}"))
+        scratch.drop(*(f"answers-{part}/share={k}" for part in range(PARTS)))
     rows = reduce(DataFrame.union, rows)
-    scratch.drop("lessons", *(f"answers-{part}" for part in range(PARTS)))
+    scratch.drop(*(f"lessons-{k}" for k in range(SHARES)), *(f"answers-{part}" for part in range(PARTS)))
     words = chunks.select(F.explode(F.arrays_zip("rare_row", "rare_key", "rare_times")).alias("w")).select(F.col("w.rare_row").alias("_row"), F.col("w.rare_key").alias("key"), F.col("w.rare_times").alias("times"))
     met = words.join(counts.where(F.col("c") < least), "key", "left")
     # Rare counts are small integers, so the sums of a row come from few distinct logarithms.

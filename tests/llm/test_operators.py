@@ -266,6 +266,20 @@ def test_mixing_predictions_of_a_bucket():
     assert at == len(got)
 
 
+def test_mixing_answers_are_sent_in_parts():
+    """The end of a path that repeats is sent once, and what comes back is the whole path of each asked pair."""
+    rng = np.random.default_rng(4)
+    code = op6_mixing.Code.huffman(np.sort(rng.integers(0, 1 << 63, 300).astype(np.uint64)), rng.integers(1, 500, 300), 7, 9)
+    pairs = np.unique(rng.integers(0, 200, 2000).astype(np.uint64) << np.uint64(24) | rng.integers(0, code.words, 2000).astype(np.uint64))
+    times, places = rng.integers(0, 4, len(pairs)), np.arange(0, len(pairs), 3)
+    parts = op6_mixing.path_parts(pairs, times, code)
+    back = op6_mixing.received(op6_mixing.sent(parts, np.cumsum(parts[0], dtype=np.int64) - parts[0], places))
+    length = code.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)]
+    whole = op6_mixing.path_agreements(pairs, times, code)
+    assert (op6_mixing.whole_paths(*back, length[places]) == whole[op6_mixing.spread((np.cumsum(length) - length)[places], length[places])]).all()
+    assert sum(map(len, back)) < length[places].sum()
+
+
 def test_mixing_answers_are_short_and_texts_stand_alone(monkeypatch):
     """Agreements are the predictions towards the path's own bit, also of lone and unseen pairs; texts scored side by side don't change each other."""
     rng = np.random.default_rng(8)
