@@ -46,10 +46,11 @@ from tessera.llm.shingles import pack, pieces, unpack, word_hashes
 ORDERS = (1, 3)  # contexts: so many symbols before
 INPUTS = 1 + len(ORDERS)
 VOCABULARY = 1 << 18
+SLOT = 19
 GATES, CELLS, LIMIT = 32, 33, 12
-STEP, STEPS = 32, 64  # symbols after which a text's own weights and map adapt, and steps whose decisions are laid out at once
+STEP, STEPS = 32, 16  # symbols after which a text's own weights and map adapt, and steps whose decisions are laid out at once
 FOLD = 16
-CHUNK, BUCKET = 200_000, 1_000_000
+CHUNK, BUCKET = 600_000, 2_000_000
 #: Texts that are scored side by side, few enough for what they use to stay in the cache.
 ABREAST = 64
 #: Parts of the buckets, and of the chunks, that are shuffled one after the other, so that little lies on disk at a time. A part of
@@ -72,6 +73,7 @@ class Code:
     """Vocabulary and binary paths. Symbols 0 to words - 1 are the tree's leaves from left to right, words + b is byte b."""
 
     keys: np.ndarray  # hashes of the vocabulary's words, rising
+    slots: np.ndarray  # where the keys with each of the possible first SLOT bits begin
     symbol: np.ndarray  # of each key
     escape: int
     end: int
@@ -81,6 +83,7 @@ class Code:
     node: np.ndarray
     bit: np.ndarray
     plain: np.ndarray  # the node's own logit in sixteenths
+    along: np.ndarray  # for each decision of a path in one number: twice the logit towards its own bit, that bit times 8, the depth up to 7
 
     @classmethod
     def huffman(cls, keys: np.ndarray, counts: np.ndarray, escapes: int, ends: int) -> Code:
@@ -121,7 +124,23 @@ class Code:
         place = np.empty(len(every), np.int64)
         place[leaves] = np.arange(len(every))
         order = np.argsort(keys)
-        return cls(keys[order], place[:-2][order], int(place[-2]), int(place[-1]), len(every), np.array(start), np.array(length), np.array(node, np.int32), np.array(bit, np.uint8), plain)
+        start, length, node, bit = np.array(start), np.array(length), np.array(node, np.int32), np.array(bit, np.uint8)
+        depth = np.arange(len(node)) - np.repeat(start, length)
+        along = plain.take(node).astype(np.int16) * sign_of(bit) * np.int16(2) + bit * np.int16(8) + np.minimum(depth, GATES // 4 - 1).astype(np.int16)
+        keys = keys[order].astype(np.uint64)
+        slots = np.searchsorted(keys, np.arange(1 << SLOT, dtype=np.uint64) << np.uint64(64 - SLOT))
+        return cls(keys, slots.astype(np.int32), place[:-2][order], int(place[-2]), int(place[-1]), len(every), start, length, node, bit, plain, along)
+
+
+def key_places(wanted: np.ndarray, code: Code) -> np.ndarray:
+    """`np.searchsorted(code.keys, wanted)` by the slots of the first bits, as hashes lie evenly."""
+    at = code.slots.take((wanted >> np.uint64(64 - SLOT)).astype(np.int64)).astype(np.int64)
+    late = np.flatnonzero(at < len(code.keys))
+    while len(late):
+        late = late[code.keys.take(at.take(late)) < wanted.take(late)]
+        at[late] += 1
+        late = late[at.take(late) < len(code.keys)]
+    return at
 
 
 def stretch(zeros, ones):
@@ -141,7 +160,7 @@ def symbols_of(raws: list[bytes], code: Code, words: list[tuple] | None = None)
     """The symbols of all texts one behind the other, and where each text ends. `words`: what `words_of` gives for the texts."""
     parts, owners = [], []
     for raw, found, starts, lengths, owner in words_of(raws) if words is None else words:
-        at = np.minimum(np.searchsorted(code.keys, found), max(len(code.keys) - 1, 0))
+        at = np.minimum(key_places(found, code), max(len(code.keys) - 1, 0))
         known = code.keys[at] == found if len(code.keys) else np.zeros(len(found), bool)
         times = np.where(known, 1, lengths + 2)
         out = np.full(int(times.sum()), code.escape, np.int64)
@@ -160,15 +179,17 @@ def symbols_of(raws: list[bytes], code: Code, words: list[tuple] | None = None)
 
 def pairs_of(symbols: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
     """For each symbol the pair of its context, the `order` symbols before it in its text, and itself: 40 bits of a hash and 24."""
-    begins = np.repeat(np.append(0, ends[:-1]), np.diff(ends, prepend=0))
-    place = np.arange(len(symbols))
-    wide = symbols.astype(np.uint64) + np.uint64(1)
+    wide = symbols.astype(np.uint64)
+    wide += np.uint64(1)
+    begins = ends - np.diff(ends, prepend=0)
     context = np.full(len(symbols), order, np.uint64)
     for k in range(1, order + 1):
         before = np.zeros(len(symbols), np.uint64)
         before[k:] = wide[: max(len(symbols) - k, 0)]
-        before[place - k < begins] = 0  # before the text
-        context = (context ^ before) * np.uint64(0x9E3779B97F4A7C15)
+        lead = begins[:, None] + np.arange(k)
+        before[lead[lead < ends[:, None]]] = 0  # before the text
+        context ^= before
+        context *= np.uint64(0x9E3779B97F4A7C15)
         context ^= context >> np.uint64(32)
     context *= np.uint64(0xBF58476D1CE4E5B9)
     context ^= context >> np.uint64(29)
@@ -199,17 +220,17 @@ def path_parts(pairs: np.ndarray, times: np.ndarray, code: Code) -> tuple[np.nda
     start, length, first, n = code.start[symbol[at]], length[at], first[at], times[at].astype(np.int64)
     heads, walked, depth = np.zeros(len(pairs), np.uint8), [], 0
     while len(start):
-        bit = code.bit[start + depth]
+        bit = code.bit.take(start + depth)
         begins = np.flatnonzero(first)
         total = np.add.reduceat(n, begins)
         ones = np.add.reduceat(n * bit, begins)
         said = np.repeat(np.where(total > 0, stretch(total - ones, ones), 0).astype(np.int8), np.diff(begins, append=len(n)))
-        walked.append((at, np.where(bit, said, -said)))
+        walked.append((at, said * sign_of(bit)))
         first[1:] |= bit[1:] != bit[:-1]
         depth += 1
         heads[at] = depth
-        stay = (length > depth) & ~(first & np.append(first[1:], True))
-        start, at, length, first, n = start[stay], at[stay], length[stay], first[stay], n[stay]
+        stay = np.flatnonzero((length > depth) & ~(first & np.append(first[1:], True)))
+        start, at, length, first, n = (some.take(stay) for some in (start, at, length, first, n))
     begin = np.cumsum(heads, dtype=np.int64) - heads
     body = np.empty(int(heads.sum(dtype=np.int64)), np.int8)
     for depth, (at, said) in enumerate(walked):
@@ -253,9 +274,9 @@ def sign_of(bit: np.ndarray) -> np.ndarray:
     return 2 * bit.astype(np.int8) - np.int8(1)
 
 
-def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """`np.unique` with the inverse, by a sort that merges runs which are in order already."""
-    order = np.argsort(values, kind="stable")
+def distinct(values: np.ndarray, kind: str = "stable") -> tuple[np.ndarray, np.ndarray]:
+    """`np.unique` with the inverse; the stable sort merges runs which are in order already."""
+    order = np.argsort(values, kind=kind)
     rising = values[order]
     first = np.append(True, rising[1:] != rising[:-1])[: len(rising)]
     which = np.empty(len(values), np.int64)
@@ -361,7 +382,7 @@ class Mixer:
 
 @dataclass
 class Decisions:
-    """The decisions of some symbols in order: inputs (float32, positive where a one is expected), gate, bit, and how many each symbol has."""
+    """The decisions of some symbols in order: inputs (float32, positive where they say the path's own bit), gate (int8), bit, and how many each symbol has."""
 
     inputs: list[np.ndarray]
     gate: np.ndarray
@@ -371,25 +392,27 @@ class Decisions:
     @classmethod
     def of(cls, symbols: np.ndarray, places: list[np.ndarray], predictions: list[np.ndarray], code: Code) -> Decisions:
         """`places`: for each kind where a symbol's predictions begin."""
-        length = code.length[symbols]
+        length = code.length.take(symbols)
         begin = np.cumsum(length) - length
-        owner = np.repeat(np.arange(len(symbols)), length)
-        turn = np.arange(len(owner))
-        at = turn + (code.start[symbols] - begin).take(owner)
-        gate = np.minimum(turn - begin.take(owner), GATES // 4 - 1).astype(np.int8)
-        inputs = [code.plain.take(code.node.take(at))]
-        bit = code.bit.take(at)
-        sign = sign_of(bit)
+        turn = np.arange(int(length.sum()))
+        along = code.along.take(np.repeat(code.start.take(symbols) - begin, length) + turn)
+        gate = (along & np.int16(7)).astype(np.int8)
+        inputs = [(along >> np.int16(4)).astype(np.float32) * np.float32(8)]
         for k in range(len(ORDERS)):
-            said = predictions[k].take(turn + (places[k] - begin).take(owner))
-            gate += (said != 0) * np.int8(GATES // 4 << k)
-            inputs.append((said * sign).astype(np.float32))
-        return cls(inputs, gate.astype(np.int64), bit, length)
+            said = predictions[k].take(np.repeat(places[k] - begin, length) + turn)
+            gate += (said != 0).view(np.int8) * np.int8(GATES // 4 << k)
+            inputs.append(said.astype(np.float32))
+        return cls(inputs, gate, (along >> np.int16(3)).astype(np.uint8) & np.uint8(1), length)
 
 
 def cell_of(mixed: np.ndarray) -> np.ndarray:
     """The map's cell for a mixed prediction."""
-    return np.clip((mixed + 8) * ((CELLS - 1) / 16) + 0.5, 0, CELLS - 0.5).astype(np.int32)
+    at = mixed + 8
+    at *= (CELLS - 1) / 16
+    at += 0.5
+    np.maximum(at, 0, out=at)
+    np.minimum(at, CELLS - 0.5, out=at)
+    return at.astype(np.int64)
 
 
 def bits_of(texts: list[int], ends: np.ndarray, symbols: np.ndarray, places: list[np.ndarray], predictions: list[np.ndarray], code: Code, model: Mixer, rate: float = RATE, adapt: bool = True) -> np.ndarray:
@@ -406,7 +429,10 @@ def bits_of(texts: list[int], ends: np.ndarray, symbols: np.ndarray, places: lis
 def _bits_abreast(first: np.ndarray, lengths: np.ndarray, symbols: np.ndarray, places: list[np.ndarray], predictions: list[np.ndarray], code: Code, model: Mixer, rate: float, adapt: bool) -> np.ndarray:
     """Total bits of the texts that begin at `first`, longest first."""
     total = np.zeros(len(first))
-    weights = np.repeat(model.weights.astype(np.float32).T[:, None], len(first), 1).reshape(INPUTS, -1) / np.float32(16)  # by input, text and gate
+    weights = np.zeros((len(first), GATES, 4), np.float32)
+    weights[:, :, :INPUTS] = model.weights.astype(np.float32) / np.float32(16)
+    weights = weights.reshape(-1, 4)
+    wide = weights.view(np.complex128).ravel()  # a gate's weights are fetched at once
     refine = np.tile(model.refine.astype(np.float64).ravel(), len(first))
     share = 1 / (60 + np.arange(STEP * int(code.length.max(initial=0)) + 1))  # a step of a text has no more decisions
     for begin in range(0, int(lengths.max(initial=0)), STEP * STEPS):
@@ -414,59 +440,82 @@ def _bits_abreast(first: np.ndarray, lengths: np.ndarray, symbols: np.ndarray, p
         size = np.minimum(lengths[:on] - begin, STEP * STEPS)
         owner = np.repeat(np.arange(on), size)
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-        turn = np.argsort(inside // STEP, kind="stable")  # by step, text and place in the text
-        here = (first[owner] + begin + inside)[turn]
+        step = (inside // STEP).astype(np.int16)
+        turn = np.argsort(step, kind="stable")  # by step, text and place in the text
+        here, text = (first[owner] + begin + inside)[turn], owner[turn]
         d = Decisions.of(symbols[here], [p[here] for p in places], predictions, code)
-        text = np.repeat(owner[turn], d.length)
-        gates = text * GATES + d.gate
-        bits = d.bit.astype(np.float32)
-        stops = np.append(0, np.cumsum(d.length))[np.cumsum(np.bincount(inside // STEP))]
+        gates = np.repeat(text * GATES, d.length) + d.gate
+        corners = gates * CELLS
+        sign, zero = sign_of(d.bit).astype(np.float32), (d.bit == 0).astype(np.float64)
+        symbol_stops = np.cumsum(np.bincount(step))
+        stops = np.append(0, np.cumsum(d.length))[symbol_stops]
         cost, low = np.empty(len(gates)), 0
-        for high in stops.tolist():
+        for high, last in zip(stops.tolist(), text[symbol_stops - 1].tolist(), strict=True):
             now, low = slice(low, high), high
             if now.stop == now.start:
                 continue
-            g, b, x = gates[now], bits[now], [i[now] for i in d.inputs]
-            mixed = weights[0].take(g) * x[0]
+            g, x = gates[now], [i[now] for i in d.inputs]
+            w = wide.take(g).view(np.float32).reshape(-1, 4)
+            mixed = w[:, 0] * x[0]
             for j in range(1, INPUTS):
-                mixed += weights[j].take(g) * x[j]
-            np.clip(mixed, -LIMIT, LIMIT, out=mixed)
-            chance = 1 / (1 + np.exp(-mixed))
-            cell = cell_of(mixed) + g * CELLS
+                mixed += w[:, j] * x[j]
+            np.maximum(mixed, np.float32(-LIMIT), out=mixed)
+            np.minimum(mixed, np.float32(LIMIT), out=mixed)
+            chance = np.exp(-mixed)  # of the own bit
+            chance += 1
+            np.reciprocal(chance, out=chance)
+            mixed *= sign[now]
+            cell = cell_of(mixed) + corners[now]
             mapped = refine.take(cell)
-            final = (mapped + chance) * 0.5
-            cost[now] = np.abs(1 - b - np.clip(final, 1e-5, 1 - 1e-5))
+            mapped -= zero[now]
+            own = np.abs(mapped, out=mapped)
+            np.add(own, chance, out=cost[now])
             if not adapt:
                 continue
             # A step along the mean slope of each gate of each text, and the map's cells towards the observed share.
-            error, most = b - chance, (int(text[now][-1]) + 1) * GATES
-            seen = np.bincount(g, minlength=most)
-            pace = rate / 256 / np.maximum(seen, 1) ** 0.5
+            error, most = 1 - chance, (last + 1) * GATES
+            pace = rate / 256 / np.sqrt(np.maximum(np.bincount(g, minlength=most), 1))
             for j in range(INPUTS):
-                weights[j, :most] += pace * np.bincount(g, error * x[j], most)
-            away = (b - mapped) * share.take(np.bincount(cell).take(cell))
-            refine[: most * CELLS] += np.bincount(cell, away, most * CELLS)
-        total[:on] -= np.bincount(text, np.log2(cost), on)
+                slope = np.zeros(most, np.float32)
+                np.add.at(slope, g, error * x[j])
+                weights[:most, j] += pace * slope
+            away = np.subtract(1, own, out=own)
+            away *= sign[now]
+            away *= share.take(np.bincount(cell).take(cell))
+            np.add.at(refine, cell, away)
+        # The bits of a symbol from the product of its decisions' probabilities, which no path is long enough to bring to nothing.
+        cost *= 0.5
+        np.clip(cost, 1e-5, 1 - 1e-5, out=cost)
+        some = np.flatnonzero(d.length)
+        if len(some):
+            total[:on] -= np.bincount(text[some], np.log2(np.multiply.reduceat(cost, (np.cumsum(d.length) - d.length)[some])), on)
     return total
 
 
 def lesson_of(d: Decisions) -> bytes:
     """What a chunk learns from its decisions: weights by Newton steps from the fresh ones, with their numbers, and counts for the map's cells."""
-    start = Mixer.fresh().weights.astype(np.float64)
-    weights, x, seen = start.copy(), [i / 16 for i in d.inputs], np.bincount(d.gate, minlength=GATES).astype(np.float64)
-    for _ in range(4):
-        mixed = sum(weights[:, j].take(d.gate) * x[j] for j in range(INPUTS))
-        chance = 1 / (1 + np.exp(-np.clip(mixed, -LIMIT, LIMIT)))
-        error, slope = d.bit - chance, chance * (1 - chance)
-        down = np.stack([np.bincount(d.gate, error * x[j], GATES) for j in range(INPUTS)], axis=1) - 50 * (weights - start)
-        bend = np.empty((GATES, INPUTS, INPUTS))
-        for j in range(INPUTS):
-            for k in range(j, INPUTS):
-                bend[:, j, k] = bend[:, k, j] = np.bincount(d.gate, slope * x[j] * x[k], GATES)
-        weights = np.clip(weights + np.linalg.solve(bend + 50 * np.eye(INPUTS), down[:, :, None])[:, :, 0], -2, 3)
-    mixed = np.clip(sum(weights[:, j].take(d.gate) * x[j] for j in range(INPUTS)), -LIMIT, LIMIT)
-    cell = cell_of(mixed) + d.gate * CELLS
-    return np.concatenate([(weights * seen[:, None]).ravel(), seen, np.bincount(cell, minlength=GATES * CELLS), np.bincount(cell, d.bit, GATES * CELLS)]).tobytes()
+    start, seen = Mixer.fresh().weights.astype(np.float64), np.bincount(d.gate, minlength=GATES)
+    order = np.argsort(d.gate, kind="stable")
+    inputs, sign = [i.take(order) / np.float64(16) for i in d.inputs], sign_of(d.bit.take(order))
+    weights, count, ones, high = start.copy(), np.zeros((GATES, CELLS)), np.zeros((GATES, CELLS)), 0
+    for gate in np.flatnonzero(seen).tolist():
+        low, high = high, high + int(seen[gate])
+        x, w = [i[low:high] for i in inputs], start[gate].copy()
+        for _ in range(4):
+            chance = 1 / (1 + np.exp(-np.clip(sum(w[j] * x[j] for j in range(INPUTS)), -LIMIT, LIMIT)))
+            error, slope = 1 - chance, chance * (1 - chance)
+            down = np.array([(error * x[j]).sum() for j in range(INPUTS)]) - 50 * (w - start[gate])
+            bend = np.empty((INPUTS, INPUTS))
+            for j in range(INPUTS):
+                bent = slope * x[j]
+                for k in range(j, INPUTS):
+                    bend[j, k] = bend[k, j] = (bent * x[k]).sum() + 50 * (j == k)
+            w = np.clip(w + np.linalg.solve(bend, down), -2, 3)
+        weights[gate] = w
+        cell = cell_of(np.clip(sum(w[j] * x[j] for j in range(INPUTS)), -LIMIT, LIMIT) * sign[low:high])
+        count[gate] = np.bincount(cell, minlength=CELLS)
+        ones[gate] = np.bincount(cell[sign[low:high] > 0], minlength=CELLS)
+    return np.concatenate([(weights * seen[:, None]).ravel(), seen, count.ravel(), ones.ravel()]).tobytes()
 
 
 def settled(lessons: list[bytes]) -> Mixer:
@@ -510,7 +559,7 @@ def word_counts(train: DataFrame) -> DataFrame:
 
 
 _CHUNK = (
-    "chunk long, symbols binary, ends binary, kinds binary, n_symbols long, row array<long>, doc_id array<long>, n_tokens array<long>, seen array<long>, base array<double>, n_bytes array<long>, "
+    "chunk long, symbols binary, ends binary, kinds binary, n_symbols long, fold binary, fold_ends binary, row array<long>, doc_id array<long>, n_tokens array<long>, seen array<long>, base array<double>, n_bytes array<long>, "
     "rare_row array<long>, rare_key array<long>, rare_times array<long>"
 )
 
@@ -542,6 +591,7 @@ def chunk_of(held: list[tuple], code: Code, keys: np.ndarray, logs: np.ndarray)
     symbols, ends = symbols_of(raws, code, found_words)
     kinds = np.array([0 if not h[3] else 1 + (xxhash.xxh3_64_intdigest(symbols[b:e].tobytes()) % FOLD == 0) for h, b, e in zip(held, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)], np.uint8)
     n = len(held)
+    folded, size = kinds > 1, np.diff(ends, prepend=0)
     words, chars = np.zeros(n, np.int64), np.zeros(n, np.int64)
     every, owners = [np.full(n, _END_KEY, np.uint64)], [np.arange(n)]
     for _, found, _, lengths, owner in found_words:
@@ -554,12 +604,15 @@ def chunk_of(held: list[tuple], code: Code, keys: np.ndarray, logs: np.ndarray)
     met = keys[at] == key if len(keys) else np.zeros(len(key), bool)
     base = np.bincount(owner[met], logs[at[met]], n)
     rare, whose = key[~met], owner[~met]
-    order = np.lexsort((rare, whose))
+    # By text and the first bits of the key: so equal words of a text lie together, and one that another word parts is listed twice.
+    shift = np.uint64(n.bit_length())
+    order = np.argsort(whose.astype(np.uint64) << (np.uint64(64) - shift) | rare.view(np.uint64) >> shift)
     rare, whose = rare[order], whose[order]
     first = np.flatnonzero(np.append(True, (rare[1:] != rare[:-1]) | (whose[1:] != whose[:-1]))[: len(rare)])
     rows = np.array([h[0] for h in held], np.int64)
     columns = [
-        rows[0].item(), pack(symbols), ends.astype(np.int64).tobytes(), kinds.tobytes(), len(symbols), rows, [h[1] for h in held], words + 1, np.bincount(owner[met], minlength=n), base, chars + np.maximum(words - 1, 0),
+        rows[0].item(), pack(symbols), ends.astype(np.int64).tobytes(), kinds.tobytes(), len(symbols), pack(symbols[np.repeat(folded, size)]), np.cumsum(size[folded]).astype(np.int64).tobytes(),
+        rows, [h[1] for h in held], words + 1, np.bincount(owner[met], minlength=n), base, chars + np.maximum(words - 1, 0),
         rows[whose[first]], rare[first], np.diff(first, append=len(rare)),
     ]
     return pa.RecordBatch.from_arrays([pa.array([c.tolist() if isinstance(c, np.ndarray) else c], t) for c, t in zip(columns, _CHUNK_TYPES, strict=True)], names=[c.split()[0] for c in _CHUNK.split(", ")])
@@ -571,19 +624,23 @@ _CHUNK_TYPES = [{"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.li
 # -- the whole
 
 
-def _joined(mine: pa.Table, said: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """A chunk's symbols, ends and kinds, and for each kind the parts of its buckets' answers one behind the other."""
-    symbols, ends, kinds = unpack(mine.column("symbols")[0].as_py(), np.uint32), np.frombuffer(mine.column("ends")[0].as_py(), np.int64), np.frombuffer(mine.column("kinds")[0].as_py(), np.uint8)
+def _texts(mine: pa.Table, symbols: str, ends: str) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's symbols and where its texts end."""
+    return unpack(mine.column(symbols)[0].as_py(), np.uint32).astype(np.int64), np.frombuffer(mine.column(ends)[0].as_py(), np.int64)
+
+
+def _answered(said: pa.Table, column: str) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each kind the parts of a chunk's answers from all buckets, one behind the other."""
     kind, bucket = said.column("kind").to_numpy(), said.column("bucket").to_numpy()
     parts: list[list[tuple]] = [[(np.zeros(0, np.uint8), np.zeros(0, np.int8), np.zeros(0, np.int8))] for _ in ORDERS]
     for k in np.lexsort((bucket, kind)).tolist():
         parts[kind[k]].append(received(said.column(column)[k].as_py()))
-    return symbols.astype(np.int64), ends, kinds, [tuple(np.concatenate(p) for p in zip(*own, strict=True)) for own in parts]
+    return [tuple(np.concatenate(p) for p in zip(*own, strict=True)) for own in parts]
 
 
 def _pairs_met(symbols: np.ndarray, ends: np.ndarray, order: int, code: Code) -> tuple[np.ndarray, np.ndarray]:
     """Which of these texts' distinct pairs each symbol is, and how long their paths are."""
-    pairs, which = np.unique(pairs_of(symbols.astype(np.uint32), ends, order), return_inverse=True)
+    pairs, which = distinct(pairs_of(symbols, ends, order), "quicksort")
     return which, code.length[(pairs & np.uint64(0xFFFFFF)).astype(np.int64)]
 
 
@@ -620,26 +677,21 @@ def score(docs: DataFrame) -> DataFrame:
 
     prepare(spark)
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text", F.coalesce("training", F.lit(False)).alias("training"))
-    chunks = scratch.keep(chunked(numbered, code, known, norm), "chunks")
+    share = F.pmod(F.xxhash64("chunk"), F.lit(SHARES)).cast("int")
+    chunks = scratch.keep(chunked(numbered, code, known, norm).withColumn("share", share), "chunks", "share")
     symbols = chunks.agg(F.coalesce(F.sum("n_symbols"), F.lit(0))).first()[0]
     bits = max(5, math.ceil(math.log2(max(1, symbols * len(ORDERS) / BUCKET))))
-    share = F.pmod(F.xxhash64("chunk"), F.lit(SHARES)).cast("int")
     said = [scratch.keep(answers(asked_pairs(chunks, bits, part), code).withColumn("share", share), f"answers-{part}", "share") for part in range(PARTS)]
     said = reduce(DataFrame.union, said)
 
     def teach(key: tuple, mine: pa.Table, its: pa.Table) -> pa.Table:
-        symbols, ends, kinds, parts = _joined(mine, its, "taught")
-        own, lengths = kinds > 1, np.diff(ends, prepend=0)
+        symbols, ends = _texts(mine, "fold", "fold_ends")
         lessons = []
-        if own.any():  # the fold's texts end with a symbol each
-            symbols = symbols[np.repeat(own, lengths)]
-            places, predictions = _written_out(symbols, np.cumsum(lengths[own]), parts, code.value)
+        if len(ends):  # the fold's texts end with a symbol each
+            places, predictions = _written_out(symbols, ends, _answered(its, "taught"), code.value)
             lessons = [lesson_of(Decisions.of(symbols, places, predictions, code.value))]
         return pa.table([pa.array(lessons, pa.binary())], names=["lesson"])
 
-    whole = chunks.select("chunk", "symbols", "ends", "kinds")
-    lessons = [whole.where(share == k).groupBy("chunk").cogroup(said.where(F.col("share") == k).select("chunk", "kind", "bucket", "taught").groupBy("chunk")).applyInArrow(teach, "lesson binary") for k in range(SHARES)]
-
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
@@ -647,26 +699,26 @@ def score(docs: DataFrame) -> DataFrame:
                 total = np.frombuffer(raw) + (0 if total is None else total)
         yield pa.RecordBatch.from_arrays([pa.array([] if total is None else [total.tobytes()], pa.binary())], names=["lesson"])
 
-    # A row of 18 KB from each task. One share of the chunks is shuffled after the other.
-    learned = [scratch.keep(some.mapInArrow(summed, "lesson binary"), f"lessons-{k}") for k, some in enumerate(lessons)]
-    model = spark.sparkContext.broadcast(settled(sorted(bytes(r["lesson"]) for some in learned for r in some.collect())))
+    # Only the fold's symbols and answers are shuffled; a row of 18 KB comes from each task.
+    lessons = chunks.select("chunk", "fold", "fold_ends").groupBy("chunk").cogroup(said.select("chunk", "kind", "bucket", "taught").groupBy("chunk")).applyInArrow(teach, "lesson binary").mapInArrow(summed, "lesson binary")
+    model = spark.sparkContext.broadcast(settled(sorted(bytes(r["lesson"]) for r in scratch.keep(lessons, "lessons").collect())))
 
     def rate(key: tuple, mine: pa.Table, its: pa.Table) -> pa.Table:
-        symbols, ends, _, parts = _joined(mine, its, "known")
-        places, predictions = _written_out(symbols, ends, parts, code.value)
+        symbols, ends = _texts(mine, "symbols", "ends")
+        places, predictions = _written_out(symbols, ends, _answered(its, "known"), code.value)
         total = bits_of(list(range(len(ends))), ends, symbols, places, predictions, code.value, model.value)
         plain = [pa.array(mine.column(c)[0].as_py(), t) for c, t in (("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("seen", pa.int64()), ("base", pa.float64()), ("n_bytes", pa.int64()))]
         return pa.table([*plain, pa.array(total)], names=["_row", "doc_id", "n_tokens", "seen", "base", "n_bytes", "total_bits"])
 
-    whole = chunks.select("chunk", "symbols", "ends", "kinds", "row", "doc_id", "n_tokens", "seen", "base", "n_bytes")
+    whole = chunks.select("chunk", "share", "symbols", "ends", "row", "doc_id", "n_tokens", "seen", "base", "n_bytes")
     rows = []
     for k in range(SHARES):
         its = said.where(F.col("share") == k).select("chunk", "kind", "bucket", "known").groupBy("chunk")
-        rated = whole.where(share == k).groupBy("chunk").cogroup(its).applyInArrow(rate, "_row long, doc_id long, n_tokens long, seen long, base double, n_bytes long, total_bits double")
+        rated = whole.where(F.col("share") == k).drop("share").groupBy("chunk").cogroup(its).applyInArrow(rate, "_row long, doc_id long, n_tokens long, seen long, base double, n_bytes long, total_bits double")
         rows.append(scratch.keep(rated, f"rows-{k}"))
         scratch.drop(*(f"answers-{part}/share={k}" for part in range(PARTS)))
     rows = reduce(DataFrame.union, rows)
-    scratch.drop(*(f"lessons-{k}" for k in range(SHARES)), *(f"answers-{part}" for part in range(PARTS)))
+    scratch.drop("lessons", *(f"answers-{part}" for part in range(PARTS)))
     words = chunks.select(F.explode(F.arrays_zip("rare_row", "rare_key", "rare_times")).alias("w")).select(F.col("w.rare_row").alias("_row"), F.col("w.rare_key").alias("key"), F.col("w.rare_times").alias("times"))
     met = words.join(counts.where(F.col("c") < least), "key", "left")
     # Rare counts are small integers, so the sums of a row come from few distinct logarithms.

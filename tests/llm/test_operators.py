@@ -303,6 +303,25 @@ def test_mixing_answers_are_short_and_texts_stand_alone(monkeypatch):
     assert (bits() == whole).all()
 
 
+def test_mixing_finds_words_by_slots_and_keeps_the_fold_apart():
+    """Slots find what a search finds; a path's numbers hold logit, bit and depth; a chunk lists the texts of the fold by themselves."""
+    rng = np.random.default_rng(5)
+    keys = np.append(rng.integers(0, 1 << 64, 3000, dtype=np.uint64), np.uint64(1 << 60) + np.arange(40, dtype=np.uint64))  # some share a slot
+    code = op6_mixing.Code.huffman(keys, rng.integers(1, 500, len(keys)), 7, 9)
+    wanted = np.concatenate([keys, keys + np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64)])
+    assert (op6_mixing.key_places(wanted, code) == np.searchsorted(code.keys, wanted)).all()
+    for s in range(0, len(code.start), 50):
+        path = slice(int(code.start[s]), int(code.start[s] + code.length[s]))
+        along, bit = code.along[path].astype(int), code.bit[path].astype(int)
+        assert ((along >> 4) * 8 == code.plain[code.node[path]] * (2 * bit - 1)).all() and (along >> 3 & 1 == bit).all() and (along & 7 == np.minimum(np.arange(len(bit)), 7)).all()
+    held = [(k, k, " ".join(map(str, rng.integers(0, 50, 20))), k % 5 != 1) for k in range(200)] + [(200, 200, None, True)]
+    chunk = op6_mixing.chunk_of(held, code, np.zeros(0, np.int64), np.zeros(0)).to_pylist()[0]
+    symbols, ends, kinds = op6_mixing.unpack(chunk["symbols"], np.uint32), np.frombuffer(chunk["ends"], np.int64), np.frombuffer(chunk["kinds"], np.uint8)
+    apart = [part for part, kind in zip(np.split(symbols, ends[:-1]), kinds, strict=True) if kind == 2]
+    assert 0 < len(apart) < len(held) and (op6_mixing.unpack(chunk["fold"], np.uint32) == np.concatenate(apart)).all()
+    assert np.frombuffer(chunk["fold_ends"], np.int64).tolist() == np.cumsum([len(part) for part in apart]).tolist()
+
+
 def test_mixing_without_training_texts_and_empty(spark, tmp_path):
     docs = spark.createDataFrame([(1, "some words", None), (None, None, False)], "doc_id long, text string, training boolean")
     got = {g["doc_id"]: g for g in op6_mixing.score(docs).collect()}
