@@ -19,8 +19,8 @@ Learning: the counts, the code and the vocabulary come from all training texts.
 grows with the corpus (one text in FOLD, by a hash of its symbols, so equal texts go together), predicted from the counts of all
 others: each chunk fits the weights of its gates by Newton steps, and their means by decisions are the model's.
 
-`base_scores` is the unigram yardstick: word counts of all training texts; words above a share of the tokens are few by
-arithmetic and go to every task, the others meet their counts in a shuffle join by a 64-bit hash.
+`base_score` is the unigram yardstick: word counts of all training texts; the vocabulary's go to every task, those of words above
+a share of the tokens, few by arithmetic, too; the others meet their counts in a shuffle join by a 64-bit hash.
 
 Defined results: null or empty texts are the end symbol alone; without training texts all predictions are even; repeated
 rows are scored each by itself; a text's score depends on that text and the model only, not on its neighbours.
@@ -568,8 +568,8 @@ def chunked(docs: DataFrame, shared, known, norm: float) -> DataFrame:
     """Chunks of texts (_row, doc_id, text, training): symbols, and for each text what the yardstick knows of it at once; rare words are listed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, (keys, counts) = shared.value, known.value
-        logs = np.log10(counts + 0.5) - norm
+        code, (keys, counts, by_symbol) = shared.value, known.value
+        logs, own = np.log10(counts + 0.5) - norm, np.log10(by_symbol + 0.5) - norm
         held: list[tuple] = []
         size = 0
         for batch in batches:
@@ -577,15 +577,16 @@ def chunked(docs: DataFrame, shared, known, norm: float) -> DataFrame:
                 held.append(row)
                 size += len(row[2] or "")
                 if size > CHUNK * 5 or len(held) >= 20_000:
-                    yield chunk_of(held, code, keys, logs)
+                    yield chunk_of(held, code, keys, logs, own)
                     held, size = [], 0
         if held:
-            yield chunk_of(held, code, keys, logs)
+            yield chunk_of(held, code, keys, logs, own)
 
     return docs.select("_row", "doc_id", "text", "training").mapInArrow(run, _CHUNK)
 
 
-def chunk_of(held: list[tuple], code: Code, keys: np.ndarray, logs: np.ndarray) -> pa.RecordBatch:
+def chunk_of(held: list[tuple], code: Code, keys: np.ndarray, logs: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+    """`keys`, `logs`: frequent words and what the yardstick gives them; `own`: what it gives the words that are symbols, and the end."""
     raws = [utf8(h[2]) for h in held]
     found_words = list(words_of(raws))
     symbols, ends = symbols_of(raws, code, found_words)
@@ -593,17 +594,21 @@ def chunk_of(held: list[tuple], code: Code, keys: np.ndarray, logs: np.ndarray)
     n = len(held)
     folded, size = kinds > 1, np.diff(ends, prepend=0)
     words, chars = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    every, owners = [np.full(n, _END_KEY, np.uint64)], [np.arange(n)]
+    every, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, found, _, lengths, owner in found_words:
         words += np.bincount(owner, minlength=n)
         chars += np.bincount(owner, lengths, n).astype(np.int64)
         every.append(found)
         owners.append(owner)
     key, owner = np.concatenate(every).view(np.int64), np.concatenate(owners)
+    spelled = symbols[(symbols < code.words) & (symbols != code.end)] == code.escape  # of each word
+    base = np.full(n, own[code.end]) + np.bincount(owner[~spelled], own.take(symbols[(symbols < code.words) & (symbols != code.end) & (symbols != code.escape)]), n)
+    key, owner = key[spelled], owner[spelled]
     at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
     met = keys[at] == key if len(keys) else np.zeros(len(key), bool)
-    base = np.bincount(owner[met], logs[at[met]], n)
+    base += np.bincount(owner[met], logs[at[met]], n)
     rare, whose = key[~met], owner[~met]
+    seen = words - np.bincount(whose, minlength=n)
     # By text and the first bits of the key: so equal words of a text lie together, and one that another word parts is listed twice.
     shift = np.uint64(n.bit_length())
     order = np.argsort(whose.astype(np.uint64) << (np.uint64(64) - shift) | rare.view(np.uint64) >> shift)
@@ -612,7 +617,7 @@ def chunk_of(held: list[tuple], code: Code, keys: np.ndarray, logs: np.ndarray)
     rows = np.array([h[0] for h in held], np.int64)
     columns = [
         rows[0].item(), pack(symbols), ends.astype(np.int64).tobytes(), kinds.tobytes(), len(symbols), pack(symbols[np.repeat(folded, size)]), np.cumsum(size[folded]).astype(np.int64).tobytes(),
-        rows, [h[1] for h in held], words + 1, np.bincount(owner[met], minlength=n), base, chars + np.maximum(words - 1, 0),
+        rows, [h[1] for h in held], words + 1, seen, base, chars + np.maximum(words - 1, 0),
         rows[whose[first]], rare[first], np.diff(first, append=len(rare)),
     ]
     return pa.RecordBatch.from_arrays([pa.array([c.tolist() if isinstance(c, np.ndarray) else c], t) for c, t in zip(columns, _CHUNK_TYPES, strict=True)], names=[c.split()[0] for c in _CHUNK.split(", ")])
@@ -669,10 +674,14 @@ def score(docs: DataFrame) -> DataFrame:
     n, v, ends = int(size[0]), int(size[1]), int(size[2])
     least = max(1, math.ceil(n * FREQUENT_SHARE))
     frequent = counts.where(F.col("c") >= least).toPandas().sort_values("key")  # at most 1 / FREQUENT_SHARE rows
-    known = spark.sparkContext.broadcast((frequent["key"].to_numpy(np.int64), frequent["c"].to_numpy(np.int64)))
     chosen = counts.where((F.col("c") > 1) & (F.col("key") != ends_key)).orderBy(F.desc("c"), "key").limit(VOCABULARY).toPandas()  # the vocabulary is a parameter
     coded = Code.huffman(chosen["key"].to_numpy(np.int64).view(np.uint64), chosen["c"].to_numpy(np.int64), n - ends - int(chosen["c"].sum()), ends)
     code = spark.sparkContext.broadcast(coded)
+    chosen = chosen.sort_values("key", key=lambda k: k.astype("uint64"))  # as code.keys
+    by_symbol = np.zeros(coded.words, np.int64)
+    by_symbol[coded.symbol], by_symbol[coded.end] = chosen["c"].to_numpy(np.int64), ends
+    most = min(least - 1, int(chosen["c"].min()) if len(chosen) == VOCABULARY else 1)  # of a word that is neither frequent nor in the vocabulary
+    known = spark.sparkContext.broadcast((frequent["key"].to_numpy(np.int64), frequent["c"].to_numpy(np.int64), by_symbol))
     norm = math.log10(n + 0.5 * (v + 1))
 
     prepare(spark)
@@ -720,13 +729,13 @@ def score(docs: DataFrame) -> DataFrame:
     rows = reduce(DataFrame.union, rows)
     scratch.drop("lessons", *(f"answers-{part}" for part in range(PARTS)))
     words = chunks.select(F.explode(F.arrays_zip("rare_row", "rare_key", "rare_times")).alias("w")).select(F.col("w.rare_row").alias("_row"), F.col("w.rare_key").alias("key"), F.col("w.rare_times").alias("times"))
-    met = words.join(counts.where(F.col("c") < least), "key", "left")
+    met = words.join(counts.where(F.col("c") <= most), "key", "left")
     # Rare counts are small integers, so the sums of a row come from few distinct logarithms.
     rest = met.groupBy("_row").agg(
         F.sum(F.col("times") * (F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5)) - F.lit(norm))).alias("rest"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(F.lit(0))).alias("rest_seen")
     )
     joined = rows.join(rest, "_row", "left")
     return joined.select(
-        "doc_id", "n_tokens", (F.col("seen") + F.coalesce("rest_seen", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        "doc_id", "n_tokens", (F.col("seen") + F.lit(int(ends > 0)) + F.coalesce("rest_seen", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), (F.col("total_bits") * F.lit(-math.log10(2))).alias("score"), "total_bits", "n_bytes",
     )

@@ -315,7 +315,7 @@ def test_mixing_finds_words_by_slots_and_keeps_the_fold_apart():
         along, bit = code.along[path].astype(int), code.bit[path].astype(int)
         assert ((along >> 4) * 8 == code.plain[code.node[path]] * (2 * bit - 1)).all() and (along >> 3 & 1 == bit).all() and (along & 7 == np.minimum(np.arange(len(bit)), 7)).all()
     held = [(k, k, " ".join(map(str, rng.integers(0, 50, 20))), k % 5 != 1) for k in range(200)] + [(200, 200, None, True)]
-    chunk = op6_mixing.chunk_of(held, code, np.zeros(0, np.int64), np.zeros(0)).to_pylist()[0]
+    chunk = op6_mixing.chunk_of(held, code, np.zeros(0, np.int64), np.zeros(0), np.zeros(code.words)).to_pylist()[0]
     symbols, ends, kinds = op6_mixing.unpack(chunk["symbols"], np.uint32), np.frombuffer(chunk["ends"], np.int64), np.frombuffer(chunk["kinds"], np.uint8)
     apart = [part for part, kind in zip(np.split(symbols, ends[:-1]), kinds, strict=True) if kind == 2]
     assert 0 < len(apart) < len(held) and (op6_mixing.unpack(chunk["fold"], np.uint32) == np.concatenate(apart)).all()
