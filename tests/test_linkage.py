@@ -199,3 +199,32 @@ def test_cell_multiplies_in_single_and_ranks_in_double_precision(monkeypatch):
         assert cell.dense.dtype == "float32" and cell.dense.shape[1] > 0
         assert got["pool_id"] == [min(i for i, t in texts.items() if t == f"ab {one}")]
         assert got["score"][0] == pytest.approx((1 / (1 + (1 - 1e-7) ** 2)) ** 0.5, abs=1e-12)
+
+
+def test_compared_texts_equal_the_native_expressions(spark):
+    import random
+
+    r = random.Random(1)
+    text = lambda: None if r.random() < 0.03 else "".join(r.choices(["a", "b", " ", "é", "𝒳", "x", "\t", "ab ", "c", "&"], k=r.choice([0, 1, 2, 3, 5, 9, 30])))
+    columns = [f"norm_{c}_{i}" for c in ("name", "address", "country") for i in (1, 2)]
+    pairs = spark.createDataFrame([tuple(text() for _ in columns) for _ in range(1500)], ", ".join(f"{c} string" for c in columns))
+    n1, n2 = F.col("norm_name_1"), F.col("norm_name_2")
+    native = [feat.jaccard(feat.token_set(n1), feat.token_set(n2)), feat.jaccard(feat.char_grams(n1), feat.char_grams(n2)), feat.seq_ratio(n1, n2), feat.len_diff(n1, n2), feat.contained(n1, n2), feat.first_token_equal(n1, n2)]
+    made = feat.with_features(pairs)
+    assert "ArrowEvalPython" in made._jdf.queryExecution().toString()
+    got = made.select("name_tok_jaccard", "name_char_jaccard", "name_seq_ratio", "name_len_diff", "name_substr", "first_tok_match")
+    assert [tuple(x) for x in got.collect()] == [tuple(x) for x in pairs.select(*native).collect()]
+
+
+def test_boosting_grows_the_same_trees_in_one_task_and_in_three(spark, monkeypatch):
+    from tessera.functions.features import FEATURE_NAMES
+
+    rows = spark.range(0, 600, 1, 5).selectExpr("int(id % 7 < 3) as label", *(f"double(pmod(xxhash64(id, {k}), 40) + int(id % 7 < 3) * {k}) as {c}" for k, c in enumerate(FEATURE_NAMES)))
+    trees = []
+    for size in (1000, 200):
+        monkeypatch.setattr(model, "PART_ROWS", size)
+        fitted = model.fit(rows, 4, 3)
+        trees.append([x.strip() for x in fitted.stages[-1].toDebugString.split("\n") if "If (" in x])
+        wrong = model.probabilities(fitted, rows).where("(prob >= 0.5) != (label = 1)").count()
+        assert wrong < 170  # of 257 that are the rarer class; the features overlap
+    assert trees[0] == trees[1] and len(trees[0]) > 8
